@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,13 +42,14 @@ def zip_lines(
     keyword: str,
     extension: str = ".csv",
     name_filter: Column | None = None,
+    heads_only: bool = False,
 ) -> DataFrame:
     """One row per text line of every selected member: ``path, member, line_no, line``.
 
     Each archive is unpacked by the task that holds it and streamed out in Arrow
     batches, so a task's memory is the packed archive plus one batch. ``name_filter``
     may use ``path``, ``modificationTime`` and ``length``; it runs before the bytes
-    reach Python.
+    reach Python. ``heads_only`` stops after each member's first line.
     """
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
     if name_filter is not None:
@@ -66,17 +68,18 @@ def zip_lines(
                 with zipfile.ZipFile(io.BytesIO(content.as_buffer())) as archive:
                     for member in filter(wanted, archive.namelist()):
                         with archive.open(member) as packed:
-                            yield from _line_batches(path.as_py(), member, packed)
+                            found = _line_batches(path.as_py(), member, packed, 1 if heads_only else _BATCH_LINES)
+                            yield from islice(found, 1 if heads_only else None)
 
     return archives.select("path", "content").mapInArrow(unpack, LINES_SCHEMA)
 
 
-def _line_batches(path: str, member: str, packed) -> Iterator[pa.RecordBatch]:
+def _line_batches(path: str, member: str, packed, size: int) -> Iterator[pa.RecordBatch]:
     lines: list[str] = []
     done = 0
     for raw in io.TextIOWrapper(packed, encoding="utf-8"):
         lines.extend(raw.splitlines())
-        if len(lines) >= _BATCH_LINES:
+        if len(lines) >= size:
             yield _line_batch(path, member, done, lines)
             done += len(lines)
             lines = []
@@ -112,7 +115,8 @@ def zipped_csv(
     """
     lines = zip_lines(spark, folder, prefix, keyword, name_filter=name_filter)
     if header is None:
-        first = lines.where("line_no = 1").agg(F.min_by("line", F.struct("path", "member")).alias("line")).first()
+        heads = zip_lines(spark, folder, prefix, keyword, name_filter=name_filter, heads_only=True)
+        first = heads.where("line_no = 1").agg(F.min_by("line", F.struct("path", "member")).alias("line")).first()
         if first.line is None:
             raise ValueError(f"no member of {folder} fits {prefix!r} and {keyword!r}")
         header = first.line

@@ -165,19 +165,26 @@ def utf16_csv(spark: SparkSession, path: str | Sequence[str], **options: object)
 def detected_csv(spark: SparkSession, path: str | Sequence[str], reader=naive_csv, **options: object) -> DataFrame:
     """CSV files of mixed charsets, each decoded by its own; columns by position.
 
-    The file list (paths and charsets, as large as Spark's own file index) comes to
-    the driver; file contents do not. There is one scan per charset, not per file.
+    There is one scan per charset, not per file. Only names and charsets come to the
+    driver, one row a file: what Spark's own file index keeps there as well.
     """
-    listing = detect_charsets(spark, path).groupBy("charset").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     scans = []
-    for group in listing.orderBy("charset").collect():
-        wide = {"multiLine": True} if group.charset.startswith(("UTF-16", "UTF-32")) else {}
-        scans.append(reader(spark, group.paths, encoding=group.charset, **{**options, **wide}))
+    for charset, members in _grouped(detect_charsets(spark, path), "charset"):
+        wide = {"multiLine": True} if charset.startswith(("UTF-16", "UTF-32")) else {}
+        scans.append(reader(spark, members, encoding=charset, **{**options, **wide}))
     if not scans:
         raise NoFiles(f"no files under {path}")
     return reduce(DataFrame.union, scans)
 
 
+def _grouped(listing: DataFrame, key: str) -> list[tuple[str, list[str]]]:
+    """Paths by key, both in order, of a listing with one row a file."""
+    groups: dict[str, list[str]] = {}
+    for row in listing.select(key, "path").toLocalIterator():
+        groups.setdefault(row[0], []).append(row.path)
+    return sorted((value, sorted(members)) for value, members in groups.items())
+
+
 class NoFiles(ValueError):
     """A selection matched no file."""
 
@@ -208,14 +215,13 @@ def csv_by_header(
             "line",
         )
         .groupBy("path").agg(F.min_by("line", "row").alias("header"))
-        .groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     )
-    groups = heads.orderBy("header").collect()
+    groups = _grouped(heads, "header")
     if not groups:
         raise NoFiles(f"no files under {path}")
     scans = [
-        harmonize_columns(spark.read.options(header=True, **reading).csv(group.paths), variants or {})
-        for group in groups
+        harmonize_columns(spark.read.options(header=True, **reading).csv(members), variants or {})
+        for _, members in groups
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
