@@ -20,7 +20,7 @@ from .shared import new_folder, settled
 from .sinks.files import WriteMode, write_unless_empty
 from .sinks.tables import quoted, replace_table, staged_publish
 from .sources.databases import Connection
-from .sources.files import scan_csv
+from .sources.files import scan_csv, with_provenance
 from .streaming.load import READ_OPTIONS, copy_into
 from .streaming.messages import IngestResult, drain_messages, load_unread
 
@@ -78,7 +78,7 @@ def load_table(spark: SparkSession, job: BronzeJob, spec: TableSpec) -> str:
         staged_publish(spark, name, cleaned, new_folder(spark, "staging"), location)
     elif spec.mode is WriteMode.OVERWRITE:
         rows = spark.read.format(spec.file_format).options(**READ_OPTIONS[spec.file_format]).load(source)
-        replace_table(spark, name, rows.select("*", "_metadata"), location)
+        replace_table(spark, name, with_provenance(rows), location)
     else:
         copy_into(
             spark,

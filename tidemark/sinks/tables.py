@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.files import scan_json
+from .files import write_files
+
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 VERSION_PREFIX = "version-"
 VERSION_STAMP = "%Y%m%dT%H%M%S%f"
@@ -93,6 +96,8 @@ def replace_partitions(spark: SparkSession, name: str, df: DataFrame) -> None:
     aligned = align(df, spark.table(quoted(name)).schema)
     with overwriting_partitions(aligned.sparkSession):
         aligned.write.mode("overwrite").insertInto(quoted(name))
+    # a stream writes in a session of its own; the caller's may still list the old files
+    spark.catalog.refreshTable(quoted(name))
 
 
 @contextmanager
@@ -176,7 +181,5 @@ def staged_publish(
 
     The staging folder is per table and per run, so tables cannot mix.
     """
-    from .files import write_files
-
     write_files(df, staging, "json", "overwrite")
-    return replace_table(spark, name, spark.read.schema(df.schema).json(staging).select("*", "_metadata"), root)
+    return replace_table(spark, name, scan_json(spark, staging, df.schema), root)

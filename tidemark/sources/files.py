@@ -17,6 +17,23 @@ FILE_NAME = "_metadata.file_name"
 FILE_DATE = "_file_generation_date"
 
 
+# Provenance kept with every row; Parquet scans would offer more fields.
+PROVENANCE_FIELDS = (
+    "file_path",
+    "file_name",
+    "file_size",
+    "file_block_start",
+    "file_block_length",
+    "file_modification_time",
+)
+PROVENANCE = "_metadata"
+
+
+def with_provenance(df: DataFrame) -> DataFrame:
+    """A file scan, batch or stream, with the struct of its file's facts on each row."""
+    return df.select("*", F.struct(*(F.col(f"_metadata.{f}").alias(f) for f in PROVENANCE_FIELDS)).alias(PROVENANCE))
+
+
 def scan_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
@@ -27,7 +44,7 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType | str | None
     Give a schema for large folders: without one Spark reads everything to infer it.
     """
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.json(path).select("*", "_metadata")
+    return with_provenance(reader.json(path))
 
 
 def scan_csv(

@@ -11,18 +11,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.tables import create_table_if_absent, replace_partitions
+from ..sources.files import with_provenance
 
 LOAD_BATCH = "_load_batch"
-PROVENANCE = T.StructType(
-    [
-        T.StructField("file_path", T.StringType()),
-        T.StructField("file_name", T.StringType()),
-        T.StructField("file_size", T.LongType()),
-        T.StructField("file_block_start", T.LongType()),
-        T.StructField("file_block_length", T.LongType()),
-        T.StructField("file_modification_time", T.TimestampType()),
-    ]
-)
 # Reader options by landing format.
 READ_OPTIONS = {
     "json": {},
@@ -73,7 +64,7 @@ def new_files(
     reader = spark.readStream.schema(schema).format(file_format).options(**READ_OPTIONS[file_format])
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(source).select("*", "_metadata")
+    return with_provenance(reader.load(source))
 
 
 def copy_into(
@@ -110,8 +101,7 @@ def copy_into(
         .start()
     )
     result = run_to_end(query)
-    # a first run without files still leaves a table to query
-    empty = T.StructType([*schema.fields, T.StructField("_metadata", PROVENANCE), T.StructField(LOAD_BATCH, T.StringType())])
-    if shape is None:
-        create_table_if_absent(spark, table, empty, location, [LOAD_BATCH])
+    if shape is None:  # a first run without files still leaves a table to query
+        waiting = new_files(spark, source, file_format, schema).withColumn(LOAD_BATCH, F.lit(""))
+        create_table_if_absent(spark, table, waiting.schema, location, [LOAD_BATCH])
     return result
