@@ -223,11 +223,14 @@ def test_xml_values(spark):
     assert one(envelope("isReportRunningResponse", "<return>true</return>"), "is_running") == "true"
     assert one(envelope("getReportResultCsvResponse", "<return>a,b\n1,2</return>"), "result_csv") == "a,b\n1,2"
     assert one(envelope("runReportResponse", "<return></return>"), "report_id") == ""
+    assert one(envelope("getReportResultCsvResponse", "<return> a,&quot;&amp;&quot; \n</return>"), "result_csv") == ' a,"&" \n'
     assert one(envelope("runReportResponse", ""), "report_id", required=False) is None
+    for broken in ("broken <", None, "<Other><Body><runReportResponse><return>1</return></runReportResponse></Body></Other>"):
+        assert one(broken, "report_id", required=False) is None
     with pytest.raises(Exception, match="response holds no"):
         one(envelope("other", ""), "report_id")
     with pytest.raises(ValueError, match="unknown response kind"):
-        envelopes.response_path("nope")
+        envelopes.response_schema("nope")
 
 
 # --- databases (options only: no database is started) ---------------------------

@@ -78,6 +78,42 @@ def test_no_files_yet_still_makes_the_table(spark, places, schema_name):
     assert spark.table(name).count() == 2
 
 
+def test_discovery_reads_no_contents(spark, places, schema_name):
+    write_files(numbers(spark, 0, 10), places["source"])
+    setting = "spark.sql.sources.binaryFile.maxLength"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "1")  # any file's content would be too long
+    try:
+        assert load(spark, f"{schema_name}.t", places, schema=EVENT_SCHEMA).rows == 10
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_columns_are_inferred_from_new_files_only(spark, places, schema_name):
+    name = f"{schema_name}.t"
+    write_files(numbers(spark, 0, 3), places["source"])
+    load(spark, name, places)
+    old = spark.table(name).select("_metadata.file_path").distinct().collect()
+    from tidemark.shared import filesystem
+
+    for row in old:  # an archived file must not be missed
+        fs, path = filesystem(spark, row.file_path)
+        fs.delete(path, True)
+    write_files(numbers(spark, 3, 5).withColumn("more", F.lit(True)), places["source"])
+    assert load(spark, name, places).rows == 2
+    assert sorted((r.event_id, r.more) for r in spark.table(name).collect()) == [
+        (0, None), (1, None), (2, None), (3, True), (4, True),
+    ]
+
+
+def test_csv_files_with_shifted_headers_fail(spark, places, schema_name):
+    df = spark.createDataFrame([(1, 2)], "a int, b int").coalesce(1)
+    write_files(df, places["source"], "csv")
+    write_files(df.select("b", "a"), places["source"], "csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        load(spark, f"{schema_name}.t", places, file_format="csv")
+
+
 def test_schema_grows_between_runs(spark, places, schema_name):
     name = f"{schema_name}.t"
     write_files(numbers(spark, 0, 2), places["source"], "csv")

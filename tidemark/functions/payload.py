@@ -26,8 +26,13 @@ def is_valid_json(body: Column | str) -> Column:
     return F.coalesce((as_element == 1) & as_value.isNotNull(), F.lit(False))
 
 
+def with_validity(df: DataFrame, flag: str = "accepted", body: str = "Body") -> DataFrame:
+    """Mark each row by whether its body is JSON; one pass serves both kinds."""
+    return df.withColumn(flag, is_valid_json(body))
+
+
 def split_valid(df: DataFrame, body: str = "Body") -> tuple[DataFrame, DataFrame]:
-    """Rows whose body is JSON, and the rows set aside."""
+    """Rows whose body is JSON, and the rows set aside, as two frames (so, two passes)."""
     ok = is_valid_json(body)
     return df.where(ok), df.where(~ok)
 

@@ -20,8 +20,8 @@ from .shared import new_folder, settled
 from .sinks.files import WriteMode, write_unless_empty
 from .sinks.tables import quoted, replace_table, staged_publish
 from .sources.databases import Connection
-from .sources.files import scan_csv, with_provenance
-from .streaming.load import READ_OPTIONS, copy_into
+from .sources.files import NoFiles, scan_csv, with_provenance
+from .streaming.load import FILES_PER_BATCH, READ_OPTIONS, copy_into
 from .streaming.messages import IngestResult, drain_messages, load_unread
 
 log = logging.getLogger(__name__)
@@ -49,7 +49,12 @@ def land_table(
     and the landing write all work on that batch.
     """
     run = Extract(spark, job, spec, as_of, table_mark(spark, job, spec, as_of), connection)
-    batch = settled(spark, READERS[spec.reader](run), "extract")
+    try:
+        extract = READERS[spec.reader](run)
+    except NoFiles as none:
+        log.warning("%s.%s: %s", spec.schema, spec.table, none)
+        return False
+    batch = settled(spark, extract, "extract")
     landed = write_unless_empty(
         with_audit(batch, audit_literals(run)),
         render_path(job.outputs, **job.parts(spec)),
@@ -88,7 +93,7 @@ def load_table(spark: SparkSession, job: BronzeJob, spec: TableSpec) -> str:
             render_path(job.checkpoints, **parts),
             spec.file_format,
             T.StructType.fromJson(spec.options["columns"]) if "columns" in spec.options else None,
-            spec.options.get("max_files"),
+            spec.options.get("max_files", FILES_PER_BATCH),
         )
     return name
 

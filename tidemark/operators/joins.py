@@ -29,15 +29,18 @@ def in_windows(df: DataFrame, column: str, windows: DataFrame) -> DataFrame:
     A range condition alone would compare all rows with all windows. Each window is
     listed under the days it touches and the join is on the day, with the range as a
     further condition. No side is forced to be broadcast: Spark measures the windows,
-    and a day that holds much of the data is split by the adaptive skew join.
+    and a day that holds much of the data is split by the adaptive skew join. The
+    windows' outer bounds are a filter too, which lets the scan skip the other days.
     """
     per_day = windows.withColumn(
         "__day",
         F.explode(F.sequence(F.to_date("start"), F.to_date(F.col("stop") - F.expr("INTERVAL '0.000001' SECOND")))),
     )
     moment = F.col(column)
+    first, last = windows.agg(F.min("start")).scalar(), windows.agg(F.max("stop")).scalar()
     return (
-        df.withColumn("__day", F.to_date(moment))
+        df.where((moment >= first) & (moment < last))
+        .withColumn("__day", F.to_date(moment))
         .join(per_day, "__day")
         .where((moment >= F.col("start")) & (moment < F.col("stop")))
         .drop("__day")

@@ -28,7 +28,6 @@ from ..sources.files import (
     naive_csv,
     report_rows,
     scan_parquet,
-    select_dated_files,
     trailing_date,
     within_days,
 )
@@ -130,12 +129,13 @@ def zipped_files(run: Extract) -> DataFrame:
 
 def dated_files(run: Extract) -> DataFrame:
     """Plain CSVs dated since the mark, in whatever charset each one has."""
-    date_of = trailing_date(run.required("prefix"))
+    file_date = trailing_date(run.required("prefix"))
+    wanted = within_days(file_date, run.as_of.date(), run.n_days)
 
     def reader(spark, paths, **options):
-        return select_dated_files(naive_csv(spark, paths, **options), date_of, run.as_of.date(), run.n_days)
+        return naive_csv(spark, paths, **options).withColumn(FILE_DATE, file_date)
 
-    return detected_csv(run.spark, run.source, reader)
+    return detected_csv(run.spark, run.source, reader, wanted)
 
 
 def plain_docs(run: Extract) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import split_fields
+from .files import NoFiles, split_fields
 
 LINES_SCHEMA = "path string, member string, line_no bigint, line string"
 _ARROW_LINES = pa.schema(
@@ -118,7 +118,7 @@ def zipped_csv(
         heads = zip_lines(spark, folder, prefix, keyword, name_filter=name_filter, heads_only=True)
         first = heads.where("line_no = 1").agg(F.min_by("line", F.struct("path", "member")).alias("line")).first()
         if first.line is None:
-            raise ValueError(f"no member of {folder} fits {prefix!r} and {keyword!r}")
+            raise NoFiles(f"no member of {folder} fits {prefix!r} and {keyword!r}")
         header = first.line
     rows = lines.where("line_no > 1").select("path", "member", "line")
     if spread:

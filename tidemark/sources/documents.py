@@ -65,9 +65,9 @@ def typed_documents(
     kinds are null. Empty text counts as missing. Results without a document are
     dropped. Columns of ``df`` other than the text are kept.
     """
-    found = df.withColumn("__doc", F.from_json(F.col(text), DOCUMENT_SCHEMA)["document"]).where(
-        F.col("__doc").isNotNull()
-    )
+    parsed = F.from_json(F.col(text), DOCUMENT_SCHEMA)["document"]
+    # a generator drops the rows without a document; a filter would parse the text again
+    found = df.withColumn("__doc", F.explode(F.filter(F.array(parsed), lambda document: document.isNotNull())))
     values = F.transform_values(
         F.col("__doc.fields"),
         lambda _, v: F.coalesce(

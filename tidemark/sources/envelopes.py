@@ -13,21 +13,28 @@ RESPONSES = {
 }
 
 
-def response_path(kind: str) -> str:
-    """XPath of the return value; prefixes do not matter, only local names."""
+ROOT = "Envelope"
+
+
+def response_schema(kind: str) -> str:
+    """Columns of an envelope that lead to the return value of a kind of call."""
     if kind not in RESPONSES:
         raise ValueError(f"unknown response kind {kind!r}")
-    steps = ("Envelope", "Body", RESPONSES[kind], "return")
-    return "/" + "/".join(f'*[local-name()="{step}"]' for step in steps)
+    return f"Body struct<{RESPONSES[kind]}: struct<`return`: string>>"
 
 
 def xml_value(envelope: Column | str, kind: str, required: bool = True) -> Column:
-    """Return value of a response; a missing element raises, or is null if not required."""
+    """Return value of a response; a missing element raises, or is null if not required.
+
+    Prefixes do not matter, only local names. The text is streamed through once (an
+    XPath would build a tree per row) and comes back whole, blanks included.
+    """
     xml = F.col(envelope) if isinstance(envelope, str) else envelope
-    path = F.lit(response_path(kind))
-    value = F.xpath_string(xml, path)  # empty both for an empty and for a missing element
-    missing = F.raise_error(F.lit(f"response holds no {kind}")) if required else F.lit(None)
-    return F.when(value != "", value).when(F.xpath_boolean(xml, path), value).otherwise(missing.cast("string"))
+    options = {"ignoreNamespace": "true", "ignoreSurroundingSpaces": "false", "nullValue": "\u0000"}
+    reply = F.from_xml(xml, response_schema(kind), options)
+    has_root = F.rlike(xml, F.lit(rf"<([^\s<>:/]+:)?{ROOT}[\s>]"))
+    value = F.when(has_root, reply["Body"][RESPONSES[kind]]["return"])
+    return F.coalesce(value, F.raise_error(F.lit(f"response holds no {kind}")).cast("string")) if required else value
 
 
 def payload_lines(df: DataFrame, payload: str) -> DataFrame:

@@ -18,20 +18,21 @@ FILE_DATE = "_file_generation_date"
 
 
 # Provenance kept with every row; Parquet scans would offer more fields.
-PROVENANCE_FIELDS = (
-    "file_path",
-    "file_name",
-    "file_size",
-    "file_block_start",
-    "file_block_length",
-    "file_modification_time",
-)
 PROVENANCE = "_metadata"
+PROVENANCE_TYPE = (
+    T.StructType()
+    .add("file_path", "string")
+    .add("file_name", "string")
+    .add("file_size", "long")
+    .add("file_block_start", "long")
+    .add("file_block_length", "long")
+    .add("file_modification_time", "timestamp")
+)
 
 
 def with_provenance(df: DataFrame) -> DataFrame:
     """A file scan, batch or stream, with the struct of its file's facts on each row."""
-    return df.select("*", F.struct(*(F.col(f"_metadata.{f}").alias(f) for f in PROVENANCE_FIELDS)).alias(PROVENANCE))
+    return df.select("*", F.struct(*(f"_metadata.{f}" for f in PROVENANCE_TYPE.names)).alias(PROVENANCE))
 
 
 def scan_parquet(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
@@ -147,16 +148,20 @@ BYTE_ORDER_MARKS = (
 FALLBACK_CHARSET = "ISO-8859-1"
 
 
-def detect_charsets(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def detect_charsets(
+    spark: SparkSession, path: str | Sequence[str], selected: Column | None = None
+) -> DataFrame:
     """``(path, charset)`` for each file, judged on all of its bytes.
 
+    ``selected`` is a condition on ``_metadata.file_name``; other files stay unopened.
+
     Files are read as split text, so a large one is shared between tasks and only a
     flag and four bytes per file and task are shuffled. The first line of a file is
     the lowest row number within its first block. A byte-order mark decides; else
     valid UTF-8 is UTF-8, and anything else is single-byte text.
     """
     paths = path if isinstance(path, str) else list(path)
-    lines = spark.read.text(paths).select(
+    lines = spark.read.text(paths).where(F.lit(True) if selected is None else selected).select(
         F.col("_metadata.file_path").alias("path"),
         (F.col("_metadata.file_block_start") == 0).alias("at_start"),
         F.monotonically_increasing_id().alias("row"),
@@ -179,14 +184,20 @@ def utf16_csv(spark: SparkSession, path: str | Sequence[str], **options: object)
     return scan_csv(spark, path, encoding="UTF-16LE", multiLine=True, **options)
 
 
-def detected_csv(spark: SparkSession, path: str | Sequence[str], reader=naive_csv, **options: object) -> DataFrame:
+def detected_csv(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    reader=naive_csv,
+    selected: Column | None = None,
+    **options: object,
+) -> DataFrame:
     """CSV files of mixed charsets, each decoded by its own; columns by position.
 
     There is one scan per charset, not per file. Only names and charsets come to the
     driver, one row a file: what Spark's own file index keeps there as well.
     """
     scans = []
-    for charset, members in _grouped(detect_charsets(spark, path), "charset"):
+    for charset, members in _grouped(detect_charsets(spark, path, selected), "charset"):
         wide = {"multiLine": True} if charset.startswith(("UTF-16", "UTF-32")) else {}
         scans.append(reader(spark, members, encoding=charset, **{**options, **wide}))
     if not scans:

@@ -5,28 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 
 from ..sinks.tables import create_table_if_absent, replace_partitions
-from ..sources.files import with_provenance
+from ..sources.files import PROVENANCE, PROVENANCE_TYPE, with_provenance
 
 LOAD_BATCH = "_load_batch"
-# Reader options by landing format.
+FILES_PER_BATCH = 10_000
+# Reader options by landing format. CSV files of one batch whose headers
+# differ are an error, not shifted columns.
 READ_OPTIONS = {
     "json": {},
-    "csv": {"header": "true", "escape": '"'},
+    "csv": {"header": "true", "escape": '"', "enforceSchema": "false"},
     "parquet": {"mergeSchema": "true"},
 }
+_LISTING = (
+    T.StructType()
+    .add("path", "string")
+    .add("modificationTime", "timestamp")
+    .add("length", "long")
+    .add("content", "binary")
+)
 
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What one load run did, from the stream's own progress reports."""
+    """What one load run did."""
 
     batches: int
+    files: int
     rows: int
 
 
@@ -40,31 +49,19 @@ def batch_label(batch: DataFrame, batch_id: int) -> str:
     return f"{stream}-{batch_id:08d}"
 
 
-def landed_schema(spark: SparkSession, source: str, file_format: str) -> T.StructType:
-    """Columns of the landed files. JSON is read through for this: declare its schema
-    where the folder is large."""
-    found = spark.read.format(file_format).options(**READ_OPTIONS[file_format]).load(source).schema
-    return T.StructType([f for f in found if f.name != LOAD_BATCH])
+def new_files(spark: SparkSession, source: str, max_files: int) -> DataFrame:
+    """Paths of landed files as a stream; their contents are not read."""
+    reader = spark.readStream.format("binaryFile").schema(_LISTING).option("maxFilesPerTrigger", max_files)
+    return reader.load(source).select("path")
 
 
-def run_to_end(query: StreamingQuery) -> LoadResult:
-    query.awaitTermination()
-    progress = [p for p in query.recentProgress if p.numInputRows]
-    return LoadResult(len(progress), sum(p.numInputRows for p in progress))
-
-
-def new_files(
-    spark: SparkSession,
-    source: str,
-    file_format: str,
-    schema: T.StructType,
-    max_files: int | None = None,
+def read_batch(
+    spark: SparkSession, paths: list[str], source: str, file_format: str, schema: T.StructType | None
 ) -> DataFrame:
-    """The landed files as a stream, with their provenance."""
-    reader = spark.readStream.schema(schema).format(file_format).options(**READ_OPTIONS[file_format])
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return with_provenance(reader.load(source))
+    """The files of one micro-batch with their provenance; columns are inferred from these
+    files only where no schema is declared."""
+    reader = spark.read.format(file_format).options(basePath=source, **READ_OPTIONS[file_format])
+    return with_provenance((reader.schema(schema) if schema else reader).load(paths))
 
 
 def copy_into(
@@ -75,33 +72,40 @@ def copy_into(
     checkpoint: str,
     file_format: str = "json",
     schema: T.StructType | None = None,
-    max_files: int | None = None,
+    max_files: int = FILES_PER_BATCH,
     shape: Callable[[DataFrame], DataFrame] | None = None,
 ) -> LoadResult:
     """Append the files not loaded before to a table, and stop.
 
-    The checkpoint knows the loaded files. Each micro-batch is one partition of the
-    table and a replay replaces it, so a crash between data and checkpoint leaves no
-    duplicates. New columns are added to the table, and ``shape`` may transform a
-    batch first. ``max_files`` bounds a micro-batch.
+    A stream of file names finds what is new; its checkpoint knows the loaded files.
+    Each micro-batch (``max_files`` at most, so the driver's list of names is bounded)
+    is read as a batch and becomes one partition of the table. A replay replaces that
+    partition, so a crash between data and checkpoint leaves no duplicates. New columns
+    are added to the table, and ``shape`` may transform a batch first.
     """
-    schema = schema or landed_schema(spark, source, file_format)
+    done: dict[str, tuple[int, int]] = {}
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = shape(batch) if shape else batch
-        rows = rows.withColumn(LOAD_BATCH, F.lit(batch_label(batch, batch_id)))
+        label = batch_label(batch, batch_id)
+        paths = [row.path for row in batch.collect()]
+        if not paths:
+            return
+        rows = read_batch(spark, paths, source, file_format, schema)
+        rows = (shape(rows) if shape else rows).withColumn(LOAD_BATCH, F.lit(label))
         create_table_if_absent(spark, table, rows.schema, location, [LOAD_BATCH])
-        replace_partitions(spark, table, rows)
+        seen = Observation()
+        replace_partitions(spark, table, rows.observe(seen, F.count(F.lit(1)).alias("n")))
+        done[label] = (len(paths), seen.get["n"])
 
     query = (
-        new_files(spark, source, file_format, schema, max_files)
+        new_files(spark, source, max_files)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    result = run_to_end(query)
-    if shape is None:  # a first run without files still leaves a table to query
-        waiting = new_files(spark, source, file_format, schema).withColumn(LOAD_BATCH, F.lit(""))
-        create_table_if_absent(spark, table, waiting.schema, location, [LOAD_BATCH])
-    return result
+    query.awaitTermination()
+    if schema and shape is None:  # a first run without files still leaves a table to query
+        columns = T.StructType([*schema.fields, T.StructField(PROVENANCE, PROVENANCE_TYPE), T.StructField(LOAD_BATCH, T.StringType())])
+        create_table_if_absent(spark, table, columns, location, [LOAD_BATCH])
+    return LoadResult(len(done), sum(files for files, _ in done.values()), sum(rows for _, rows in done.values()))

@@ -14,7 +14,8 @@ from ..functions.payload import ENVELOPE_COLUMNS, flatten_body, is_valid_json, n
 from ..operators.ledger import append_paths, ledger_entries, read_ledger, unread_paths
 from ..sinks.files import FLUSH_ROWS
 from ..sinks.tables import create_table_if_absent, replace_partitions
-from .load import LOAD_BATCH, batch_label, new_files, run_to_end
+from ..sources.files import PROVENANCE
+from .load import FILES_PER_BATCH, LOAD_BATCH, batch_label, new_files, read_batch
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 FEW_MESSAGES = 1_000
@@ -39,7 +40,7 @@ def drain_messages(
     schema: T.StructType,
     body: str = "Body",
     file_format: str = "json",
-    max_files: int | None = None,
+    max_files: int = FILES_PER_BATCH,
     flush_rows: int = FLUSH_ROWS,
     on_landed: Callable[[str], None] | None = None,
 ) -> IngestResult:
@@ -54,8 +55,12 @@ def drain_messages(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         label = batch_label(batch, batch_id)
+        waiting = [row.path for row in batch.collect()]
+        if not waiting:
+            return
         ok = is_valid_json(body)
-        checked = batch.drop("_metadata").withColumns(
+        messages = read_batch(spark, waiting, source, file_format, schema).drop(PROVENANCE)
+        checked = messages.withColumns(
             {"status": F.when(ok, ACCEPTED).otherwise(REJECTED), body: F.when(ok, normalize_json(body)).otherwise(F.col(body))}
         )
         folder = f"{landing}/{label}"
@@ -69,13 +74,13 @@ def drain_messages(
             on_landed(folder)
 
     query = (
-        new_files(spark, source, file_format, schema, max_files)
+        new_files(spark, source, max_files)
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    run_to_end(query)
+    query.awaitTermination()
     received = sum(n for n, _ in counts.values())
     rejected = sum(bad for _, bad in counts.values())
     stopped = "zero_messages" if received == 0 else "low_throughput" if received < FEW_MESSAGES else "drained"

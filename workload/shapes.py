@@ -99,9 +99,8 @@ def broken_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def valid_json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = payload.split_valid(broken_bodies(spark, sf_dir))
-    both = good.withColumn("accepted", F.lit(True)).unionByName(bad.withColumn("accepted", F.lit(False)))
-    return both.groupBy("event_type", "accepted").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
+    marked = payload.with_validity(broken_bodies(spark, sf_dir))
+    return marked.groupBy("event_type", "accepted").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("id_sum"))
 
 
 @query("SELECT event_id, '{\"k\":' || json_extract(props, '$.k') || ',\"t\":\"' || event_type || '\"}' AS body FROM events")
