@@ -84,16 +84,20 @@ def append_evolving(spark: SparkSession, name: str, df: DataFrame) -> list[str]:
     return added
 
 
-def replace_partitions(spark: SparkSession, name: str, df: DataFrame) -> None:
+def replace_partitions(spark: SparkSession, name: str, df: DataFrame, gather: bool = False) -> None:
     """Write the partitions found in ``df``, replacing exactly those.
 
     The same batch written again leaves the same table: the base of every load that
-    may be repeated after a failure.
+    may be repeated after a failure. Where rows of many partitions lie mixed, ``gather``
+    first rebalances them by partition: few files each, a hot one shared between tasks.
     """
-    if not partition_columns(spark, name):
+    keys = partition_columns(spark, name)
+    if not keys:
         raise ValueError(f"{name} has no partitions to replace")
     evolve_schema(spark, name, df.schema)
     aligned = align(df, spark.table(quoted(name)).schema)
+    if gather:
+        aligned = aligned.hint("rebalance", *keys)
     with overwriting_partitions(aligned.sparkSession):
         aligned.write.mode("overwrite").insertInto(quoted(name))
     # a stream writes in a session of its own; the caller's may still list the old files
