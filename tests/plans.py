@@ -22,6 +22,8 @@ def scan_metric(df, metric: str) -> int:
                 total += entry._2().value() if entry._1() == metric else 0
         if node.nodeName() == "AdaptiveSparkPlan":
             waiting.append(node.executedPlan())
+        if node.nodeName().endswith("QueryStage"):
+            waiting.append(node.plan())
         children = node.children().iterator()
         while children.hasNext():
             waiting.append(children.next())

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 import zipfile
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from tidemark.config import (
 )
 from tidemark.jobs import run_bronze, run_landing, run_maintenance
 from tidemark.plans.feeds import READERS, Extract
+from tidemark.shared import shared_folder
 from tidemark.sinks.files import WriteMode
 
 META = {"data_source": "src", "source_type": "files", "cost_center": "cc", "system_owner": "own"}
@@ -91,12 +93,12 @@ def write(folder, name, content):
 
 
 def test_dated_files_by_mark(spark, tmp_path):
-    lake = Lake(spark, tmp_path, "dated_files", {"prefix": "watch_", "mark_column": "_file_generation_date"})
-    write(tmp_path / "in", "x_watch_20240130.csv", "a,b\né,1\n".encode("latin-1"))
-    write(tmp_path / "in", "x_watch_20240131.csv", "a,b\né,2\nragged\n")
+    lake = Lake(spark, tmp_path, "dated_files", {"prefix": "visits_", "mark_column": "_file_generation_date"})
+    write(tmp_path / "in", "x_visits_20240130.csv", "a,b\né,1\n".encode("latin-1"))
+    write(tmp_path / "in", "x_visits_20240131.csv", "a,b\né,2\nragged\n")
     landed, table = lake.run(datetime(2024, 1, 31, 8))
     assert landed and table.count() == 2 and {r._qtd_rows for r in table.collect()} == {2}
-    write(tmp_path / "in", "x_watch_20240201.csv", "a,b\nx,3\n")
+    write(tmp_path / "in", "x_visits_20240201.csv", "a,b\nx,3\n")
     landed, table = lake.run(datetime(2024, 2, 1, 8))
     assert sorted((r.a, r.b) for r in table.collect()) == [("x", "3"), ("é", "1"), ("é", "2")]
     assert {r._data_source for r in table.collect()} == {"src"}
@@ -134,6 +136,17 @@ def test_reports_look_back_and_append_again(spark, tmp_path):
     assert sorted(r.Call_Id for r in table.collect()) == ["0, x", "1, x", "1, x", "2, x"]
 
 
+def test_reports_without_a_mark_are_taken_whole(spark, tmp_path):
+    def copies():
+        return set(Path(shared_folder(spark)).glob("tidemark/extract-*"))
+
+    lake = Lake(spark, tmp_path, "reports", {"time_column": "Start", "mark_column": "Start"})
+    write(tmp_path / "in", "r.csv", "Id,Start\n1,2020-01-01 00:00:00\n2,bad time\n")
+    before = copies()
+    assert lake.run(datetime(2024, 1, 31, 8))[1].count() == 2
+    assert copies() == before  # the settled copy is gone
+
+
 def test_plain_documents_of_yesterday(spark, tmp_path):
     lake = Lake(spark, tmp_path, "plain_documents", {"mark_column": "createdAt", "file_format": "csv", "fields": ["id", "createdAt", "dateOfCreation"]})
     docs = [("a", "31-01-2024 00:00:00"), ("a", "31-01-2024 00:00:00"), ("b", "31-01-2024 23:59:59"), ("c", "01-02-2024 00:00:00")]

@@ -35,11 +35,11 @@ def test_leading_dates_cross_a_month_end(spark, tmp_path):
 
 def test_trailing_dates_and_full_selection(spark, tmp_path):
     for day in ("20240130", "20240201"):
-        folder = put(tmp_path / "f", f"x_watch_{day}.csv", f"d\n{day}\n")
+        folder = put(tmp_path / "f", f"x_visits_{day}.csv", f"d\n{day}\n")
     rows = files.naive_csv(spark, folder)
-    one = files.select_dated_files(rows, files.trailing_date("watch_"), date(2024, 2, 2), 1)
+    one = files.select_dated_files(rows, files.trailing_date("visits_"), date(2024, 2, 2), 1)
     assert [r.d for r in one.collect()] == ["20240201"]
-    every = files.select_dated_files(rows, files.trailing_date("watch_"), date(2024, 2, 2), None)
+    every = files.select_dated_files(rows, files.trailing_date("visits_"), date(2024, 2, 2), None)
     assert every.count() == 2
 
 
@@ -263,3 +263,22 @@ def test_incremental_condition():
     assert databases.incremental_condition("c >", None) is None
     assert databases.incremental_condition("c >", datetime(2024, 1, 2, 3)) == "c > '2024-01-02 03:00:00'"
     assert databases.incremental_condition("c >", "o'x") == "c > 'o''x'"
+
+
+def test_a_marked_line_that_is_not_first_is_no_mark(spark, tmp_path):
+    put(tmp_path / "c", "a.csv", b"a,b\n" + b"\xff\xfeq,1\n")
+    folder = put(tmp_path / "c", "b.csv", b"\xff\xfeq,1\n" + b"")
+    got = {os.path.basename(r.path): r.charset for r in files.detect_charsets(spark, folder).collect()}
+    assert got == {"a.csv": "ISO-8859-1", "b.csv": "UTF-16LE"}
+
+
+def test_detection_opens_only_selected_files_and_hashes(spark, tmp_path):
+    from plans import plan_text
+
+    for day in ("20240130", "20240201", "20240202"):
+        folder = put(tmp_path / "f", f"x_visits_{day}.csv", f"d\n{day}\n")
+    wanted = files.within_days(files.trailing_date("visits_"), date(2024, 2, 2), 1)
+    listing = files.detect_charsets(spark, folder, wanted)
+    assert scan_metric(listing, "numFiles") == 2
+    assert "SortAggregate" not in plan_text(listing)
+    assert files.detected_csv(spark, folder, selected=wanted).count() == 2

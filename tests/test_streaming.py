@@ -160,15 +160,15 @@ def test_flush_size_bounds_files(spark, places):
 
 
 def test_queue_to_bronze(spark, places, schema_name):
-    name, body = f"{schema_name}.usuario", all_string_schema(["nome", "login"])
+    name, body = f"{schema_name}.users", all_string_schema(["nome", "login"])
 
     def land():
         return land_queue(
-            spark, places["source"], places["landing"], places["checkpoint"], places["ledger"], "usuario", "prd", MESSAGE_SCHEMA, AT
+            spark, places["source"], places["landing"], places["checkpoint"], places["ledger"], "users", "prd", MESSAGE_SCHEMA, AT
         )
 
     def to_bronze():
-        return load_queue(spark, places["ledger"], "usuario", "prd", name, places["table"], body, AT)
+        return load_queue(spark, places["ledger"], "users", "prd", name, places["table"], body, AT)
 
     write_files(messages(spark, '{"nome": "a", "login": 1}', "bad"), places["source"])
     first = land()

@@ -16,8 +16,8 @@ from .operators.ledger import append_paths
 from .operators.marks import last_mark
 from .plans.feeds import READERS, Extract, audit_literals
 from .retry import retry
-from .shared import new_folder, settled
-from .sinks.files import WriteMode, write_unless_empty
+from .shared import new_folder, settled_batch
+from .sinks.files import WriteMode, write_files
 from .sinks.tables import quoted, replace_table, staged_publish
 from .sources.databases import Connection
 from .sources.files import NoFiles, scan_csv, with_provenance
@@ -45,8 +45,8 @@ def land_table(
 ) -> bool:
     """Extract one table and write its landing files; False when there was nothing new.
 
-    The source is read once, into a settled batch; the emptiness check, the row count
-    and the landing write all work on that batch.
+    The extract runs once, into a settled batch; the emptiness check (one row), the row
+    count (file footers) and the landing write all work on that batch.
     """
     run = Extract(spark, job, spec, as_of, table_mark(spark, job, spec, as_of), connection)
     try:
@@ -54,17 +54,18 @@ def land_table(
     except NoFiles as none:
         log.warning("%s.%s: %s", spec.schema, spec.table, none)
         return False
-    batch = settled(spark, extract, "extract")
-    landed = write_unless_empty(
-        with_audit(batch, audit_literals(run)),
-        render_path(job.outputs, **job.parts(spec)),
-        file_format=spec.file_format,
-        mode=spec.write_mode,
-        files=spec.options.get("files"),
-    )
-    if not landed:
-        log.warning("%s.%s: nothing new", spec.schema, spec.table)
-    return landed
+    with settled_batch(spark, extract, "extract") as batch:
+        if batch.isEmpty():
+            log.warning("%s.%s: nothing new", spec.schema, spec.table)
+            return False
+        write_files(
+            with_audit(batch, audit_literals(run)),
+            render_path(job.outputs, **job.parts(spec)),
+            file_format=spec.file_format,
+            mode=spec.write_mode,
+            files=spec.options.get("files"),
+        )
+    return True
 
 
 def run_landing(

@@ -101,10 +101,11 @@ def database(run: Extract) -> DataFrame:
 
 
 def reports(run: Extract) -> DataFrame:
-    """Report CSVs, cut to the run's windows by the report's time column."""
+    """Report CSVs, cut to the run's windows by the report's time column; a first run,
+    which has no mark, takes them whole."""
     rows = report_rows(run.spark, run.source, multi_line=run.option("multi_line", True))
     column = run.option("time_column")
-    if column:
+    if column and (run.mark is not None or not run.job.incremental):
         rows = rows.withColumn("__moment", F.expr(f"try_cast(`{column}` AS timestamp_ntz)"))
         rows = in_windows_union(rows, "__moment", run.windows()).drop("__moment")
     return rows

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -35,7 +37,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def settled(spark: SparkSession, df, label: str):
+def settled(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write a result once and read it back, so that later passes see one snapshot.
 
     A database or an unversioned folder read twice may answer differently each
@@ -44,3 +46,15 @@ def settled(spark: SparkSession, df, label: str):
     folder = new_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+@contextmanager
+def settled_batch(spark: SparkSession, df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """A settled result for the length of a block; its copy is deleted afterwards."""
+    folder = new_folder(spark, label)
+    try:
+        df.write.parquet(folder)
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        fs, jpath = filesystem(spark, folder)
+        fs.delete(jpath, True)

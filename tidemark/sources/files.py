@@ -155,26 +155,29 @@ def detect_charsets(
 
     ``selected`` is a condition on ``_metadata.file_name``; other files stay unopened.
 
-    Files are read as split text, so a large one is shared between tasks and only a
-    flag and four bytes per file and task are shuffled. The first line of a file is
-    the lowest row number within its first block. A byte-order mark decides; else
-    valid UTF-8 is UTF-8, and anything else is single-byte text.
+    Files are read as split text, so a large one is shared between tasks, and only
+    flags and row numbers are aggregated and shuffled. A file carries a byte-order mark
+    if the first of its marked lines is its first line (the lowest row number of its
+    first block). The mark decides; else valid UTF-8 is UTF-8, and anything else is
+    single-byte text.
     """
     paths = path if isinstance(path, str) else list(path)
+    head = F.hex(F.substring(F.col("value").cast("binary"), 1, 4))
     lines = spark.read.text(paths).where(F.lit(True) if selected is None else selected).select(
         F.col("_metadata.file_path").alias("path"),
-        (F.col("_metadata.file_block_start") == 0).alias("at_start"),
-        F.monotonically_increasing_id().alias("row"),
-        F.hex(F.substring(F.col("value").cast("binary"), 1, 4)).alias("head"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("row"),
+        head.alias("head"),
         F.is_valid_utf8("value").alias("utf8"),
     )
+    marked = {mark: F.min(F.when(F.startswith("head", F.lit(mark)), F.col("row"))) for mark, _ in BYTE_ORDER_MARKS}
     files = lines.groupBy("path").agg(
-        F.min_by("head", F.when(F.col("at_start"), F.col("row"))).alias("head"),
+        F.min("row").alias("first_row"),
         F.bool_and("utf8").alias("utf8"),
+        *(row.alias(mark) for mark, row in marked.items()),
     )
     charset = F.when(F.col("utf8"), F.lit("UTF-8")).otherwise(F.lit(FALLBACK_CHARSET))
     for mark, name in reversed(BYTE_ORDER_MARKS):
-        charset = F.when(F.startswith("head", F.lit(mark)), F.lit(name)).otherwise(charset)
+        charset = F.when(F.col(mark) == F.col("first_row"), F.lit(name)).otherwise(charset)
     return files.select("path", charset.alias("charset"))
 
 
@@ -237,11 +240,8 @@ def csv_by_header(
     reading = {"encoding": encoding, "multiLine": multi_line, **options}
     heads = (
         spark.read.options(sep="\u0001", quote="", **reading).schema("line string").csv(paths)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("row"),
-            "line",
-        )
+        .where("_metadata.file_block_start = 0")
+        .select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("row"), "line")
         .groupBy("path").agg(F.min_by("line", "row").alias("header"))
     )
     groups = _grouped(heads, "header")

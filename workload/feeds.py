@@ -66,12 +66,12 @@ class Feed:
 )
 def feed_dated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs; the second one takes only the files dated after the first one's mark."""
-    source = daily_events(spark, sf_dir, "yyyyMMdd", "feed_watch_{value}_{part}.csv")
-    feed = Feed(spark, source, {"reader": "dated_files", "prefix": "watch_", "mark_column": "_file_generation_date"})
+    source = daily_events(spark, sf_dir, "yyyyMMdd", "daily_visits_{value}_{part}.csv")
+    feed = Feed(spark, source, {"reader": "dated_files", "prefix": "visits_", "mark_column": "_file_generation_date"})
     first = datetime(2024, 1, 20, 12)
     # a first run has no mark and takes every file: give it those delivered by then
     days = "{{0[1-9],1[0-9],20}}"  # doubled braces, as the path is a template
-    feed.run(first, input=f"{source}/feed_watch_202401{days}_*")
+    feed.run(first, input=f"{source}/daily_visits_202401{days}_*")
     return cast_to(
         feed.run(datetime(2024, 1, 25, 12)).withColumnRenamed("_file_generation_date", "file_date"),
         "event_id bigint, user_id bigint, event_type string, file_date date, _qtd_rows bigint",

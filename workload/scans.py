@@ -52,7 +52,7 @@ def leading_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 def trailing_files(spark: SparkSession, sf_dir: str) -> str:
-    return daily_events(spark, sf_dir, "yyyyMMdd", "feed_watch_{value}_{part}.csv")
+    return daily_events(spark, sf_dir, "yyyyMMdd", "daily_visits_{value}_{part}.csv")
 
 
 EVENT_FILE_SQL = """
@@ -136,13 +136,13 @@ def files_by_leading_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(EVENT_FILE_SQL.format(where="CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'"))
 def files_by_trailing_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = files.naive_csv(spark, trailing_files(spark, sf_dir))
-    return _event_files(files.select_dated_files(rows, files.trailing_date("watch_"), AS_OF, 10))
+    return _event_files(files.select_dated_files(rows, files.trailing_date("visits_"), AS_OF, 10))
 
 
 @query(EVENT_FILE_SQL.format(where="TRUE"))
 def files_full_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = files.naive_csv(spark, trailing_files(spark, sf_dir))
-    return _event_files(files.select_dated_files(rows, files.trailing_date("watch_"), AS_OF, None))
+    return _event_files(files.select_dated_files(rows, files.trailing_date("visits_"), AS_OF, None))
 
 
 @query(EVENT_FILE_SQL.format(where="CAST(ts AS DATE) > DATE '2024-01-12' AND CAST(ts AS DATE) <= DATE '2024-01-20'"))
