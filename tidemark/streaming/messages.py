@@ -88,9 +88,19 @@ def drain_messages(
     return IngestResult(received, received - rejected, rejected, paths, stopped)
 
 
-def accepted(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def _with_status(spark: SparkSession, path: str | Sequence[str], status: str) -> DataFrame:
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.parquet(*(f"{p}/status={ACCEPTED}" for p in paths))
+    return spark.read.parquet(*(f"{p}/status={status}" for p in paths))
+
+
+def accepted(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Messages of landed folders whose body is JSON."""
+    return _with_status(spark, path, ACCEPTED)
+
+
+def rejected(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Messages of landed folders that were set aside, bodies as received."""
+    return _with_status(spark, path, REJECTED)
 
 
 def load_unread(

@@ -56,7 +56,7 @@ class Feed:
 
 @query(
     """
-    SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS file_date,
+    SELECT event_id, user_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS file_date,
            CASE WHEN CAST(ts AS DATE) <= DATE '2024-01-20'
                 THEN (SELECT count(*) FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20')
                 ELSE (SELECT count(*) FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-21' AND DATE '2024-01-25')
@@ -74,11 +74,11 @@ def feed_dated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed.run(first, input=f"{source}/daily_visits_202401{days}_*")
     return cast_to(
         feed.run(datetime(2024, 1, 25, 12)).withColumnRenamed("_file_generation_date", "file_date"),
-        "event_id bigint, user_id bigint, event_type string, file_date date, _qtd_rows bigint",
+        "event_id bigint, user_id bigint, event_type string, file_date string, _qtd_rows bigint",
     )
 
 
-@query("SELECT event_id, event_type, value, DATE '2024-01-15' AS file_date FROM events WHERE event_id % 3 <> 0")
+@query("SELECT event_id, event_type, value, '2024-01-15' AS file_date FROM events WHERE event_id % 3 <> 0")
 def feed_zipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = Feed(
         spark, zipped_events(spark, sf_dir),
@@ -88,7 +88,7 @@ def feed_zipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = feed.run()  # nothing is newer than the mark
     return again.select(
         F.col("event_id").cast("bigint").alias("event_id"), "event_type", F.col("value").cast("double").alias("value"),
-        F.to_date("_file_generation_date").alias("file_date"),
+        F.to_date("_file_generation_date").cast("string").alias("file_date"),
     )
 
 
@@ -213,7 +213,7 @@ def feed_warehouse_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT event_id, CAST(ts AS DATE) AS day,
+    SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
            CASE WHEN ts >= TIMESTAMP '2024-01-18' THEN value + 1 ELSE value END AS value
     FROM events
     """
@@ -230,4 +230,4 @@ def replay_replaces_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     newest = rows.one_per_key(versions, ["event_id"], ["loaded"]).drop("loaded")
     tables.replace_partitions(spark, name, newest, gather=True)
-    return spark.table(name)
+    return spark.table(name).withColumn("day", F.col("day").cast("string"))

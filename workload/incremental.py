@@ -139,7 +139,7 @@ def receive_metadata_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT w.start AS start, count(*) AS n_rows, sum(e.event_id) AS id_sum
+    SELECT w.start AS start, count(*) AS n_rows, CAST(sum(e.event_id) AS BIGINT) AS id_sum
     FROM events e
     JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-16', TIMESTAMP '2024-01-20 08:00:00', INTERVAL 8 HOUR)) AS start) w
       ON e.ts >= w.start AND e.ts < least(w.start + INTERVAL 8 HOUR, TIMESTAMP '2024-01-20 12:00:00')

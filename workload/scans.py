@@ -56,7 +56,7 @@ def trailing_files(spark: SparkSession, sf_dir: str) -> str:
 
 
 EVENT_FILE_SQL = """
-    SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS file_date
+    SELECT event_id, user_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS file_date
     FROM events WHERE {where}
 """
 
@@ -64,7 +64,7 @@ EVENT_FILE_SQL = """
 def _event_files(df: DataFrame) -> DataFrame:
     return cast_to(
         df.withColumnRenamed(files.FILE_DATE, "file_date"),
-        "event_id bigint, user_id bigint, event_type string, file_date date",
+        "event_id bigint, user_id bigint, event_type string, file_date string",
     )
 
 
@@ -152,7 +152,7 @@ def files_since_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_files(files.select_dated_files(rows, files.leading_date(), AS_OF, n_days))
 
 
-@query("SELECT CAST(ts AS DATE) AS file_date, count(*) AS n_rows, sum(event_id) AS id_sum FROM events GROUP BY 1")
+@query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS file_date, count(*) AS n_rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events GROUP BY 1")
 def file_generation_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _event_files(
         files.select_dated_files(

@@ -94,7 +94,7 @@ def broken_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT event_type, event_id % 10 >= 4 AS accepted, count(*) AS n, sum(event_id) AS id_sum
+    SELECT event_type, event_id % 10 >= 4 AS accepted, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum
     FROM events GROUP BY 1, 2
     """
 )
@@ -238,7 +238,7 @@ def format_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT event_id, date_trunc('second', ts) AS day_first, CAST(ts AS DATE) AS leading, CAST(ts AS DATE) AS compact,
+    SELECT event_id, date_trunc('second', ts) AS day_first, CAST(CAST(ts AS DATE) AS VARCHAR) AS leading, CAST(CAST(ts AS DATE) AS VARCHAR) AS compact,
            CAST(NULL AS TIMESTAMP) AS unfit, date_trunc('second', ts) AS cut
     FROM events
     """
@@ -251,8 +251,8 @@ def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.select(
         "event_id",
         times.parse_time("a", "day_first").alias("day_first"),
-        times.parse_date("b", "date_day_first").alias("leading"),
-        times.parse_date("c", "date_compact").alias("compact"),
+        times.parse_date("b", "date_day_first").cast("string").alias("leading"),
+        times.parse_date("c", "date_compact").cast("string").alias("compact"),
         times.parse_time("c", "iso_minute").alias("unfit"),
         times.parse_seconds("d").alias("cut"),
     )

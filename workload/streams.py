@@ -152,7 +152,7 @@ BODY_SCHEMA = all_string_schema(["k"])
 @query(
     """
     SELECT CAST(json_extract(props, '$.k') AS VARCHAR) AS k, '{"date":"' || event_type || '"}' AS HTTPHeaders,
-           0 AS RetryAttempts, CAST(event_id AS VARCHAR) AS MessageId, 'request-' || (event_id // 10) AS RequestId
+           CAST(0 AS BIGINT) AS RetryAttempts, CAST(event_id AS VARCHAR) AS MessageId, 'request-' || (event_id // 10) AS RequestId
     FROM events WHERE event_id % 10 >= 4
     """
 )
