@@ -192,6 +192,32 @@ def test_warehouse_view_daily_and_hourly(spark, tmp_path):
     assert not landed or table.count() >= 4
 
 
+def test_mark_is_kept_with_the_table(spark, tmp_path, schema_name):
+    from tidemark.jobs import table_mark
+    from tidemark.sinks.tables import append_evolving, create_table_if_absent, replace_table, table_note
+
+    name, root = f"{schema_name}.t", str(tmp_path / "t")
+    job = LandingJob.from_json(
+        {"catalog": "c", "metadata": META, "outputs": "o", "schemas": {schema_name: {"t": {"mark_column": "ts"}}}}
+    )
+
+    def mark():
+        return table_mark(spark, job, job.tables[0], datetime(2024, 6, 1))
+
+    def rows(*days):
+        return spark.createDataFrame([(datetime(2024, 1, d),) for d in days], "ts timestamp_ntz")
+
+    assert mark() is None
+    create_table_if_absent(spark, name, rows(1).schema, root)
+    assert mark() is None and table_note(spark, name, "mark.ts") is None
+    append_evolving(spark, name, rows(3, 1))
+    assert mark() == datetime(2024, 1, 3) and table_note(spark, name, "mark.ts") == "2024-01-03T00:00:00"
+    append_evolving(spark, name, rows(9))
+    assert mark() == datetime(2024, 1, 9)
+    replace_table(spark, name, rows(2), root + "-versions")  # the mark goes back with the data
+    assert mark() == datetime(2024, 1, 2)
+
+
 def test_warehouse_windows(spark, tmp_path):
     rows = [(n, datetime(2024, 1, 28 + n, 6)) for n in range(4)]
     spark.createDataFrame(rows, "n int, ts timestamp_ntz").write.parquet(str(tmp_path / "in"))

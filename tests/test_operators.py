@@ -63,6 +63,16 @@ def test_mark_ignores_the_future_and_may_be_absent(spark):
     assert marks.last_mark(df.where("false"), "ts", datetime(2024, 1, 3)) is None
 
 
+def test_known_mark_only_saves_work(spark, tmp_path):
+    days = [datetime(2024, 1, d) for d in (1, 5, 9)]
+    stamps(spark, *days).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for known in (None, days[0], days[1], datetime(2024, 1, 6), datetime(2030, 1, 1)):
+        assert marks.last_mark(df, "ts", datetime(2024, 1, 7), known=known) == days[1]
+    plan = plan_text(marks.high_water_mark(df, "ts", datetime(2024, 1, 7), at_least=days[1]))
+    assert "GreaterThanOrEqual(ts," in plan and "LessThanOrEqual(ts," in plan
+
+
 def test_mark_over_day_first_text(spark):
     df = spark.createDataFrame([("31-01-2024 00:00:00",), ("01-02-2024 00:00:00",), ("none",)], "c string")
     assert marks.last_mark(df, "c", datetime(2024, 3, 1), "day_first") == datetime(2024, 2, 1)

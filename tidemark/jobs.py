@@ -18,7 +18,7 @@ from .plans.feeds import READERS, Extract, audit_literals
 from .retry import retry
 from .shared import new_folder, settled_batch
 from .sinks.files import WriteMode, write_files
-from .sinks.tables import quoted, replace_table, staged_publish
+from .sinks.tables import quoted, replace_table, set_table_note, staged_publish, table_note
 from .sources.databases import Connection
 from .sources.files import NoFiles, scan_csv, with_provenance
 from .streaming.load import FILES_PER_BATCH, READ_OPTIONS, copy_into
@@ -28,16 +28,26 @@ log = logging.getLogger(__name__)
 
 
 def table_mark(spark: SparkSession, job: LandingJob, spec: TableSpec, as_of: datetime) -> datetime | None:
-    """Mark of the bronze table, or None where there is no table, no row or no mark column."""
-    name = quoted(job.bronze_name(spec))
-    if not (job.incremental and spec.has_mark and spark.catalog.tableExists(name)):
+    """Mark of the bronze table, or None where there is no table, no row or no mark column.
+
+    A mark over a time column is kept with the table, and the next lookup starts from it.
+    Text columns are parsed, which no file statistics can help with.
+    """
+    name = job.bronze_name(spec)
+    if not (job.incremental and spec.has_mark and spark.catalog.tableExists(quoted(name))):
         return None
     column = spec.options.get("bronze_mark_column", spec.mark_column)
-    table = spark.table(name)
     pattern = spec.options.get("mark_pattern")
-    if pattern is None and table.schema[column].dataType == T.StringType():
-        table = table.withColumn(column, table[column].try_cast("timestamp_ntz"))
-    return last_mark(table, column, as_of, pattern)
+    table = spark.table(quoted(name))
+    if table.schema[column].dataType == T.StringType():
+        if pattern is None:
+            table = table.withColumn(column, table[column].try_cast("timestamp_ntz"))
+        return last_mark(table, column, as_of, pattern)
+    kept = table_note(spark, name, f"mark.{column}")
+    mark = last_mark(table, column, as_of, pattern, datetime.fromisoformat(kept) if kept else None)
+    if isinstance(mark, datetime) and mark.isoformat() != kept:
+        set_table_note(spark, name, f"mark.{column}", mark.isoformat())
+    return mark
 
 
 def land_table(

@@ -54,6 +54,16 @@ def table_location(spark: SparkSession, name: str) -> str:
     return rows.first().data_type
 
 
+def table_note(spark: SparkSession, name: str, key: str) -> str | None:
+    """A small fact kept with the table as a property; None where there is none."""
+    notes = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()}
+    return notes.get(f"tidemark.{key}")
+
+
+def set_table_note(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ('tidemark.{key}' = '{value}')")
+
+
 def evolve_schema(spark: SparkSession, name: str, incoming: T.StructType) -> list[str]:
     """Add columns the table lacks; returns their names. Older rows read null there."""
     known = {f.name.lower() for f in spark.table(quoted(name)).schema}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,6 +100,12 @@ def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marks.high_water_mark(table(spark, sf_dir, "events"), "ts", AS_OF)
 
 
+@query("SELECT max(ts) AS mark FROM events WHERE ts <= TIMESTAMP '2024-01-20 12:00:00'")
+def high_water_mark_from_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the mark of five days before is kept; only what came after it is looked at
+    return marks.high_water_mark(table(spark, sf_dir, "events"), "ts", AS_OF, at_least=AS_OF - timedelta(days=5))
+
+
 @query("SELECT max(date_trunc('second', ts)) AS mark FROM events WHERE ts <= TIMESTAMP '2024-01-20 12:00:00'")
 def high_water_mark_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     # day-first text: its own maximum would be a day 31
