@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from tidemark.config import BronzeJob, LandingJob
 from tidemark.functions.times import format_time
 from tidemark.jobs import run_bronze, run_landing
+from tidemark.operators import rows
 from tidemark.shared import new_folder
 from tidemark.sinks import tables
-from tidemark.operators import rows
 
 from .registry import query
-from .scans import cast_to, daily_events, typed_customers, zipped_events
+from .scans import cast_to, trailing_files, typed_customers, zipped_events
 from .staging import fresh_schema, staged, table
 
 AS_OF = datetime(2024, 1, 20, 12, 0)
@@ -66,12 +66,12 @@ class Feed:
 )
 def feed_dated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs; the second one takes only the files dated after the first one's mark."""
-    source = daily_events(spark, sf_dir, "yyyyMMdd", "daily_visits_{value}_{part}.csv")
+    source = trailing_files(spark, sf_dir)
     feed = Feed(spark, source, {"reader": "dated_files", "prefix": "visits_", "mark_column": "_file_generation_date"})
     first = datetime(2024, 1, 20, 12)
     # a first run has no mark and takes every file: give it those delivered by then
     days = "{{0[1-9],1[0-9],20}}"  # doubled braces, as the path is a template
-    feed.run(first, input=f"{source}/daily_visits_202401{days}_*")
+    feed.run(first, input=f"{source}/daily_visits_202401{days}-*")
     return cast_to(
         feed.run(datetime(2024, 1, 25, 12)).withColumnRenamed("_file_generation_date", "file_date"),
         "event_id bigint, user_id bigint, event_type string, file_date string, _qtd_rows bigint",

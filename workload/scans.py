@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.filters import on_days
 from tidemark.operators.rows import latest_file
 from tidemark.operators.windows import days_since
 from tidemark.shared import new_folder
@@ -37,22 +38,27 @@ def events_as_json(spark: SparkSession, sf_dir: str) -> str:
     return staged(spark, sf_dir, "events-json", lambda folder: write_files(table(spark, sf_dir, "events"), folder))
 
 
-def daily_events(spark: SparkSession, sf_dir: str, date_format: str, pattern: str) -> str:
-    """Events as CSV files that carry their day in the name."""
-    rows = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", F.date_format("ts", date_format).alias("day")
-    )
-    return staged(
-        spark, sf_dir, f"events-{date_format}", lambda folder: write_named(rows, "day", folder, pattern, header=True)
-    )
+def daily_events(spark: SparkSession, sf_dir: str, stem: str) -> str:
+    """Events as CSV files that carry their day in the name, as feeds deliver them.
+
+    One write a day of the calendar; each reads only its day's row groups.
+    """
+
+    def build(folder: str) -> None:
+        events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+        for (day,) in events.select(F.to_date("ts")).distinct().collect():
+            rows = on_days(events, "ts", day, day + timedelta(days=1)).drop("ts")
+            write_named(rows, day.strftime(stem), folder, header=True)
+
+    return staged(spark, sf_dir, f"events-{stem.replace('%', '')}", build)
 
 
 def leading_files(spark: SparkSession, sf_dir: str) -> str:
-    return daily_events(spark, sf_dir, "dd-MM-yyyy", "{value}_{part}.csv")
+    return daily_events(spark, sf_dir, "%d-%m-%Y_visits")
 
 
 def trailing_files(spark: SparkSession, sf_dir: str) -> str:
-    return daily_events(spark, sf_dir, "yyyyMMdd", "daily_visits_{value}_{part}.csv")
+    return daily_events(spark, sf_dir, "daily_visits_%Y%m%d")
 
 
 EVENT_FILE_SQL = """
@@ -119,11 +125,12 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F'")
 def scan_by_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(folder: str) -> None:
-        kind = F.when(F.col("o_orderstatus") == "F", "overview").otherwise("detail").alias("kind")
-        rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", kind)
-        write_named(rows, "kind", folder, "stats_{part}_{value}.csv", header=True)
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus")
+        for ending, condition in (("rep", "o_orderstatus = 'F'"), ("csv", "o_orderstatus <> 'F'")):
+            rows = orders.where(condition).drop("o_orderstatus")
+            write_named(rows, "stats", folder, header=True, extension=ending)
 
-    rows = files.scan_by_suffix(spark, staged(spark, sf_dir, "orders-suffix", build), "_overview.csv")
+    rows = files.scan_by_suffix(spark, staged(spark, sf_dir, "orders-suffix", build), ".rep")
     return cast_to(rows, "o_orderkey bigint, o_custkey bigint, o_orderpriority string")
 
 

@@ -51,23 +51,10 @@ def write_lines(df: DataFrame, line: Column, header: str, folder: str, mode: str
     ).text(folder)
 
 
-def write_named(df: DataFrame, value: str, folder: str, pattern: str, file_format: str = "csv", **options) -> None:
-    """Files that carry a column's value in their name: ``pattern`` has {value} and {part}.
-
-    One write makes a folder per value (several files each on a cluster); the files are
-    then renamed by metadata calls.
-    """
-    raw = f"{folder}.raw"
-    df.write.partitionBy(value).format(file_format).options(**options).save(raw)
-    fs, jraw = filesystem(df.sparkSession, raw)
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path
-    fs.mkdirs(path(folder))
-    for group in fs.listStatus(jraw):
-        _, sign, text = group.getPath().getName().partition("=")
-        if not sign:
-            continue
-        for part, status in enumerate(fs.listStatus(group.getPath())):
-            fs.rename(status.getPath(), path(f"{folder}/{pattern.format(value=text, part=part)}"))
+def write_named(df: DataFrame, stem: str, folder: str, file_format: str = "csv", **options) -> None:
+    """Add files to a folder whose names begin with ``stem``; Spark adds part number and id."""
+    named = {"mapreduce.output.basename": stem, **options}
+    df.write.mode("append").format(file_format).options(**named).save(folder)
 
 
 def write_archives(df: DataFrame, folder: str, stem: str, members: dict[str, str]) -> None:
