@@ -125,8 +125,12 @@ def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> tuple[list, dict[
     return sorted(rows, key=lambda r: (r["doc_id"] is not None, r["doc_id"])), counts
 
 
-def fit(rows: list, counts: dict[int, int], steps: int = 80, rate: float = 0.3, l2: float = 1e-4) -> ToxicityModel:
-    """Maximum likelihood of document labels under the noisy-or, by steps scaled per weight."""
+def fit(rows: list, counts: dict[int, int], steps: int = 80, rate: float = 0.5, l2: float = 0.3, damping: float = 300.0) -> ToxicityModel:
+    """Maximum likelihood of document labels under the noisy-or, by steps scaled per weight.
+
+    ``damping`` keeps steps of rare features small and ``l2`` their weights, so a few
+    documents cannot make a rare word offensive, nor excuse a common one.
+    """
     feature = [np.frombuffer(r["feature"], np.int32) for r in rows]
     seen = np.bincount(np.concatenate([np.unique(f) for f in feature]), minlength=(1 << BITS) + 1)
     kept, sentence, bag, base = [], [], [], 0
@@ -143,15 +147,15 @@ def fit(rows: list, counts: dict[int, int], steps: int = 80, rate: float = 0.3,
     y = np.array([r["toxic"] for r in rows])
     weight = np.where(y == 1, counts[1] / max(1, (y == 1).sum()), counts[0] / max(1, (y == 0).sum()))
     weight = weight / weight.mean()
-    w, b, gw, gb = np.zeros(len(names)), -6.0, np.full(len(names), 1e-8), 1e-8
+    w, b, gw, gb = np.zeros(len(names)), -6.0, np.full(len(names), damping), damping
     for _ in range(steps):
         z = np.bincount(s, w[f], base) + b
         p = 1 / (1 + np.exp(-z))
         whole = -np.expm1(-np.bincount(bag, np.logaddexp(0, z), len(rows)))
         whole = np.clip(whole, 1e-9, 1)
         # derivative of the loss by a sentence's logit
-        d = (weight * np.where(y == 1, -(1 - whole) / whole, 1.0))[bag] * p / len(rows)
-        dw, db = np.bincount(f, d[s], len(names)) + l2 / len(rows) * w, d.sum()
+        d = (weight * np.where(y == 1, -(1 - whole) / whole, 1.0))[bag] * p
+        dw, db = np.bincount(f, d[s], len(names)) + l2 * w, d.sum()
         gw += dw * dw
         gb += db * db
         w -= rate * dw / np.sqrt(gw)
