@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .blocks import Words, byte_values, noise, text_blocks, word_powers
 
@@ -177,7 +178,7 @@ def score(docs: DataFrame, model: ToxicityModel | None, sentences: bool = False)
     """``docs`` plus ``toxicity`` and, on request, ``offending``: byte ranges of sentences over one half."""
     schema = docs.select("*").schema.add("toxicity", "double")
     if sentences:
-        schema = schema.add("offending", "array<struct<start:long,end:long,score:double>>")
+        schema = schema.add("offending", T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("score", "double")))
     at = docs.columns.index("text")
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
