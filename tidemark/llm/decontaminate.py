@@ -82,6 +82,10 @@ class BenchmarkIndex:
     at: np.ndarray
     filter: np.ndarray
 
+    @property
+    def longest(self) -> int:
+        return max(map(len, self.texts))
+
     @property
     def band(self) -> int:
         return int(self.window_edits.max()) + 1
@@ -127,7 +131,7 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _candidates(index: BenchmarkIndex, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Rows (text, window, band) whose shared q-grams reach the lemma's bound."""
+    """Rows (text, window, lowest diagonal of a band) whose shared q-grams reach the lemma's bound."""
     none = np.zeros((0, 3), np.int64)
     code = grams(data)
     if not len(code):
@@ -145,40 +149,50 @@ def _candidates(index: BenchmarkIndex, data: np.ndarray, offsets: np.ndarray) ->
     post = _ranges(index.first[place], counts)
     at, text = np.repeat(at, counts), np.repeat(text, counts)
     item, pos = index.item[post], index.at[post]
-    # too few hits of a text and an item together cannot fill any window
+    # each hit counts in the two bands that its diagonal lies in; a band with too few hits
+    # for any window of its item goes before windows are looked at
     least = index.window_length + 1 - Q - Q * index.window_edits
-    pair = text * len(index.ids) + item
-    names, inverse, n = np.unique(pair, return_inverse=True, return_counts=True)
     item_least = np.minimum.reduceat(least, index.item_first_window[:-1])
-    use = (n >= item_least[names % len(index.ids)])[inverse]
-    at, text, item, pos = at[use], text[use], item[use], pos[use]
-    if not len(at):
+    band = (at - offsets[text] - pos + index.longest) // index.band
+    bands = int(band.max()) + 2
+    key = np.concatenate([(text * len(index.ids) + item) * bands + band + 1, (text * len(index.ids) + item) * bands + band])
+    item, pos = np.tile(item, 2), np.tile(pos, 2)
+    enough = _counts(key) >= item_least[item]
+    key, item, pos = key[enough], item[enough], pos[enough]
+    if not len(key):
         return none
-    # each hit counts in the two bands that its diagonal lies in, and in each window that covers it
-    band = (at - offsets[text] - pos) // index.band
+    # and in each window that covers it; a q-gram of the item counts once
     n = index.item_first_window[item + 1] - index.item_first_window[item]
     window = _ranges(index.item_first_window[item], n)
-    text, pos, band = (np.repeat(x, n) for x in (text, pos, band))
+    key, pos = np.repeat(key, n), np.repeat(pos, n)
     start = index.window_start[window]
     use = (pos >= start) & (pos + Q <= start + index.window_length[window])
-    text, pos, band, window = text[use], pos[use], band[use], window[use]
-    rows = np.stack([np.tile(text, 2), np.tile(window, 2), np.concatenate([band, band - 1]), np.tile(pos, 2)], axis=1)
-    rows = np.unique(rows, axis=0)  # a q-gram of the item counts once in a band
-    if not len(rows):
-        return none
-    change = np.flatnonzero(np.any(rows[1:, :3] != rows[:-1, :3], axis=1)) + 1
-    starts = np.concatenate([[0], change])
-    size = np.diff(np.append(starts, len(rows)))
-    return rows[starts[size >= least[rows[starts, 1]]], :3]
+    key, pos, window = key[use], pos[use], window[use]
+    order = np.lexsort((pos, window, key))
+    key, pos, window = key[order], pos[order], window[order]
+    change = (key[1:] != key[:-1]) | (window[1:] != window[:-1])
+    distinct = np.concatenate([[True], change | (pos[1:] != pos[:-1])])
+    starts = np.concatenate([[0], np.flatnonzero(change) + 1])
+    size = np.add.reduceat(distinct, starts)
+    kept = starts[size >= least[window[starts]]]
+    pair, band = key[kept] // bands, key[kept] % bands
+    # band b holds diagonals from (b - 1) * width to (b + 1) * width - 1, less what keeps them positive
+    return np.stack([pair // len(index.ids), window[kept], (band - 1) * index.band - index.longest], axis=1)
+
+
+def _counts(keys: np.ndarray) -> np.ndarray:
+    """For each entry at least how often its key occurs; more only where two keys share a slot."""
+    slot = ((keys.astype(np.uint64) * _HASH) >> np.uint64(64 - 20)).astype(np.int64)
+    return np.bincount(slot, minlength=1 << 20)[slot]
 
 
 def _align(index: BenchmarkIndex, data: np.ndarray, offsets: np.ndarray, found: np.ndarray) -> np.ndarray:
     """Rows (text, item, start, end, edits) of the candidates that hold; banded, all at once."""
-    text, window, band = found.T
+    text, window, diagonal = found.T
     length, edits = index.window_length[window], index.window_edits[window]
     e, span = int(index.window_edits.max()), index.band
     # text positions of window byte j that its band allows: base + j + (0 .. width - 1)
-    base = offsets[text] + index.window_start[window] + band * span - e
+    base = offsets[text] + index.window_start[window] + diagonal - e
     width = 2 * span + 2 * e
     padded = np.concatenate([data, np.zeros(1, np.uint8)])
     low, high = offsets[text], offsets[text + 1]
