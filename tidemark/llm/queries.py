@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language, minhash, pii, toxicity
+from . import chat, decontaminate, embeddings, language, minhash, pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,6 +102,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_remainder(4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 @query
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
