@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embeddings, language, minhash, pii, toxicity
+from . import chat, decontaminate, embeddings, language, lines, minhash, packing, pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,11 @@ def _joined(spans: str, kinds: tuple[str, ...] | None = None) -> Column:
     return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
+@query
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 def _of_kind(kind: str) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == kind
 
@@ -112,6 +117,18 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    dropped = F.coalesce("_dropped", F.array().cast("array<int>"))
+    return found.select(
+        "doc_id",
+        F.size(dropped).cast("long").alias("n_dropped"),
+        F.array_join(F.array_sort(dropped).cast("array<string>"), ",").alias("dropped_lines"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
