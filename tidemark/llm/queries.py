@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from . import chat, decontaminate, embeddings, language, lines, minhash, packing, pii, repeats, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -158,3 +160,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_sort(F.array_distinct(F.col("leaks.item_id"))).alias("item_ids"),
         F.array_join(F.transform("leaks", lambda r: F.concat_ws(":", r["item_id"], r["start"], r["end"], r["edits"])), ",").alias("leaks"),
     )
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
