@@ -8,7 +8,9 @@ buckets: a pair at the threshold misses all 32 with a chance of 5 in a million.
 Nothing in a bucket is paired with everything else. Equal sets become one representative
 first. Then every member is verified against the bucket's smallest and largest id; what that
 links is one component. Only members of different components that still share a bucket are
-paired, where sizes and one-bit sketches allow the threshold, and verified on full sets.
+paired, where sizes and parity bitmaps allow the threshold, and verified on full sets. A
+parity bitmap tells for every slot whether an odd number of the set's shingles fall into
+it; two bitmaps differ in no more slots than the sets in shingles, so nothing is lost.
 
 Defined results: words are what is between ASCII white space, A-Z lower-cased; a text of
 fewer than five words is one shingle; null, empty and wordless texts have an empty set and
@@ -31,9 +33,9 @@ SIMILAR = 75  # percent
 PERMUTATIONS = 64
 BAND = 4
 BANDS = 2 * PERMUTATIONS // BAND
-SKETCH_DIFFERS = 37  # of 128 bits; pairs at the threshold differ in 16 +- 4
+PARITY_WORDS = 16  # 64-bit words of a set's parity bitmap
 
-_SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, sketch_a long, sketch_b long, buckets array<long>"
+_SKETCH = "doc_id long, n_shingles long, set_a long, set_b long, buckets array<long>"
 
 
 def _values() -> np.ndarray:
@@ -74,14 +76,14 @@ def signature(shingles: np.ndarray, factors: np.ndarray, masks: np.ndarray) -> n
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """For each row the size and fingerprint of its set, a 128-bit sketch and its buckets."""
+    """For each row the size and fingerprint of its set, and its buckets."""
 
     def run(batches):
         factors, masks, weights = noise(PERMUTATIONS, 101), noise(PERMUTATIONS, 103), noise(BAND, 107)
         numbers = noise(BANDS, 109)
         for batch in batches:
             n = batch.num_rows
-            sizes, fixed = np.zeros(n, np.int64), np.zeros((n, 4), np.uint64)
+            sizes, fixed = np.zeros(n, np.int64), np.zeros((n, 2), np.uint64)
             buckets = np.zeros((n, BANDS), np.uint64)
             for i, shingles in shingle_sets(batch.column(1)):
                 sizes[i] = len(shingles)
@@ -92,29 +94,37 @@ def sketches(docs: DataFrame) -> DataFrame:
                     fixed[i, 0] = mix(shingles).sum(dtype=np.uint64)
                     fixed[i, 1] = mix(shingles ^ numbers[0]).sum(dtype=np.uint64)
                     mixed = mix(values)
-                    fixed[i, 2:] = np.packbits((mixed >> np.uint64(63)).astype(bool)).view(np.uint64)
                     buckets[i] = mix((mixed.reshape(BANDS, BAND) * weights).sum(axis=1, dtype=np.uint64) + numbers)
             counts = np.where(sizes > 0, BANDS, 0)
             offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(buckets[sizes > 0].ravel().view(np.int64)))
-            columns = [batch.column(0), pa.array(sizes), *(pa.array(np.ascontiguousarray(fixed[:, k]).view(np.int64)) for k in range(4)), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_a", "set_b", "sketch_a", "sketch_b", "buckets"])
+            columns = [batch.column(0), pa.array(sizes), *(pa.array(np.ascontiguousarray(fixed[:, k]).view(np.int64)) for k in range(2)), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_a", "set_b", "buckets"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SKETCH)
 
 
 def _full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``doc_id, shingles`` of the documents whose id is in ``ids``."""
+    """``doc_id, shingles, parity_*`` of the documents whose id is in ``ids``."""
+    names = [f"parity_{k}" for k in range(PARITY_WORDS)]
+    slots = PARITY_WORDS * 64
 
     def run(batches):
         for batch in batches:
             sets = [s for _, s in shingle_sets(batch.column(1))]
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], ["doc_id", "shingles"])
+            parity = np.zeros((len(sets), slots), bool)
+            for i, s in enumerate(sets):
+                parity[i] = np.bincount((s >> np.uint64(7)).astype(np.int64) % slots, minlength=slots) & 1
+            words = np.packbits(parity, axis=1).view(np.int64).reshape(len(sets), PARITY_WORDS)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(PARITY_WORDS))],
+                ["doc_id", "shingles", *names],
+            )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    return rows.mapInArrow(run, "doc_id long, shingles array<long>")
+    return rows.mapInArrow(run, "doc_id long, shingles array<long>, " + ", ".join(f"{n} long" for n in names))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -145,13 +155,15 @@ def near_duplicates(docs: DataFrame, percent: int = SIMILAR) -> DataFrame:
     placed = members.join(found, "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     sizes = placed.groupBy("bucket", "component").count()
     home = sizes.groupBy("bucket").agg(F.max_by("component", "count").alias("home"), F.count("*").alias("n")).where("n > 1").drop("n")
-    facts = reps.select("doc_id", "n_shingles", "sketch_a", "sketch_b").distinct()
+    names = [f"parity_{k}" for k in range(PARITY_WORDS)]
+    facts = sets.select("doc_id", F.size("shingles").alias("n"), *names)
     open_rows = store(placed.join(home, "bucket").join(facts, "doc_id"), "open").df
     stray = open_rows.where("component <> home").select(*[F.col(c).alias(f"{c}_l") for c in open_rows.columns if c not in ("bucket", "home")], "bucket")
-    differs = F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_a_l"))) + F.bit_count(F.col("sketch_b").bitwiseXOR(F.col("sketch_b_l")))
-    small, large = F.least("n_shingles", "n_shingles_l"), F.greatest("n_shingles", "n_shingles_l")
+    differ = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_l"))) for c in names), F.lit(0))
+    # the sets may differ in (100 - percent) / (100 + percent) of their sizes' sum
+    alike = (differ * (100 + percent) <= (F.col("n") + F.col("n_l")) * (100 - percent)) & (F.least("n", "n_l") * 100 >= F.greatest("n", "n_l") * percent)
     once = (F.col("component") == F.col("home")) | (F.col("doc_id_l") < F.col("doc_id"))
-    rest = stray.join(open_rows, "bucket").where((F.col("component") != F.col("component_l")) & once & (small * 100 >= large * percent) & (differs <= SKETCH_DIFFERS))
+    rest = stray.join(open_rows, "bucket").where((F.col("component") != F.col("component_l")) & once & alike)
     rest = rest.select(F.least("doc_id", "doc_id_l").alias("a"), F.greatest("doc_id", "doc_id_l").alias("b")).distinct()
     more = _verified(rest.join(first, ["a", "b"], "left_anti"), sets, percent)
     groups = components(links.union(more)).select(F.col("id").alias("rep"), "component")
