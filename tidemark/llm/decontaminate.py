@@ -13,7 +13,8 @@ a benchmark of more text is handled by one pass for each shard, so no broadcast
 
 Defined results: null and empty texts have no matches; null or empty items are skipped, and
 so are items of under ``LEAST_ITEM`` bytes, which are no evidence; equal items each match;
-a text of any length is searched whole; an empty benchmark contaminates nothing.
+a text of any length is searched whole; an empty benchmark contaminates nothing. Other
+columns are kept, one named ``leaks`` is replaced.
 """
 
 from __future__ import annotations
@@ -273,6 +274,7 @@ def _shards(benchmark: DataFrame, shard_bytes: int) -> list[list[tuple[int, str]
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``docs`` plus ``leaks``: item and byte range in ``text`` of every contaminated stretch."""
+    docs = docs.drop("leaks")
     at = docs.columns.index("text")
 
     def search(frame: DataFrame, shared) -> DataFrame:

@@ -1,7 +1,8 @@
 """Near-duplicate embeddings by counting collisions on one-dimensional projections.
 
-Each of several tables has one sorted projection and a few more projections cut at the
-mean, which say in which cell of the table a vector lies. Inside a cell the vectors are
+Each of several tables has one sorted projection and a few more projections cut at zero,
+which say in which cell of the table a vector lies (two vectors fall on one side of a cut
+with a chance that depends on their angle alone, so recall holds for any distribution). Inside a cell the vectors are
 sorted by the table's projection, and a query-centred window of calibrated width tells who
 collides. The collisions of a pair are counted over all tables; pairs with at least
 ``LEAST_COLLISIONS`` are verified by cosine in double precision. The number of tables
@@ -69,11 +70,10 @@ def _normal_within(x: float) -> float:
     return math.erf(x / math.sqrt(2))
 
 
-def plan_tables(n: int, similar: float, spread: float, recall: float = RECALL) -> tuple[int, int]:
-    """(cuts per table, tables) for n vectors whose root mean squared distance to their mean is ``spread``."""
+def plan_tables(n: int, similar: float, recall: float = RECALL) -> tuple[int, int]:
+    """(cuts per table, tables) for n vectors."""
     cuts = max(0, round(math.log2(max(1, n / CELL_ROWS))))
-    distance = math.sqrt(2 - 2 * similar)
-    same_side = 1 - math.acos(max(-1.0, 1 - distance**2 / (2 * spread**2))) / math.pi
+    same_side = 1 - math.acos(similar) / math.pi
     q = same_side**cuts * _normal_within(WINDOW)
     tables = LEAST_COLLISIONS
     while tables < 4096:
@@ -87,17 +87,16 @@ def plan_tables(n: int, similar: float, spread: float, recall: float = RECALL) -
 class Projections:
     """The same random directions everywhere, for vectors of one length."""
 
-    def __init__(self, size: int, cuts: int, tables: int, mean: np.ndarray, similar: float):
+    def __init__(self, size: int, cuts: int, tables: int, similar: float):
         rng = np.random.default_rng(size * 1009 + cuts * 31 + tables)
         self.cut = rng.standard_normal((size, tables * cuts))
         self.line = rng.standard_normal((size, tables))
-        self.level = mean @ self.cut
         self.cuts, self.tables = cuts, tables
         self.width = WINDOW * math.sqrt(2 - 2 * similar)
 
     def of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cells and positions of vectors, each vectors by tables."""
-        above = (x @ self.cut > self.level).reshape(len(x), self.tables, self.cuts)
+        above = (x @ self.cut > 0).reshape(len(x), self.tables, self.cuts)
         cells = above @ (1 << np.arange(self.cuts, dtype=np.int64)) if self.cuts else np.zeros((len(x), self.tables), np.int64)
         return cells, x @ self.line
 
@@ -150,12 +149,8 @@ def _block_links(x: np.ndarray, ids: np.ndarray, left: np.ndarray, right: np.nda
 def _links(reps: DataFrame, n: int, size: int, similar: float) -> DataFrame:
     """``rep, linked, root`` once per block and linked representative (vectors of one length)."""
     spark = reps.sparkSession
-    means = reps.select(F.posexplode("unit").alias("k", "v")).groupBy("k").agg(F.avg("v").alias("v")).collect()
-    mean = np.zeros(size)
-    mean[[r["k"] for r in means]] = [r["v"] for r in means]
-    spread = max(0.05, math.sqrt(max(0.0, 1 - float(mean @ mean))))
-    cuts, tables = plan_tables(n, similar, spread)
-    shipped = spark.sparkContext.broadcast(Projections(size, cuts, tables, mean, similar))  # vector length by tables
+    cuts, tables = plan_tables(n, similar)
+    shipped = spark.sparkContext.broadcast(Projections(size, cuts, tables, similar))  # vector length by tables
 
     def place(batches):
         for batch in batches:

@@ -8,7 +8,8 @@ training did not see.
 
 Defined results: a null text, or one without any letter, is ``und`` with score 0; where no
 language can be learned (no training rows), every text is ``und``. Repeated rows are scored
-one by one. Rows without a language are never trained on. Other columns are ignored.
+one by one. Rows without a language are never trained on. Other columns are kept; ones named
+like a result are replaced. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -219,6 +220,7 @@ def train(training: DataFrame, bound: int = SAMPLE_ROWS) -> LanguageModel | None
 
 def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """``docs`` (whole, with ``text``) plus ``lang_pred`` and ``score``."""
+    docs = docs.drop("lang_pred", "score")
     schema = docs.select("*").schema.add("lang_pred", "string").add("score", "double")
     at = docs.columns.index("text")
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: features by languages

@@ -39,6 +39,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 # ``mark`` is the line's hash, its last bit whether the row probes
 _KEYS = "key long, mark long"
+_BAGGED = "key long, mark long, bag long"
 _MET = "a long, b long, key long, mark long"
 
 
@@ -91,6 +92,21 @@ def segment_keys(data: np.ndarray, offsets: np.ndarray, edits: int, salt: np.nda
                 yield every[use], key(every[use], indexed[use], i, at[use], length[use]), True, at[use], length[use]
 
 
+def bags(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each text, which of 64 slots an odd number of its byte pairs falls into.
+
+    An edit takes away at most two pairs and adds two, so texts within e edits differ in 4 e slots at most.
+    """
+    n = len(offsets) - 1
+    if not len(data):
+        return np.zeros(n, np.uint64)
+    first, text = data[:-1], np.repeat(np.arange(n), np.diff(offsets))
+    slot = (first.astype(np.int64) * 31 + data[1:] * 7) & 63
+    inside = text[1:] == text[:-1]
+    odd = np.bincount((text[:-1] * 64 + slot)[inside], minlength=n * 64) & 1
+    return np.packbits(odd.astype(bool)).view(np.uint64)
+
+
 def _bytes_block(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.array([len(t) for t in texts], np.int64)
     return np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum(sizes)])
@@ -182,14 +198,16 @@ def _keyed(lines: DataFrame, edits: int) -> DataFrame:
     return lines.select(_identity()[0], "line").mapInArrow(run, _KEYS)
 
 
-def _meet(keyed: DataFrame, limit: int | None) -> DataFrame:
+def _meet(keyed: DataFrame, limit: int | None, edits: int = EDITS) -> DataFrame:
     """Pairs of lines with an index and a probe row of one key; all rows of a key with too many lines.
 
+    Where rows carry a bag of their line, pairs whose bags differ too much are left out.
+
     The rows come sorted by key, so one key is at hand at a time; of a key beyond the limit
     no pair is made, its rows are passed on as they come.
     """
 
-    def pairs(keys, marks):
+    def pairs(keys, marks, bags):
         """Pairs of whole groups, held as arrays."""
         bounds = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]]))
         size = np.diff(bounds)
@@ -198,14 +216,14 @@ def _meet(keyed: DataFrame, limit: int | None) -> DataFrame:
         open_ = (probes > 0) & (probes < size) & ~hot
         # the rows of small groups, each against the ones that follow at a growing distance
         rows = np.repeat(open_, size)
-        k, m = keys[rows], marks[rows]
+        k, m, g = keys[rows], marks[rows], bags[rows]
         a, b, step = [], [], 1
         while step < len(k):
             same = k[step:] == k[:-step]
             if not same.any():
                 break
             x, y = m[:-step][same], m[step:][same]
-            use = ((x ^ y) & 1 == 1) & (x >> 1 != y >> 1)
+            use = ((x ^ y) & 1 == 1) & (x >> 1 != y >> 1) & (np.bitwise_count(g[:-step][same] ^ g[step:][same]) <= 4 * edits)
             a.append(np.minimum(x[use], y[use]) & -2)
             b.append(np.maximum(x[use], y[use]) & -2)
             step += 1
@@ -226,35 +244,34 @@ def _meet(keyed: DataFrame, limit: int | None) -> DataFrame:
         )
 
     def run(batches):
-        keys, marks = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        keys = marks = bags = np.zeros(0, np.int64)
         for batch in batches:
             k, m = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if len(k) > 1:  # equal rows come from equal lines of several tasks
-                new = np.concatenate([[True], (k[1:] != k[:-1]) | (m[1:] != m[:-1])])
-                k, m = k[new], m[new]
-            if len(keys) and len(k) and keys[-1] == k[0] and marks[-1] == m[0]:
-                k, m = k[1:], m[1:]
-            keys, marks = np.append(keys, k), np.append(marks, m)
+            g = batch.column(2).to_numpy() if batch.num_columns > 2 else np.zeros(len(k), np.int64)
+            keys, marks, bags = np.append(keys, k), np.append(marks, m), np.append(bags, g)
             if not len(keys):
                 continue
+            # equal rows come from equal lines of several tasks
+            new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (marks[1:] != marks[:-1])])
+            keys, marks, bags = keys[new], marks[new], bags[new]
             last = np.searchsorted(keys, keys[-1])  # the last group may go on
-            yield batch_of(*pairs(keys[:last], marks[:last])) if last else batch_of(*[keys[:0]] * 4)
-            keys, marks = keys[last:], marks[last:]
+            yield batch_of(*pairs(keys[:last], marks[:last], bags[:last])) if last else batch_of(*[keys[:0]] * 4)
+            keys, marks, bags = keys[last:], marks[last:], bags[last:]
         if len(keys):
-            yield batch_of(*pairs(keys, marks))
+            yield batch_of(*pairs(keys, marks, bags))
 
     return keyed.repartition("key").sortWithinPartitions("key", "mark").mapInArrow(run, _MET)
 
 
 def _remainders(hot: DataFrame, edits: int) -> DataFrame:
-    """Keys of what is left of lines (``key, mark, line``) when the segment of ``key`` is taken out."""
+    """Keys of what is left of lines (``key, mark, line``) without the segment of ``key``, and bags of whole lines."""
 
     def run(batches):
         for batch in batches:
             for start, data, offsets in text_blocks(batch.column(2)):
                 keys = batch.column(0).slice(start, len(offsets) - 1).to_numpy()
                 marks = batch.column(1).slice(start, len(offsets) - 1).to_numpy()
-                texts, salts, owners = [], [], []
+                texts, salts, owners, held, bag = [], [], [], [], bags(data, offsets).view(np.int64)
                 for rows, key, probe, at, length in segment_keys(data, offsets, edits, np.zeros(len(keys), np.uint64)):
                     for r in np.flatnonzero((key.view(np.int64) == keys[rows]) & ((marks[rows] & 1) == probe)):
                         i = rows[r]
@@ -262,16 +279,17 @@ def _remainders(hot: DataFrame, edits: int) -> DataFrame:
                         texts.append(text[: at[r]] + text[at[r] + length[r] :])
                         salts.append(keys[i])
                         owners.append(marks[i])
+                        held.append(bag[i])
                 if not texts:
                     continue
                 flat, bounds = _bytes_block(texts)
-                owners = np.array(owners)
+                owners, held = np.array(owners), np.array(held)
                 for rows, key, probe, _, _ in segment_keys(flat, bounds, edits, mix(np.array(salts).view(np.uint64))):
                     # a probing line probes with its remainder, an indexed one is indexed with it
                     use = (owners[rows] & 1) == probe
-                    yield pa.RecordBatch.from_arrays([pa.array(key[use].view(np.int64)), pa.array(owners[rows][use])], ["key", "mark"])
+                    yield pa.RecordBatch.from_arrays([pa.array(key[use].view(np.int64)), pa.array(owners[rows][use]), pa.array(held[rows][use])], ["key", "mark", "bag"])
 
-    return hot.select("key", "mark", "line").mapInArrow(run, _KEYS)
+    return hot.select("key", "mark", "line").mapInArrow(run, _BAGGED)
 
 
 def _close(pairs: DataFrame, edits: int) -> DataFrame:
@@ -283,7 +301,10 @@ def _close(pairs: DataFrame, edits: int) -> DataFrame:
             for k in range(0, batch.num_rows, 4096):
                 part = batch.slice(k, 4096)
                 texts = [[t.encode() for t in part.column(i).to_pylist()] for i in at]
-                yield part.filter(pa.array(within_edits(*texts, edits)))
+                found = np.bitwise_count(bags(*_bytes_block(texts[0])) ^ bags(*_bytes_block(texts[1]))) <= 4 * edits
+                near = np.flatnonzero(found)
+                found[near] = within_edits(*([t[i] for i in near] for t in texts), edits)
+                yield part.filter(pa.array(found))
 
     return pairs.mapInArrow(run, pairs.select("*").schema)
 
@@ -314,7 +335,7 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).union(hot_lines).distinct()
     texts = store(_texts_of(lines, facts.join(wanted, "line_id", "left_semi").select("line_id", "check", "first")), "texts").df
     more = hot.withColumn("line_id", F.col("mark").bitwiseAND(F.lit(-2))).join(texts.select("line_id", "line"), "line_id")
-    again = _meet(_remainders(more, edits), None).where("a IS NOT NULL").select("a", "b")
+    again = _meet(_remainders(more, edits), None, edits).where("a IS NOT NULL").select("a", "b")
 
     left = texts.select(F.col("line_id").alias("a"), F.col("check").alias("check_a"), F.col("first").alias("first_a"), F.col("line").alias("left"))
     right = texts.select(F.col("line_id").alias("b"), F.col("check").alias("check_b"), F.col("first").alias("first_b"), F.col("line").alias("right"))
@@ -352,6 +373,7 @@ def _texts_of(lines: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     """``docs`` without later duplicates of lines: same columns, ``text`` (and ``n_chars``) changed, plus ``_dropped``."""
+    docs = docs.drop("_dropped", "_id", "_whole")
     drops = duplicate_lines(docs, edits).distinct().groupBy("doc_id", "whole").agg(F.collect_list("no").alias("_dropped"))
     keys = drops.select(F.col("doc_id").alias("_id"), F.col("whole").alias("_whole"), "_dropped")
     joined = docs.join(keys, (F.col("doc_id").cast("long") == F.col("_id")) & (F.xxhash64("text") == F.col("_whole")), "left").drop("_id", "_whole")

@@ -10,7 +10,8 @@ Kinds of the base: ``email``, ``ip``, ``card`` (13 to 19 digits passing Luhn), `
 more after a cue). Positions are code points, the end is exclusive.
 
 Defined results: null and empty texts have no spans; the same text gives the same spans each
-time it occurs; kinds may overlap one another, matches of one kind never do.
+time it occurs; kinds may overlap one another, matches of one kind never do. Other columns are
+kept, one named ``pii`` is replaced. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -181,6 +182,7 @@ def find_spans(text: str | None, automaton: ahocorasick.Automaton) -> list[tuple
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``pii``: the spans of ``text``."""
+    docs = docs.drop("pii")
     schema = docs.select("*").schema.add("pii", SPANS)
     at = docs.columns.index("text")
 

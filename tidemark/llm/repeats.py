@@ -15,7 +15,8 @@ but its first window are repeats.
 
 Defined results: null and empty texts, and texts under ``WINDOW`` bytes, lose nothing; rows
 of one id are one document, and ranges found in one of them hold for each; rows without id
-lose nothing and repeat nothing; other columns are kept.
+lose nothing and repeat nothing; other columns are kept, ones named like a result are
+replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -265,6 +266,7 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` plus ``kept`` (the remaining bytes), ``n_removed`` and ``n_spans`` (maximal removed runs)."""
+    docs = docs.drop("kept", "n_removed", "n_spans", "ranges", "_id")
     ranges = removed_ranges(docs, window).select(F.col("doc_id").alias("_id"), "ranges")
     rows = docs.join(ranges, F.col("doc_id").cast("long") == F.col("_id"), "left").drop("_id")
     schema = docs.select("*").schema.add("kept", "binary").add("n_removed", "long").add("n_spans", "long")

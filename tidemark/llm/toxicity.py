@@ -7,7 +7,8 @@ trained model then tells which sentences offend.
 
 Defined results: null, empty and wordless texts have no sentence and score 0; where no label
 of both kinds exists, every score is 0. Several labels of a document count once, as their
-largest. Repeated rows are scored one by one; other columns are kept and ignored.
+largest. Repeated rows are scored one by one; other columns are kept, ones named like a
+result are replaced. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ BITS = 18
 PREFIXES = (4, 5, 6)  # bytes of a word's beginning that are features of their own
 SENTENCE_WORDS = 40  # longer sentences are judged in stretches of so many words
 SAMPLE_ROWS = 6000  # most documents that weights are trained on, of each label half of them
-LEAST_SEEN = 3  # sample documents that must hold a feature
+LEAST_SEEN = 5  # sample documents that must hold a feature
 
 
 def _word_bytes() -> np.ndarray:
@@ -126,10 +127,10 @@ def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> tuple[list, dict[
     return sorted(rows, key=lambda r: (r["doc_id"] is not None, r["doc_id"])), counts
 
 
-def fit(rows: list, counts: dict[int, int], steps: int = 80, rate: float = 0.5, l2: float = 0.3, damping: float = 300.0) -> ToxicityModel:
+def fit(rows: list, counts: dict[int, int], steps: int = 80, rate: float = 0.5, l2: float = 0.3, damping: float = 0.02, pull: float = 0.1) -> ToxicityModel:
     """Maximum likelihood of document labels under the noisy-or, by steps scaled per weight.
 
-    ``damping`` keeps steps of rare features small and ``l2`` their weights, so a few
+    ``damping``, by the number of documents, keeps steps of rare features small and ``l2`` their weights, so a few
     documents cannot make a rare word offensive, nor excuse a common one.
     """
     feature = [np.frombuffer(r["feature"], np.int32) for r in rows]
@@ -148,7 +149,7 @@ def fit(rows: list, counts: dict[int, int], steps: int = 80, rate: float = 0.5,
     y = np.array([r["toxic"] for r in rows])
     weight = np.where(y == 1, counts[1] / max(1, (y == 1).sum()), counts[0] / max(1, (y == 0).sum()))
     weight = weight / weight.mean()
-    w, b, gw, gb = np.zeros(len(names)), -6.0, np.full(len(names), damping), damping
+    w, b, gw = np.zeros(len(names)), -6.0, np.full(len(names), damping * len(rows))
     for _ in range(steps):
         z = np.bincount(s, w[f], base) + b
         p = 1 / (1 + np.exp(-z))
@@ -156,11 +157,11 @@ def fit(rows: list, counts: dict[int, int], steps: int = 80, rate: float = 0.5,
         whole = np.clip(whole, 1e-9, 1)
         # derivative of the loss by a sentence's logit
         d = (weight * np.where(y == 1, -(1 - whole) / whole, 1.0))[bag] * p
-        dw, db = np.bincount(f, d[s], len(names)) + l2 * w, d.sum()
+        dw = np.bincount(f, d[s], len(names)) + l2 * w
         gw += dw * dw
-        gb += db * db
         w -= rate * dw / np.sqrt(gw)
-        b -= rate * db / np.sqrt(gb)
+        # the bias goes where both labels pull alike: what pulls down is in proportion to its exponential
+        b -= np.clip(pull * np.log((d[d > 0].sum() + 1e-9) / (-d[d < 0].sum() + 1e-9)), -0.2, 0.2)
     weights = np.zeros((1 << BITS) + 1, np.float32)
     weights[names] = w
     return ToxicityModel(weights, float(b))
@@ -176,6 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -> Toxic
 
 def score(docs: DataFrame, model: ToxicityModel | None, sentences: bool = False) -> DataFrame:
     """``docs`` plus ``toxicity`` and, on request, ``offending``: byte ranges of sentences over one half."""
+    docs = docs.drop("toxicity", "offending")
     schema = docs.select("*").schema.add("toxicity", "double")
     if sentences:
         schema = schema.add("offending", T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("score", "double")))
