@@ -91,7 +91,7 @@ def test_embeddings_agree_with_all_pairs(spark):
         base = rng.standard_normal(32)
         vectors += [(base + rng.standard_normal(32) * rng.choice([0.1, 0.3, 0.5])).tolist() for _ in range(rng.integers(1, 12))]
     hot = rng.standard_normal(32)
-    vectors += [(hot + rng.standard_normal(32) * 0.15).tolist() for _ in range(1500)]  # more than one block
+    vectors += [(hot + rng.standard_normal(32) * 0.15).tolist() for _ in range(1100)]  # more than one block
     vectors += [vectors[0]] * 5
     bad = [None, [], [0.0] * 32, [float("nan")] + [1.0] * 31, [float("inf")] + [1.0] * 31, [None] + [1.0] * 31, [1.0, 2.0], [2.0, 4.0], [1e-200] * 32, [1e200] * 32]
     rows = [(i, v, "x") for i, v in enumerate(vectors + bad)]
@@ -185,7 +185,8 @@ def test_suffix_order(data, bound):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_repeats_agree_with_a_scan(docs, seed):
+def test_repeats_agree_with_a_scan(docs, seed, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT_KEY", 256 if seed == 1 else 2)
     rng = random.Random(seed)
     text = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
     passage, long = text(260), text(130)

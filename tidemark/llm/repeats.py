@@ -7,9 +7,9 @@ Equal windows must meet in one shard wherever they come from. A window's key is
 hash among its substrings of ``GRAM`` bytes, which depends on its bytes alone; neighbouring
 windows mostly have one key, so a text falls into a few stretches per hundred bytes and only
 these travel. Stretches of one key with equal bytes are settled by their order; the first of
-each kind, where its key has several kinds, goes on to suffix sorting. There it is cut by a
-second such hash, which splits keys that many documents share, and dealt with its bytes into
-shards of about ``SHARD_BYTES``. Each shard is sorted by external induced sorting
+each kind, where its key has several kinds, goes on to suffix sorting, dealt with its bytes
+into shards of about ``SHARD_BYTES``. Keys that more than ``HOT_KEY`` stretches share are cut
+by a second such hash first, which divides them between shards. Each shard is sorted by external induced sorting
 (``suffixes``); neighbours in that order that share ``WINDOW`` bytes are one group, and all
 but its first window are repeats.
 
@@ -34,7 +34,8 @@ from .suffixes import prefix_hashes, suffix_order
 
 WINDOW = 100
 GRAM = 24
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
+HOT_KEY = 256  # stretches of one key from which on a second one divides them
 
 # kind 0: a stretch to be compared; 1: one whose windows are all repeats; 2: one that may repeat itself
 _STRETCH = "key long, inner long, doc_id long, at long, n int, kind int"
@@ -184,36 +185,59 @@ def _settle(stretches: DataFrame) -> DataFrame:
     return stretches.repartition("key").sortWithinPartitions("key", "inner", "doc_id", "at").mapInArrow(run, "doc_id long, at long, n int, kind int, key long")
 
 
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... for each start, as many as its count."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
+
+
 def _pieces(docs: DataFrame, chosen: DataFrame, shards: int, window: int) -> DataFrame:
-    """The chosen stretches with their bytes, cut by a second key: ``shard, doc_id, at, n, text``."""
-    lists = chosen.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n", "key")).alias("stretches"))
+    """The chosen stretches with their bytes: ``shard, doc_id, at, n, text``; those of hot keys cut by a second key."""
+    hot = chosen.groupBy("key").count().where(F.col("count") > HOT_KEY).select("key", F.lit(True).alias("hot"))
+    marked = chosen.join(hot, "key", "left")
+    lists = marked.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n", "key", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("stretches"))
     rows = docs.join(lists, "doc_id")
 
     def run(batches):
         for batch in batches:
             for first, data, offsets in text_blocks(batch.column(1)):
-                if len(data) < window:
+                count = len(offsets) - 1
+                lists = batch.column(2).slice(first, count)
+                sizes = np.diff(lists.offsets.to_numpy())
+                fields = lists.flatten()
+                row = np.repeat(np.arange(count), sizes)
+                at, n, key = (fields.field(k).to_numpy() for k in range(3))
+                hot = fields.field(3).to_numpy(zero_copy_only=False)
+                # a stretch that does not fit is one of another text with the same id
+                use = at + n + window - 1 <= (offsets[1:] - offsets[:-1])[row]
+                row, at, n, key, hot = row[use], at[use], n[use].astype(np.int64), key[use].view(np.uint64), hot[use]
+                if not len(row):
                     continue
-                second, _ = window_keys(prefix_hashes(data), len(data), window, seed=1)
-                out = [[], [], [], [], []]
-                for i in range(len(offsets) - 1):
-                    doc = batch.column(0)[first + i].as_py()
-                    size = int(offsets[i + 1] - offsets[i])
-                    for s in batch.column(2)[first + i].as_py():
-                        if s["at"] + s["n"] + window - 1 > size:
-                            continue  # of another text with the same id
-                        a = int(offsets[i]) + s["at"]
-                        keys = second[a : a + s["n"]]
-                        cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [s["n"]]])
-                        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                            mixed = int(mix(np.array([s["key"]]).view(np.uint64) ^ mix(keys[x : x + 1]))[0])
-                            out[0].append(mixed % shards)
-                            out[1].append(doc)
-                            out[2].append(s["at"] + x)
-                            out[3].append(y - x)
-                            out[4].append(data[a + x : a + y + window - 1].tobytes())
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["shard", "doc_id", "at", "n", "text"])
+                begin = offsets[row] + at
+                places = _ranges(begin, n)
+                owner = np.repeat(np.arange(len(row)), n)
+                new = np.zeros(len(places), bool)
+                new[np.cumsum(n) - n] = True
+                inner = np.zeros(len(places), np.uint64)
+                if hot.any():
+                    second, _ = window_keys(prefix_hashes(data), len(data), window, seed=1)
+                    cut = hot[owner]
+                    inner[cut] = second[places[cut]]
+                    new[1:] |= cut[1:] & (inner[1:] != inner[:-1])
+                starts = np.flatnonzero(new)
+                length = np.diff(np.append(starts, len(places)))
+                own, place = owner[starts], places[starts]
+                shard = (mix(key[own] ^ mix(inner[starts])) % np.uint64(shards)).astype(np.int64)
+                size = length + window - 1
+                for k in range(0, len(starts), 20_000):
+                    part = slice(k, k + 20_000)
+                    text = data[_ranges(place[part], size[part])]
+                    bounds = np.concatenate([[0], np.cumsum(size[part])]).astype(np.int32)
+                    texts = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(text)])
+                    ids = batch.column(0).slice(first, count).to_numpy()[row[own[part]]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(shard[part]), pa.array(ids), pa.array(place[part] - offsets[row[own[part]]]), pa.array(length[part].astype(np.int32)), texts],
+                        ["shard", "doc_id", "at", "n", "text"],
+                    )
 
     return rows.select("doc_id", "text", "stretches").mapInArrow(run, "shard long, doc_id long, at long, n int, text binary")
 
