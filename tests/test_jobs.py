@@ -148,7 +148,7 @@ def test_reports_without_a_mark_are_taken_whole(spark, tmp_path):
 
 
 def test_plain_documents_of_yesterday(spark, tmp_path):
-    lake = Lake(spark, tmp_path, "plain_documents", {"mark_column": "createdAt", "file_format": "csv", "fields": ["id", "createdAt", "dateOfCreation"]})
+    lake = Lake(spark, tmp_path, "plain_documents", {"mark_column": "createdAt", "file_format": "csv", "fields": ["id", "createdAt", "dateOfCreation"], "drop": ["dateOfCreation"]})
     docs = [("a", "31-01-2024 00:00:00"), ("a", "31-01-2024 00:00:00"), ("b", "31-01-2024 23:59:59"), ("c", "01-02-2024 00:00:00")]
     write(tmp_path / "in", "d.json", "".join(json.dumps({"id": i, "createdAt": t, "dateOfCreation": "z"}) + "\n" for i, t in docs))
     _, table = lake.run(datetime(2024, 2, 1, 5))

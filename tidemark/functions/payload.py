@@ -17,12 +17,14 @@ def is_valid_json(body: Column | str) -> Column:
 
     Spark's JSON functions stop after the first value, so ``{"a":1} x`` would pass
     them. The text is therefore read once as the only element of an array and once
-    as an object's value: only a single complete value fits both frames. Repeated
-    keys are allowed. Null, like empty text, is not JSON.
+    as an object's value: only a single complete value fits both frames. The second
+    reading is strict, so single quotes and raw line breaks inside strings are refused.
+    Repeated keys are allowed. Null, like empty text, is not JSON.
     """
     text = F.col(body) if isinstance(body, str) else body
     as_element = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
-    as_value = F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    strict = {"allowSingleQuotes": "false", "allowUnquotedControlChars": "false"}
+    as_value = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "map<string,string>", strict)
     return F.coalesce((as_element == 1) & as_value.isNotNull(), F.lit(False))
 
 

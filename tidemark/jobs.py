@@ -89,11 +89,12 @@ def load_table(spark: SparkSession, job: BronzeJob, spec: TableSpec) -> str:
     parts, name = job.parts(spec), job.bronze_name(spec)
     source = render_path(job.input_path, **parts)
     location = render_path(job.location, **parts)
+    multi_line = bool(spec.options.get("multi_line"))  # fields of this feed hold line breaks
     if spec.options.get("clean_names"):
-        cleaned = assert_legal_names(clean_column_names(scan_csv(spark, source, escape='"')))
+        cleaned = assert_legal_names(clean_column_names(scan_csv(spark, source, escape='"', multiLine=multi_line)))
         staged_publish(spark, name, cleaned, new_folder(spark, "staging"), location)
     elif spec.mode is WriteMode.OVERWRITE:
-        rows = spark.read.format(spec.file_format).options(**READ_OPTIONS[spec.file_format]).load(source)
+        rows = spark.read.format(spec.file_format).options(**READ_OPTIONS[spec.file_format], multiLine=multi_line and spec.file_format == "csv").load(source)
         replace_table(spark, name, with_provenance(rows), location)
     else:
         copy_into(
@@ -105,6 +106,7 @@ def load_table(spark: SparkSession, job: BronzeJob, spec: TableSpec) -> str:
             spec.file_format,
             T.StructType.fromJson(spec.options["columns"]) if "columns" in spec.options else None,
             spec.options.get("max_files", FILES_PER_BATCH),
+            multi_line=multi_line,
         )
     return name
 

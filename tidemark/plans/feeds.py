@@ -22,6 +22,7 @@ from ..sources.databases import Connection, Slices, incremental_condition, read_
 from ..sources.documents import field_names, plain_documents, require_documents, typed_documents
 from ..sources.files import (
     FILE_DATE,
+    FILE_NAME,
     csv_by_header,
     detected_csv,
     leading_date,
@@ -96,7 +97,7 @@ def database(run: Extract) -> DataFrame:
         condition = incremental_condition(run.spec.incremental_where, run.mark)
     slices: Slices | None = None
     if run.option("slice_column"):
-        slices = slice_range(run.spark, run.connection, name, run.option("slice_column"), run.option("slices", 64))
+        slices = slice_range(run.spark, run.connection, name, run.option("slice_column"), run.option("slices", 64), condition)
     return read_filtered(run.spark, run.connection, name, condition, slices)
 
 
@@ -131,7 +132,8 @@ def zipped_files(run: Extract) -> DataFrame:
 def dated_files(run: Extract) -> DataFrame:
     """Plain CSVs dated since the mark, in whatever charset each one has."""
     file_date = trailing_date(run.required("prefix"))
-    wanted = within_days(file_date, run.as_of.date(), run.n_days)
+    named = F.contains(FILE_NAME, F.lit(run.required("prefix"))) & F.endswith(FILE_NAME, F.lit(run.option("extension", ".csv")))
+    wanted = named & within_days(file_date, run.as_of.date(), run.n_days)
 
     def reader(spark, paths, **options):
         return naive_csv(spark, paths, **options).withColumn(FILE_DATE, file_date)
@@ -145,7 +147,7 @@ def plain_docs(run: Extract) -> DataFrame:
     if run.job.incremental and run.spec.has_mark:
         start, stop = yesterday(run.as_of.date())
         rows = text_time_between(rows, run.spec.mark_column, start, stop - _SECOND)
-    return require_documents(distinct_rows(rows.drop(*run.option("drop", ["dateOfCreation"]))))
+    return require_documents(distinct_rows(rows.drop(*run.option("drop", []))))
 
 
 def typed_docs(run: Extract) -> DataFrame:
@@ -170,7 +172,7 @@ def store_reports(run: Extract) -> DataFrame:
     return csv_by_header(
         run.spark,
         run.source,
-        run.option("variants", {"Package Name": "Package name"}),
+        run.option("variants", {}),
         encoding=run.option("encoding", "UTF-16LE"),
         multi_line=True,
         pathGlobFilter=f"*{run.required('suffix')}",

@@ -16,6 +16,8 @@ def retry(action: Callable[[], Result], tries: int = 15, pause: float = 10.0, sl
     for attempt in range(1, tries + 1):
         try:
             return action()
+        except (TypeError, NameError, AttributeError):
+            raise  # a mistake in the program does not pass
         except Exception as error:  # noqa: BLE001 - whatever the store raises
             if attempt == tries:
                 raise

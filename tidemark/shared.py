@@ -13,9 +13,14 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's own checkpoint folder; a fresh local one only where none is named."""
+    """The cluster's own checkpoint folder; a fresh local one only where none is named and Spark is local.
+
+    On a cluster a local folder would be another one on every node, so there it must be named.
+    """
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder that all nodes share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set(CHECKPOINT_SETTING, folder)
     return folder.rstrip("/")

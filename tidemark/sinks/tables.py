@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..sources.files import scan_json
 from .files import write_files
+from .widening import fitted, merged_schema
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 VERSION_PREFIX = "version-"
@@ -39,12 +40,31 @@ def create_table_if_absent(
     if spark.catalog.tableExists(quoted(name)):
         return False
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(name.rpartition('.')[0])}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     layout = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({columns}) USING parquet {layout} LOCATION '{location}'")
+    path = location.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({_ddl(schema)}) USING parquet {layout} LOCATION '{path}'")
     return True
 
 
+def _ddl(schema: T.StructType) -> str:
+    """Columns for a CREATE TABLE; every name is quoted, also nested ones."""
+
+    def kind(t: T.DataType) -> str:
+        if isinstance(t, T.StructType):
+            return "struct<" + ", ".join(f"`{_tick(f.name)}`: {kind(f.dataType)}" for f in t.fields) + ">"
+        if isinstance(t, T.ArrayType):
+            return f"array<{kind(t.elementType)}>"
+        if isinstance(t, T.MapType):
+            return f"map<{kind(t.keyType)}, {kind(t.valueType)}>"
+        return t.simpleString()
+
+    return ", ".join(f"`{_tick(f.name)}` {kind(f.dataType)}" for f in schema.fields)
+
+
+def _tick(name: str) -> str:
+    return name.replace("`", "``")
+
+
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(quoted(name)) if c.isPartition]
 
@@ -65,26 +85,53 @@ def set_table_note(spark: SparkSession, name: str, key: str, value: str) -> None
 
 
 def evolve_schema(spark: SparkSession, name: str, incoming: T.StructType) -> list[str]:
-    """Add columns the table lacks; returns their names. Older rows read null there."""
-    known = {f.name.lower() for f in spark.table(quoted(name)).schema}
-    new = [f for f in incoming.fields if f.name.lower() not in known]
-    if new:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({columns})")
+    """Make the table hold what is coming; returns the names of new columns.
+
+    New columns are added, and new fields inside structures declared: older rows read null
+    there, and no data is touched. Where a type must widen (whole numbers, then fractions),
+    the rows go to a new version of the table in the wider type. Nothing is ever narrowed.
+    """
+    known = spark.table(quoted(name)).schema
+    wanted = merged_schema(known, incoming)
+    names = {f.name.lower() for f in known.fields}
+    new = [f for f in wanted.fields if f.name.lower() not in names]
+    keys = partition_columns(spark, name)
+    changed = [(f.dataType, w.dataType) for f, w in zip(known.fields, wanted.fields) if f.dataType != w.dataType]
+    if not changed:
+        if new:
+            spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({_ddl(T.StructType(new))})")
+        return [f.name for f in new]
+    ordered = T.StructType([f for f in wanted.fields if f.name not in keys] + [wanted[k] for k in keys])
+    location = table_location(spark, name)
+    if any(_rewritten(old, wide) for old, wide in changed):
+        rows = align(spark.table(quoted(name)), ordered)
+        replace_table(spark, name, rows, f"{location.rstrip('/')}.versions", keys)
+    else:
+        publish_version(spark, name, ordered, location, keys)
     return [f.name for f in new]
 
 
+def _rewritten(old: T.DataType, wide: T.DataType) -> bool:
+    """Whether files of the old type cannot be read as the wider one: more fields can, other scalars not."""
+    if isinstance(old, T.StructType) and isinstance(wide, T.StructType):
+        held = {f.name: f.dataType for f in old.fields}
+        return any(f.name in held and _rewritten(held[f.name], f.dataType) for f in wide.fields)
+    if isinstance(old, T.ArrayType) and isinstance(wide, T.ArrayType):
+        return _rewritten(old.elementType, wide.elementType)
+    if isinstance(old, T.MapType) and isinstance(wide, T.MapType):
+        return _rewritten(old.valueType, wide.valueType)
+    return old != wide
+
+
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Columns in the table's order and types; those the batch lacks are null."""
-    held = {c.lower(): c for c in df.columns}
-    return df.select(
-        *(
-            (F.col(f"`{held[f.name.lower()]}`") if f.name.lower() in held else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in schema.fields
-        )
-    )
+    """Columns in the table's order and types, which must be as wide; those the batch lacks are null."""
+    held = {f.name.lower(): f for f in df.schema.fields}
+    columns = []
+    for f in schema.fields:
+        own = held.get(f.name.lower())
+        value = F.lit(None).cast(f.dataType) if own is None else fitted(F.col(f"`{_tick(own.name)}`"), own.dataType, f.dataType)
+        columns.append(value.alias(f.name))
+    return df.select(*columns)
 
 
 def append_evolving(spark: SparkSession, name: str, df: DataFrame) -> list[str]:

@@ -95,9 +95,20 @@ def read_query(
     return spark.read.format("jdbc").options(**query_options(connection, query, slices)).load()
 
 
-def slice_range(spark: SparkSession, connection: Connection, table: str, column: str, count: int) -> Slices | None:
-    """Range of a column, asked of the database (one aggregate row); None for an empty table."""
-    ends = read_table(spark, connection, table).agg(F.min(column).alias("lower"), F.max(column).alias("upper")).first()
+def range_query(table: str, column: str, condition: str | None = None) -> str:
+    """The ends of a column's range among the rows under a condition, as the database's own query."""
+    where = f" WHERE {condition}" if condition else ""
+    return f"SELECT MIN({column}) AS lower_end, MAX({column}) AS upper_end FROM {table}{where}"
+
+
+def slice_range(
+    spark: SparkSession, connection: Connection, table: str, column: str, count: int, condition: str | None = None
+) -> Slices | None:
+    """Range of a column over the rows to be read, so an increment is cut evenly; None where there are none.
+
+    The database computes it and sends one row.
+    """
+    ends = read_query(spark, connection, range_query(table, column, condition)).toDF("lower", "upper").first()
     return None if ends.lower is None else Slices(column, ends.lower, ends.upper, count)
 
 

@@ -146,6 +146,8 @@ BYTE_ORDER_MARKS = (
     ("FEFF", "UTF-16BE"),
 )
 FALLBACK_CHARSET = "ISO-8859-1"
+# Bytes 80 to 9F are control characters there, but quotes, dashes and the euro sign here.
+PUNCTUATED_CHARSET = "windows-1252"
 
 
 def detect_charsets(
@@ -168,14 +170,18 @@ def detect_charsets(
         F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("row"),
         head.alias("head"),
         F.is_valid_utf8("value").alias("utf8"),
+        F.decode(F.col("value").cast("binary"), "ISO-8859-1").rlike("[\u0080-\u009f]").alias("punctuated"),
     )
     marked = {mark: F.min(F.when(F.startswith("head", F.lit(mark)), F.col("row"))) for mark, _ in BYTE_ORDER_MARKS}
     files = lines.groupBy("path").agg(
         F.min("row").alias("first_row"),
         F.bool_and("utf8").alias("utf8"),
+        F.bool_or("punctuated").alias("punctuated"),
         *(row.alias(mark) for mark, row in marked.items()),
     )
-    charset = F.when(F.col("utf8"), F.lit("UTF-8")).otherwise(F.lit(FALLBACK_CHARSET))
+    charset = F.when(F.col("utf8"), F.lit("UTF-8")).otherwise(
+        F.when(F.col("punctuated"), F.lit(PUNCTUATED_CHARSET)).otherwise(F.lit(FALLBACK_CHARSET))
+    )
     for mark, name in reversed(BYTE_ORDER_MARKS):
         charset = F.when(F.col(mark) == F.col("first_row"), F.lit(name)).otherwise(charset)
     return files.select("path", charset.alias("charset"))
@@ -254,6 +260,14 @@ def csv_by_header(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def report_rows(spark: SparkSession, path: str | Sequence[str], **options: object) -> DataFrame:
-    """Report CSV with its header names normalised."""
-    return underscore_spaces(quoted_csv(spark, path, **options))
+def report_rows(
+    spark: SparkSession, path: str | Sequence[str], multi_line: bool = True, **options: object
+) -> DataFrame:
+    """Report CSVs with their header names normalised, united by name.
+
+    Each file is read by its own header: columns in another order stay with their names,
+    rows are ragged only against the header of their own file, and a column that a file
+    lacks is empty text there like any other empty field.
+    """
+    reading = {"escape": '"', "mode": "DROPMALFORMED", "columnPruning": False, **options}
+    return underscore_spaces(csv_by_header(spark, path, multi_line=multi_line, **reading).na.fill(""))

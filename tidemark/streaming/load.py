@@ -14,6 +14,10 @@ from ..sources.files import PROVENANCE, PROVENANCE_TYPE, with_provenance
 
 LOAD_BATCH = "_load_batch"
 FILES_PER_BATCH = 10_000
+# Beyond any file's age: a file restored or copied with its old time is loaded, too. The
+# price is that the driver keeps the path of every loaded file while a load runs (some
+# hundred bytes each), so archive landing folders before they hold tens of millions.
+FILE_AGE = "36500d"
 # Reader options by landing format. CSV files of one batch whose headers
 # differ are an error, not shifted columns.
 READ_OPTIONS = {
@@ -51,16 +55,16 @@ def batch_label(batch: DataFrame, batch_id: int) -> str:
 
 def new_files(spark: SparkSession, source: str, max_files: int) -> DataFrame:
     """Paths of landed files as a stream; their contents are not read."""
-    reader = spark.readStream.format("binaryFile").schema(_LISTING).option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.format("binaryFile").schema(_LISTING).options(maxFilesPerTrigger=max_files, maxFileAge=FILE_AGE)
     return reader.load(source).select("path")
 
 
 def read_batch(
-    spark: SparkSession, paths: list[str], source: str, file_format: str, schema: T.StructType | None
+    spark: SparkSession, paths: list[str], source: str, file_format: str, schema: T.StructType | None, **options: str
 ) -> DataFrame:
     """The files of one micro-batch with their provenance; columns are inferred from these
     files only where no schema is declared."""
-    reader = spark.read.format(file_format).options(basePath=source, **READ_OPTIONS[file_format])
+    reader = spark.read.format(file_format).options(basePath=source, **READ_OPTIONS[file_format], **options)
     return with_provenance((reader.schema(schema) if schema else reader).load(paths))
 
 
@@ -74,6 +78,7 @@ def copy_into(
     schema: T.StructType | None = None,
     max_files: int = FILES_PER_BATCH,
     shape: Callable[[DataFrame], DataFrame] | None = None,
+    multi_line: bool = False,
 ) -> LoadResult:
     """Append the files not loaded before to a table, and stop.
 
@@ -81,7 +86,8 @@ def copy_into(
     Each micro-batch (``max_files`` at most, so the driver's list of names is bounded)
     is read as a batch and becomes one partition of the table. A replay replaces that
     partition, so a crash between data and checkpoint leaves no duplicates. New columns
-    are added to the table, and ``shape`` may transform a batch first.
+    are added to the table, and ``shape`` may transform a batch first. ``multi_line`` is
+    for CSV whose fields hold line breaks; each such file is then read by one task.
     """
     done: dict[str, tuple[int, int]] = {}
 
@@ -90,7 +96,8 @@ def copy_into(
         paths = [row.path for row in batch.collect()]
         if not paths:
             return
-        rows = read_batch(spark, paths, source, file_format, schema)
+        options = {"multiLine": "true"} if multi_line else {}
+        rows = read_batch(spark, paths, source, file_format, schema, **options)
         rows = (shape(rows) if shape else rows).withColumn(LOAD_BATCH, F.lit(label))
         create_table_if_absent(spark, table, rows.schema, location, [LOAD_BATCH])
         seen = Observation()

@@ -17,6 +17,7 @@ from ..sinks.tables import create_table_if_absent, replace_partitions
 from ..sources.files import PROVENANCE
 from .load import FILES_PER_BATCH, LOAD_BATCH, batch_label, new_files, read_batch
 
+BROKEN = "_broken_line"
 ACCEPTED, REJECTED = "accepted", "rejected"
 FEW_MESSAGES = 1_000
 
@@ -58,11 +59,15 @@ def drain_messages(
         waiting = [row.path for row in batch.collect()]
         if not waiting:
             return
-        ok = is_valid_json(body)
-        messages = read_batch(spark, waiting, source, file_format, schema).drop(PROVENANCE)
+        declared = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+        messages = read_batch(spark, waiting, source, file_format, declared, columnNameOfCorruptRecord=BROKEN).drop(PROVENANCE)
+        # a line that is no envelope at all is set aside as it was received
+        whole = F.col(BROKEN).isNull()
+        ok = whole & is_valid_json(body)
+        received = F.when(whole, F.col(body)).otherwise(F.col(BROKEN))
         checked = messages.withColumns(
-            {"status": F.when(ok, ACCEPTED).otherwise(REJECTED), body: F.when(ok, normalize_json(body)).otherwise(F.col(body))}
-        )
+            {"status": F.when(ok, ACCEPTED).otherwise(REJECTED), body: F.when(ok, normalize_json(body)).otherwise(received)}
+        ).drop(BROKEN)
         folder = f"{landing}/{label}"
         seen = Observation()
         counted = checked.observe(

@@ -140,7 +140,7 @@ def feed_plain_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, source,
         {
             "reader": "plain_documents", "mark_column": "createdAt", "mark_pattern": "day_first", "file_format": "csv",
-            "fields": documents.columns,
+            "fields": documents.columns, "drop": ["dateOfCreation"],
         },
     )
     created = F.try_to_timestamp("createdAt", F.lit("dd-MM-yyyy HH:mm:ss")).cast("timestamp_ntz")
