@@ -177,3 +177,43 @@ def test_maintain_isolates_failures(spark, tmp_path, schema_name):
     names = list_tables(spark, excluded=others).select("table_name").collect()
     assert sorted(r.table_name for r in names) == ["bad", "good"]
     assert list_tables(spark, excluded=[*others, schema_name]).count() == 0
+
+
+def test_widening_is_the_same_from_either_side():
+    from tidemark.sinks.widening import merged_schema, wider_type
+
+    cases = [
+        ("int", "bigint", "bigint"), ("bigint", "double", "double"), ("bigint", "decimal(5,2)", "decimal(22,2)"),
+        ("float", "int", "double"), ("bigint", "string", "string"), ("date", "timestamp", "timestamp"), ("boolean", "int", "string"),
+        ("array<int>", "array<double>", "array<double>"), ("struct<a:int>", "struct<a:double,b:string>", "struct<a:double,b:string>"),
+    ]
+    for one, other, wide in cases:
+        types = [T.StructType.fromDDL(f"x {t}")["x"].dataType for t in (one, other, wide)]
+        assert wider_type(types[0], types[1]) == wider_type(types[1], types[0]) == types[2], (one, other)
+    with pytest.raises(ValueError, match="a.b: struct<c:int> and int"):
+        merged_schema(T.StructType.fromDDL("a struct<b:struct<c:int>>"), T.StructType.fromDDL("a struct<b:int>"))
+
+
+def test_append_never_narrows(spark, tmp_path, schema_name):
+    name = f"{schema_name}.t"
+    tables.create_table_if_absent(spark, name, T.StructType.fromDDL("v bigint, s struct<`content-type`: string>"), str(tmp_path / "it's"))
+    tables.append_evolving(spark, name, spark.sql("SELECT 1L AS v, named_struct('content-type', 'a') AS s"))
+    tables.append_evolving(spark, name, spark.sql("SELECT 2.75D AS v, named_struct('content-type', 'b', 'new', 5) AS s"))
+    tables.append_evolving(spark, name, spark.sql("SELECT 'A7' AS v"))
+    got = sorted((r.v, r.s and r.s["content-type"], r.s and r.s["new"]) for r in spark.table(name).collect())
+    assert got == [("1.0", "a", None), ("2.75", "b", 5), ("A7", None, None)]
+
+
+def test_first_location_expires_and_notes_stay(spark, tmp_path, schema_name):
+    name, home = f"{schema_name}.t", str(tmp_path / "t")
+    tables.create_table_if_absent(spark, name, T.StructType.fromDDL("id bigint"), home)
+    for k in range(4):
+        tables.append_evolving(spark, name, spark.range(k, k + 1))
+    tables.set_table_note(spark, name, "mark", "7")
+    root = tables.version_root(spark, name)
+    assert maintenance.compact_table(spark, name, root)[1] >= 4
+    assert maintenance.compact_table(spark, name, root) == (0, 0, 0)
+    later = datetime.now(timezone.utc) + timedelta(hours=200)
+    assert maintenance.expire_versions(spark, name, root, as_of=later).count() >= 4
+    assert maintenance.expire_versions(spark, name, root, as_of=later).count() == 0
+    assert spark.table(name).count() == 4 and tables.table_note(spark, name, "mark") == "7"

@@ -42,7 +42,7 @@ def test_query_agrees_and_scales(spark, con, name):
 
 def test_entry(spark):
     df = entry(spark)
-    assert df.columns == ["k", "event_type", "n_rows", "last_id"]
+    assert df.columns == ["k", "event_type", "n_rows", "last_id", "_data_source", "_source_type", "_qtd_rows"]
     assert df.count() > 0
 
 

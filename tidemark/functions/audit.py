@@ -9,6 +9,7 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Names of audit columns.
 ROW_COUNT = "_qtd_rows"
 FIXED_ROW_COUNT = "_qt_rows"
 

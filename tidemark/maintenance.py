@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 
 from .shared import filesystem, path_exists, settled
 from .sinks.tables import (
+    FIRST_LOCATION,
+    FIRST_REPLACED,
     new_version,
     partition_columns,
     publish_version,
     quoted,
+    set_table_note,
     table_location,
+    table_note,
+    version_root,
     version_time,
 )
 from .sources.catalog import SYSTEM_SCHEMAS, list_tables
@@ -24,6 +29,7 @@ from .sources.catalog import SYSTEM_SCHEMAS, list_tables
 log = logging.getLogger(__name__)
 
 RETENTION_HOURS = 168
+COMPACTED_FILES = "compacted_files"
 FILE_BYTES = 512 * 1024 * 1024
 REPORT_SCHEMA = (
     "table string, status string, files_added bigint, files_removed bigint, "
@@ -55,7 +61,7 @@ def compact_table(spark: SparkSession, name: str, root: str, file_bytes: int = F
     Rows of a plain table are dealt out evenly; those of a partitioned table are
     rebalanced by size, so a hot partition is shared between tasks. The old files stay
     until ``expire_versions``. Nothing is rewritten when there is already no more than
-    one file per target size (or per partition).
+    one file per target size (or per partition), or no more than the last compaction left.
     """
     location = table_location(spark, name)
     files, size = _size(spark, location)
@@ -63,7 +69,7 @@ def compact_table(spark: SparkSession, name: str, root: str, file_bytes: int = F
     keys = partition_columns(spark, name)
     table = spark.table(quoted(name))
     wanted = max(tasks, spark.sql(f"SHOW PARTITIONS {quoted(name)}").count()) if keys else tasks
-    if files <= wanted:
+    if files <= max(wanted, int(table_note(spark, name, COMPACTED_FILES) or 0)):
         return 0, 0, 0
     target = new_version(root, name)
     if keys:
@@ -72,7 +78,9 @@ def compact_table(spark: SparkSession, name: str, root: str, file_bytes: int = F
     else:
         table.repartition(tasks).write.parquet(target)
     publish_version(spark, name, table.schema, target, keys)
-    return _size(spark, target)[0], files, size
+    added = _size(spark, target)[0]
+    set_table_note(spark, name, COMPACTED_FILES, str(added))
+    return added, files, size
 
 
 def obsolete_versions(
@@ -81,17 +89,20 @@ def obsolete_versions(
     """Folders of this table's versions that were replaced more than ``hours`` ago.
 
     A version is replaced when the next complete one is begun, however old it is itself;
-    an abandoned write newer than all others counts by its own last change. Other
-    tables' versions and unknown folders are never listed.
+    an abandoned write newer than all others counts by its own last change. The table's
+    first location, which is no version folder, counts from its note. Other tables'
+    versions and unknown folders are never listed.
     """
+    limit = (as_of or datetime.now(timezone.utc)) - timedelta(hours=hours)
+    first, replaced = table_note(spark, name, FIRST_LOCATION), table_note(spark, name, FIRST_REPLACED)
+    gone = [first] if first and datetime.fromisoformat(replaced) < limit and path_exists(spark, first) else []
     if not path_exists(spark, root):
-        return []
+        return gone
     fs, jroot = filesystem(spark, root)
     current = table_location(spark, name).rstrip("/").rsplit("/", 1)[-1]
-    limit = (as_of or datetime.now(timezone.utc)) - timedelta(hours=hours)
     folders = {s.getPath().getName(): s for s in fs.listStatus(jroot) if version_time(s.getPath().getName(), name)}
     complete = [n for n, s in folders.items() if path_exists(spark, f"{s.getPath().toString()}/_SUCCESS")]
-    old = []
+    old = gone
     for named, status in folders.items():
         began = version_time(named, name)
         later = [version_time(n, name) for n in complete if version_time(n, name) > began]
@@ -124,14 +135,6 @@ def expire_versions(
     return listing
 
 
-def version_root(spark: SparkSession, name: str) -> str:
-    """Where a table's versions live: beside its current version, or in a folder of its
-    own next to its first location."""
-    location = table_location(spark, name).rstrip("/")
-    parent, _, last = location.rpartition("/")
-    return parent if version_time(last, name) else f"{location}.versions"
-
-
 def maintain(
     spark: SparkSession,
     roots: dict[str, str] | None = None,
@@ -148,10 +151,11 @@ def maintain(
     for catalog in catalogs:
         for row in list_tables(spark, catalog, excluded).collect():
             name = f"{row.table_schema}.{row.table_name}"
+            whole = f"{catalog}.{name}"  # a namesake in another catalog is another table
             try:
-                root = (roots or {}).get(name) or version_root(spark, name)
-                added, removed, size = compact_table(spark, name, root, file_bytes)
-                expired = expire_versions(spark, name, root, hours).count()
+                root = (roots or {}).get(whole) or (roots or {}).get(name) or version_root(spark, whole)
+                added, removed, size = compact_table(spark, whole, root, file_bytes)
+                expired = expire_versions(spark, whole, root, hours).count()
                 report.append((name, "ok", added, removed, size, expired, None))
             except Exception as error:  # noqa: BLE001 - one bad table must not stop the rest
                 log.error("skipping %s: %s", name, error)

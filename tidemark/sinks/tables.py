@@ -18,6 +18,8 @@ from .widening import fitted, merged_schema
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 VERSION_PREFIX = "version-"
+NOTE = "tidemark."
+FIRST_LOCATION, FIRST_REPLACED = "first_location", "first_replaced"
 VERSION_STAMP = "%Y%m%dT%H%M%S%f"
 
 
@@ -41,8 +43,7 @@ def create_table_if_absent(
         return False
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(name.rpartition('.')[0])}")
     layout = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    path = location.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({_ddl(schema)}) USING parquet {layout} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({_ddl(schema)}) USING parquet {layout} LOCATION {_literal(location)}")
     return True
 
 
@@ -61,6 +62,11 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{_tick(f.name)}` {kind(f.dataType)}" for f in schema.fields)
 
 
+def _literal(text: str) -> str:
+    """Text as SQL has it."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _tick(name: str) -> str:
     return name.replace("`", "``")
 
@@ -76,12 +82,16 @@ def table_location(spark: SparkSession, name: str) -> str:
 
 def table_note(spark: SparkSession, name: str, key: str) -> str | None:
     """A small fact kept with the table as a property; None where there is none."""
-    notes = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()}
-    return notes.get(f"tidemark.{key}")
+    return table_notes(spark, name).get(key)
+
+
+def table_notes(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()
+    return {row.key.removeprefix(NOTE): row.value for row in rows if row.key.startswith(NOTE)}
 
 
 def set_table_note(spark: SparkSession, name: str, key: str, value: str) -> None:
-    spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ('tidemark.{key}' = '{value}')")
+    spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ('{NOTE}{key}' = {_literal(value)})")
 
 
 def evolve_schema(spark: SparkSession, name: str, incoming: T.StructType) -> list[str]:
@@ -102,12 +112,11 @@ def evolve_schema(spark: SparkSession, name: str, incoming: T.StructType) -> lis
             spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({_ddl(T.StructType(new))})")
         return [f.name for f in new]
     ordered = T.StructType([f for f in wanted.fields if f.name not in keys] + [wanted[k] for k in keys])
-    location = table_location(spark, name)
     if any(_rewritten(old, wide) for old, wide in changed):
         rows = align(spark.table(quoted(name)), ordered)
-        replace_table(spark, name, rows, f"{location.rstrip('/')}.versions", keys)
+        replace_table(spark, name, rows, version_root(spark, name), keys)
     else:
-        publish_version(spark, name, ordered, location, keys)
+        publish_version(spark, name, ordered, table_location(spark, name), keys)
     return [f.name for f in new]
 
 
@@ -176,41 +185,68 @@ def overwriting_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(OVERWRITE_MODE, before)
 
 
+def _short(name: str) -> str:
+    """``schema.table``, with or without a catalog before it."""
+    return ".".join(name.replace("`", "").split(".")[-2:])
+
+
 def new_version(root: str, name: str, at: datetime | None = None) -> str:
     """A version folder of a table that no other write uses; it carries the table's name
     and the time it was begun."""
     stamp = (at or datetime.now(timezone.utc)).strftime(VERSION_STAMP)
-    return f"{root.rstrip('/')}/{VERSION_PREFIX}{name.replace('`', '')}-{stamp}-{uuid.uuid4().hex[:8]}"
+    return f"{root.rstrip('/')}/{VERSION_PREFIX}{_short(name)}-{stamp}-{uuid.uuid4().hex[:8]}"
 
 
 def version_time(folder: str, name: str) -> datetime | None:
     """When a version folder of this table was begun; None for any other folder."""
-    fits = re.fullmatch(rf"{VERSION_PREFIX}{re.escape(name)}-(\d{{8}}T\d{{12}})-[0-9a-f]{{8}}", folder)
+    fits = re.fullmatch(rf"{VERSION_PREFIX}{re.escape(_short(name))}-(\d{{8}}T\d{{12}})-[0-9a-f]{{8}}", folder)
     return datetime.strptime(fits[1], VERSION_STAMP).replace(tzinfo=timezone.utc) if fits else None
 
 
+def version_root(spark: SparkSession, name: str) -> str:
+    """Where a table's versions live: beside its current version, or in a folder of its
+    own next to its first location."""
+    location = table_location(spark, name).rstrip("/")
+    parent, _, last = location.rpartition("/")
+    return parent if version_time(last, name) else f"{location}.versions"
+
+
 def publish_version(
     spark: SparkSession, name: str, schema: T.StructType, location: str, partition_by: Sequence[str] = ()
 ) -> None:
     """Point the table at a finished version.
 
     Same columns: the location changes in one catalog call. Other columns, or
-    partitions: the table (never its data) is dropped and created again.
+    partitions: the table (never its data) is dropped and created again, with the notes
+    kept on it. A location that is no version folder is noted when it is replaced, so that
+    it can expire like one.
     """
+    notes = {}
     if spark.catalog.tableExists(quoted(name)):
+        notes = table_notes(spark, name)
+        before = table_location(spark, name).rstrip("/")
+        if not version_time(before.rsplit("/", 1)[-1], name) and not f"{location.rstrip('/')}/".startswith(f"{before}/"):
+            notes |= {FIRST_LOCATION: before, FIRST_REPLACED: datetime.now(timezone.utc).isoformat()}
         old = spark.table(quoted(name)).schema
         same = [(f.name, f.dataType) for f in old] == [(f.name, f.dataType) for f in schema]
         if same and not partition_by and not partition_columns(spark, name):
-            spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION '{location}'")
+            spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION {_literal(location)}")
+            _note_all(spark, name, notes)
             spark.catalog.refreshTable(quoted(name))
             return
         spark.sql(f"DROP TABLE {quoted(name)}")
     create_table_if_absent(spark, name, schema, location, partition_by)
     if partition_by:
         spark.sql(f"ALTER TABLE {quoted(name)} RECOVER PARTITIONS")
+    _note_all(spark, name, notes)
     spark.catalog.refreshTable(quoted(name))
 
 
+def _note_all(spark: SparkSession, name: str, notes: dict[str, str]) -> None:
+    for key, value in notes.items():
+        set_table_note(spark, name, key, value)
+
+
 def replace_table(
     spark: SparkSession,
     name: str,

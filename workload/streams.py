@@ -172,7 +172,8 @@ def ledger_driven_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_type, count(*) AS n_rows, max(event_id) AS last_id
+    SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k, event_type, count(*) AS n_rows, max(event_id) AS last_id,
+      'app' AS _data_source, 'files' AS _source_type, (SELECT count(*) FROM events) AS _qtd_rows
     FROM events GROUP BY 1, 2
     """
 )
@@ -196,5 +197,6 @@ def bronze_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     audited = with_audit(spark.table(name), {"_data_source": "app", "_source_type": "files"})
     return audited.groupBy(F.col("k").cast("bigint").alias("k"), "event_type").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.max("event_id").alias("last_id")
+        F.count(F.lit(1)).alias("n_rows"), F.max("event_id").alias("last_id"),
+        *(F.max(c).alias(c) for c in ("_data_source", "_source_type", "_qtd_rows")),
     )
