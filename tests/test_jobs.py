@@ -170,7 +170,7 @@ def test_typed_documents_of_yesterday_in_a_zone(spark, tmp_path):
 
 
 def test_store_reports_replace_the_table(spark, tmp_path):
-    lake = Lake(spark, tmp_path, "store_reports", {"suffix": "_overview.csv", "file_format": "csv"}, bronze={"clean_names": True})
+    lake = Lake(spark, tmp_path, "store_reports", {"suffix": "_overview.csv", "file_format": "csv", "variants": {"Package Name": "Package name"}}, bronze={"clean_names": True})
     mark = b"\xff\xfe"
     write(tmp_path / "in", "a_overview.csv", mark + "Package Name,Daily (avg)\np,1\n".encode("utf-16-le"))
     write(tmp_path / "in", "b_overview.csv", mark + "Package name,Other\nq,2\n".encode("utf-16-le"))
