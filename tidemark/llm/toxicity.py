@@ -116,14 +116,14 @@ def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> tuple[list, dict[
                     ids = block.ids[:, a:b]
                     pairs = np.unique((word_sentence[a:b] - block.text_first[i]) << 32 | ids)
                     pairs = pairs[(pairs & 0xFFFFFFFF) < 1 << BITS]
-                    rows.append((pairs >> 32).astype(np.int32).tobytes())
+                    rows.append(np.bincount(pairs >> 32).astype(np.int32).tobytes())
                     rows.append((pairs & 0xFFFFFFFF).astype(np.int32).tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(1).slice(first, n), batch.column(2).slice(first, n), pa.array(rows[::2], pa.binary()), pa.array(rows[1::2], pa.binary())],
-                    ["toxic", "doc_id", "sentence", "feature"],
+                    ["toxic", "doc_id", "lengths", "feature"],
                 )
 
-    rows = chosen.select("text", "toxic", "doc_id").mapInArrow(features, "toxic int, doc_id long, sentence binary, feature binary").collect()
+    rows = chosen.select("text", "toxic", "doc_id").mapInArrow(features, "toxic int, doc_id long, lengths binary, feature binary").collect()
     return sorted(rows, key=lambda r: (r["doc_id"] is not None, r["doc_id"])), counts
 
 
@@ -137,12 +137,12 @@ def fit(rows: list, counts: dict[int, int], steps: int = 80, rate: float = 0.5,
     seen = np.bincount(np.concatenate([np.unique(f) for f in feature]), minlength=(1 << BITS) + 1)
     kept, sentence, bag, base = [], [], [], 0
     for i, r in enumerate(rows):
-        s, f = np.frombuffer(r["sentence"], np.int32), feature[i]
-        n = int(s.max()) + 1 if len(s) else 0
+        lengths, f = np.frombuffer(r["lengths"], np.int32), feature[i]
+        n = len(lengths)
         use = seen[f] >= LEAST_SEEN
         kept.append(f[use])
-        sentence.append(s[use] + base)
-        bag.append(np.full(n, i))
+        sentence.append(np.repeat(np.arange(base, base + n, dtype=np.int32), lengths)[use])
+        bag.append(np.full(n, i, np.int32))
         base += n
     names, f = np.unique(np.concatenate(kept), return_inverse=True)
     s, bag = np.concatenate(sentence), np.concatenate(bag)
