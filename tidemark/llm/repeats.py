@@ -21,8 +21,6 @@ replaced; an empty table gives no rows.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
