@@ -13,7 +13,7 @@ from tidemark.streaming.load import copy_into
 from tidemark.streaming.messages import accepted, drain_messages, rejected
 
 from .registry import query
-from .staging import fresh_schema, staged, table
+from .staging import fresh_schema, staged
 from .streams import EVENT_COLUMNS, EVENT_SCHEMA, MESSAGE_SCHEMA, events_of
 
 
