@@ -92,12 +92,12 @@ def _per_text(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return sums[firsts[1:]] - sums[firsts[:-1]]
 
 
-def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> tuple[list, dict[int, int]]:
+def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> tuple[DataFrame | None, dict[int, int]]:
     """Features of at most ``bound`` labelled documents, and how many labels of each kind there are."""
     marked = labels.where(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     counts = {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     if len(counts) < 2:
-        return [], counts
+        return None, counts
     order = [F.xxhash64("doc_id"), "doc_id"]
     picked = [marked.where(F.col("toxic") == y).orderBy(*order).limit(bound // 2) for y in (0, 1)]
     # bounded by the parameter, so broadcasting it is safe and the texts need no shuffle
@@ -123,8 +123,7 @@ def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> tuple[list, dict[
                     ["toxic", "doc_id", "lengths", "feature"],
                 )
 
-    rows = chosen.select("text", "toxic", "doc_id").mapInArrow(features, "toxic int, doc_id long, lengths binary, feature binary").collect()
-    return sorted(rows, key=lambda r: (r["doc_id"] is not None, r["doc_id"])), counts
+    return chosen.select("text", "toxic", "doc_id").mapInArrow(features, "toxic int, doc_id long, lengths binary, feature binary"), counts
 
 
 def fit(rows: list, counts: dict[int, int], steps: int = 80, rate: float = 0.5, l2: float = 0.3, damping: float = 0.02, pull: float = 0.1) -> ToxicityModel:
@@ -144,7 +143,10 @@ def fit(rows: list, counts: dict[int, int], steps: int = 80, rate: float = 0.5,
         sentence.append(np.repeat(np.arange(base, base + n, dtype=np.int32), lengths)[use])
         bag.append(np.full(n, i, np.int32))
         base += n
-    names, f = np.unique(np.concatenate(kept), return_inverse=True)
+    names = np.flatnonzero(seen >= LEAST_SEEN)
+    place = np.zeros(len(seen), np.int32)
+    place[names] = np.arange(len(names))
+    f = place[np.concatenate(kept)]
     s, bag = np.concatenate(sentence), np.concatenate(bag)
     y = np.array([r["toxic"] for r in rows])
     weight = np.where(y == 1, counts[1] / max(1, (y == 1).sum()), counts[0] / max(1, (y == 0).sum()))
@@ -169,10 +171,20 @@ def fit(rows: list, counts: dict[int, int], steps: int = 80, rate: float = 0.5,
 
 def train(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE_ROWS) -> ToxicityModel | None:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic); None without both labels."""
-    rows, counts = _sample(docs, labels.select("doc_id", "toxic"), bound)
-    if {r["toxic"] for r in rows} != {0, 1}:
+    sample, counts = _sample(docs, labels.select("doc_id", "toxic"), bound)
+    if sample is None:
         return None
-    return fit(rows, counts)
+
+    def learn(batches):
+        """The whole sample, which the parameter bounds, in one task: the driver gets the model alone."""
+        rows = [r for batch in batches for r in batch.to_pylist()]
+        rows.sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["toxic"], r["feature"]))
+        if {r["toxic"] for r in rows} == {0, 1}:
+            model = fit(rows, counts)
+            yield pa.RecordBatch.from_arrays([pa.array([model.bias]), pa.array([model.weights.tobytes()])], ["bias", "weights"])
+
+    found = sample.repartition(1).mapInArrow(learn, "bias double, weights binary").collect()
+    return ToxicityModel(np.frombuffer(found[0]["weights"], np.float32), found[0]["bias"]) if found else None
 
 
 def score(docs: DataFrame, model: ToxicityModel | None, sentences: bool = False) -> DataFrame:
