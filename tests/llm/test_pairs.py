@@ -168,6 +168,27 @@ def test_lines_agree_with_all_pairs(docs, monkeypatch):
         assert found[i]["n_chars"] == len(found[i]["text"])
 
 
+def test_equal_lines_of_any_length_agree_with_all_lines(docs):
+    """Equal lines go at any length; up to edits, only lines of EDIT_BYTES or more are compared."""
+    rng = random.Random(11)
+    pool = ["x", "Les.", "Lea.", "}", "ü", "", " ", "b" * 23, "b" * 22 + "c", "a" * 24, "a" * 23 + "c", "a" * 23]
+    texts = ["\n".join(rng.choice(["", " "]) + rng.choice(pool) + rng.choice(["", "\r"]) for _ in range(rng.randint(1, 9))) for _ in range(30)]
+    texts.append(texts[3])
+    seen, long, rows = set(), [], {r["doc_id"]: r["text"] for r in lines.dedup_lines(docs(texts)).collect()}
+    for i, text in enumerate(texts):
+        kept = []
+        for raw in text.split("\n"):
+            line = raw.strip(" \t\r")
+            near = len(line.encode()) >= lines.EDIT_BYTES and any(edits(line.encode(), x) <= lines.EDITS for x in long)
+            if not line or (line not in seen and not near):
+                kept.append(raw)
+            seen.add(line)
+            if len(line.encode()) >= lines.EDIT_BYTES:
+                long.append(line.encode())
+        assert rows[i] == "\n".join(kept), i
+    assert not rows[30].strip()  # of an exact copy of a document, no line is left
+
+
 def test_lines_of_odd_ids(docs):
     line = "this line is long enough to be compared"
     rows = lines.dedup_lines(docs([line, line, line, "", None], ids=[None, 3, 3, 4, None])).collect()

@@ -1,10 +1,11 @@
 """Line deduplication by a segment-partition edit join.
 
 A line (what is between line feeds, trimmed) is dropped if an earlier one, by document id
-and then by line number, is equal to it or within ``EDITS`` edits of it (UTF-8 bytes). Lines
-under ``LEAST_BYTES`` are too short to tell and stay.
+and then by line number, is equal to it or within ``EDITS`` edits of it (UTF-8 bytes). Equal
+lines count at any length; edits only between lines of ``EDIT_BYTES`` or more, as two edits
+turn a shorter line into another one. Empty lines stay.
 
-Equal lines become one distinct line first. A distinct line is cut into ``EDITS + 1``
+Equal lines become one distinct line first. A distinct line long enough is cut into ``EDITS + 1``
 segments; of two lines within so many edits, one has a segment that the other holds
 unchanged. Segments are indexed by the line's length, the segment's number and its bytes;
 each line probes the indexes of its own and slightly smaller lengths at the few places
@@ -31,7 +32,8 @@ from .blocks import mix, noise, text_blocks
 from .graph import store
 
 EDITS = 2
-LEAST_BYTES = 24
+LEAST_BYTES = 1  # of a line that is compared at all: only empty ones are not
+EDIT_BYTES = 24  # of a line that is compared up to edits
 HOT_SEGMENT = 64  # distinct lines behind one index key from which remainders are compared too
 FILTER_SLOTS = 1 << 24
 _BASE = 0xD1342543DE82EF95
@@ -168,7 +170,7 @@ def _banded(lefts: list[bytes], rights: list[bytes], edits: int) -> np.ndarray:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, whole, no, line``: the trimmed lines that are long enough, ``whole`` a hash of their text."""
+    """``doc_id, whole, no, line``: the trimmed lines that are not empty, ``whole`` a hash of their text."""
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("whole"), F.posexplode(F.split("text", "\n", -1)).alias("no", "raw")
     )
@@ -328,12 +330,13 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
     marked = lines.select("doc_id", "whole", "no", *_identity(), place.cast("decimal(38,0)").alias("place"))
     facts = store(marked.groupBy("line_id", "check").agg(F.min("place").alias("first"), F.count("*").alias("n")), "lines").df
 
-    met = store(_meet(_keyed(lines, edits), HOT_SEGMENT), "met").df
+    long = lines.where(F.octet_length("line") >= EDIT_BYTES)
+    met = store(_meet(_keyed(long, edits), HOT_SEGMENT), "met").df
     hot = met.where("a IS NULL").select("key", "mark")
     pairs = met.where("a IS NOT NULL").select("a", "b")
     hot_lines = hot.select(F.col("mark").bitwiseAND(F.lit(-2)).alias("line_id"))
     wanted = pairs.select(F.col("a").alias("line_id")).union(pairs.select("b")).union(hot_lines).distinct()
-    texts = store(_texts_of(lines, facts.join(wanted, "line_id", "left_semi").select("line_id", "check", "first")), "texts").df
+    texts = store(_texts_of(long, facts.join(wanted, "line_id", "left_semi").select("line_id", "check", "first")), "texts").df
     more = hot.withColumn("line_id", F.col("mark").bitwiseAND(F.lit(-2))).join(texts.select("line_id", "line"), "line_id")
     again = _meet(_remainders(more, edits), None, edits).where("a IS NOT NULL").select("a", "b")
 
