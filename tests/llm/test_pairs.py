@@ -228,6 +228,32 @@ def test_repeats_agree_with_a_scan(docs, seed, monkeypatch):
         assert (bytes(rows[i]["kept"]), rows[i]["n_removed"], rows[i]["n_spans"]) == (kept, int(gone.sum()), spans), i
 
 
+def test_repeats_around_one_passage_stay_in_small_shards(docs, monkeypatch):
+    """More documents than HOT_KEY share a passage: no shard grows with them, and nothing is missed."""
+    monkeypatch.setattr(repeats, "SHARD_BYTES", 8192)
+    sizes, sort = [], repeats._repeats
+
+    def measured(pieces, window):
+        sizes.extend(r[0] for r in pieces.selectExpr("shard", "length(text) AS n").groupBy("shard").sum("n").select("sum(n)").collect())
+        return sort(pieces, window)
+
+    monkeypatch.setattr(repeats, "_repeats", measured)
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = text(400)
+    texts = [text(150) + passage + text(150) for _ in range(repeats.HOT_KEY + 144)]
+    texts += [texts[7][60:500] + text(30), text(40) + passage[50:] + texts[9][550:640]]
+    rows = {r["doc_id"]: r for r in repeats.remove_repeats(docs(texts)).collect()}
+    seen = {}
+    for i, t in enumerate(texts):
+        gone = np.zeros(len(t), bool)
+        for k in range(len(t) - 99):
+            if seen.setdefault(t[k : k + 100], (i, k)) != (i, k):
+                gone[k : k + 100] = True
+        assert bytes(rows[i]["kept"]) == np.frombuffer(t.encode(), np.uint8)[~gone].tobytes(), i
+    assert max(sizes, default=0) <= 4 * repeats.SHARD_BYTES
+
+
 def test_repeats_of_odd_ids(docs):
     text = "".join(chr(97 + k * k % 23) + chr(97 + k % 19) for k in range(100))
     rows = repeats.remove_repeats(docs([text, text, text, None], ids=[None, 3, 3, 5])).collect()

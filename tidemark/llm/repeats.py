@@ -9,7 +9,10 @@ windows mostly have one key, so a text falls into a few stretches per hundred by
 these travel. Stretches of one key with equal bytes are settled by their order; the first of
 each kind, where its key has several kinds, goes on to suffix sorting, dealt with its bytes
 into shards of about ``SHARD_BYTES``. Keys that more than ``HOT_KEY`` stretches share are cut
-by a second such hash first, which divides them between shards. Each shard is sorted by external induced sorting
+by a second such hash first, which divides them between shards. Where the stretches of one
+key have more than ``SHARD_BYTES``, a third hash cuts them into keys of their own; what still
+has more, as around a passage that very many documents share, is compared window by window:
+by 128 bits of hash, in joins instead of a shard. Each shard is sorted by external induced sorting
 (``suffixes``); neighbours in that order that share ``WINDOW`` bytes are one group, and all
 but its first window are repeats.
 
@@ -188,6 +191,76 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
 
 
+def _large(stretches: DataFrame, window: int) -> DataFrame:
+    """Keys whose stretches have more bytes than a shard should."""
+    return stretches.groupBy("key").agg(F.sum(F.col("n") + window - 1).alias("bytes")).where(F.col("bytes") > SHARD_BYTES).select("key")
+
+
+def _in_texts(docs: DataFrame, stretches: DataFrame, window: int, read, schema: str) -> DataFrame:
+    """What ``read`` makes of each block's bytes: of its stretches the documents' ids, offsets, lengths and keys, and where they begin in the block."""
+    lists = stretches.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n", "key")).alias("stretches"))
+    rows = docs.join(lists, "doc_id")
+
+    def run(batches):
+        for batch in batches:
+            for first, data, offsets in text_blocks(batch.column(1)):
+                count = len(offsets) - 1
+                lists = batch.column(2).slice(first, count)
+                fields = lists.flatten()
+                row = np.repeat(np.arange(count), np.diff(lists.offsets.to_numpy()))
+                at, n, key = (fields.field(k).to_numpy() for k in range(3))
+                # a stretch that does not fit is one of another text with the same id
+                use = at + n + window - 1 <= np.diff(offsets)[row]
+                if use.any():
+                    ids = batch.column(0).slice(first, count).to_numpy()[row[use]]
+                    yield from read(data, ids, at[use], n[use].astype(np.int64), key[use].view(np.uint64), (offsets[row] + at)[use])
+
+    return rows.select("doc_id", "text", "stretches").mapInArrow(run, schema)
+
+
+def _cut(docs: DataFrame, stretches: DataFrame, window: int) -> DataFrame:
+    """``doc_id, at, n, key``: the stretches cut by a third key, which goes into their key."""
+
+    def read(data, ids, at, n, key, begin):
+        places, owner = _ranges(begin, n), np.repeat(np.arange(len(n)), n)
+        third = window_keys(prefix_hashes(data), len(data), window, seed=2)[0][places]
+        new = np.append(True, (owner[1:] != owner[:-1]) | (third[1:] != third[:-1]))
+        starts = np.flatnonzero(new)
+        own = owner[starts]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(ids[own]), pa.array(at[own] + places[starts] - begin[own]), pa.array(np.diff(np.append(starts, len(places))).astype(np.int32)),
+                pa.array(mix(key[own] ^ mix(third[starts])).view(np.int64)),
+            ],
+            ["doc_id", "at", "n", "key"],
+        )
+
+    return _in_texts(docs, stretches, window, read, "doc_id long, at long, n int, key long")
+
+
+def _repeated_windows(docs: DataFrame, stretches: DataFrame, window: int) -> DataFrame:
+    """Windows of the stretches that are not the first of their kind, each by itself; no group of them is held anywhere."""
+
+    def read(data, ids, at, n, key, begin):
+        hashes, others = prefix_hashes(data), prefix_hashes(data ^ np.uint8(0x5A))
+        step = max(1, 1_000_000 // int(n.max()))
+        for k in range(0, len(n), step):
+            part = slice(k, k + step)
+            places = _ranges(begin[part], n[part])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(hashes(places, window).view(np.int64)), pa.array(others(places, window).view(np.int64)),
+                    pa.array(np.repeat(ids[part], n[part])), pa.array(_ranges(at[part], n[part])),
+                ],
+                ["value", "check", "doc_id", "at"],
+            )
+
+    windows = _in_texts(docs, stretches, window, read, "value long, check long, doc_id long, at long")
+    first = windows.groupBy("value", "check").agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "at"))["at"].alias("first_at"), F.count("*").alias("rows"))
+    later = windows.join(first.where("rows > 1"), ["value", "check"]).where("doc_id <> first_id OR at <> first_at")
+    return later.select("doc_id", "at", F.lit(1).alias("n"))
+
+
 def _pieces(docs: DataFrame, chosen: DataFrame, shards: int, window: int) -> DataFrame:
     """The chosen stretches with their bytes: ``shard, doc_id, at, n, text``; those of hot keys cut by a second key."""
     hot = chosen.groupBy("key").count().where(F.col("count") > HOT_KEY).select("key", F.lit(True).alias("hot"))
@@ -278,9 +351,16 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``doc_id, ranges``: starts and numbers of windows that repeat, for each document that has any."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= window))
     settled = store(_settle(_stretches(texts, window)), "stretches").df
-    chosen = settled.where("kind = 0")
-    total = chosen.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
+    chosen = settled.where("kind = 0").select("doc_id", "at", "n", "key")
     found = settled.where("kind = 1").select("doc_id", "at", "n")
+    large = store(_large(chosen, window), "large").df
+    if not large.isEmpty():
+        cut = store(_cut(texts, chosen.join(large, "key", "left_semi"), window), "cut").df
+        still = store(_large(cut, window), "large").df
+        chosen = chosen.join(large, "key", "left_anti").unionByName(cut.join(still, "key", "left_anti"))
+        if not still.isEmpty():
+            found = found.union(_repeated_windows(texts, cut.join(still, "key", "left_semi"), window))
+    total = chosen.agg(F.sum(F.col("n") + window - 1)).first()[0] or 0
     if total:
         found = found.union(_repeats(_pieces(texts, chosen, -(-total // SHARD_BYTES), window), window))
     return found.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("ranges"))
