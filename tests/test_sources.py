@@ -154,6 +154,31 @@ def test_zip_members(spark, tmp_path):
         archives.zipped_csv(spark, folder, "msg_Re", "reward")
 
 
+def test_zip_members_of_other_widths_and_orders(spark, tmp_path):
+    folder = archive(
+        tmp_path / "z", "a.zip",
+        {"m1.csv": "a b,c\n1,2\nragged\n", "m2.csv": "a b,c,d\n3,4,5\n6,7\n", "m3.csv": "c,a b\n9,8\n", "m4.csv": "c\n10\n", "m5.csv": "k,l\n11,12\n"},
+    )
+    for spread in (None, 3):
+        rows = archives.zipped_csv(spark, folder, "m", "-", spread=spread)
+        assert rows.columns == ["a_b", "c", "d", "path", "member"]
+        got = sorted((r.member, r.a_b, r.c, r.d) for r in rows.collect())
+        assert got == [("m1.csv", "1", "2", ""), ("m2.csv", "3", "4", "5"), ("m3.csv", "8", "9", ""), ("m4.csv", "", "10", ""), ("m5.csv", "11", "12", "")]
+    with pytest.raises(ValueError, match="another number"):
+        archives.zipped_csv(spark, folder, "m", "-", header="p,q")
+
+
+def test_detected_files_of_other_widths_and_orders(spark, tmp_path):
+    put(tmp_path / "d", "1.csv", "a,b\n1,2\nragged\n")
+    put(tmp_path / "d", "2.csv", "a,b,c\né,4,5\n6,7\n".encode("latin-1"))
+    put(tmp_path / "d", "3.csv", "b,a\r\n9,8\r\n")
+    put(tmp_path / "d", "4.csv", b"\xff\xfe" + "a,b,c\n10,11,12\n".encode("utf-16-le"))
+    folder = put(tmp_path / "d", "5.csv", "k,l\n13,14\n")
+    rows = files.detected_csv(spark, folder)
+    assert rows.columns == ["a", "b", "c"]
+    assert sorted(map(tuple, rows.collect())) == sorted([("1", "2", ""), ("é", "4", "5"), ("8", "9", ""), ("10", "11", "12"), ("13", "14", "")])
+
+
 def test_zip_keyword_in_prefix(spark, tmp_path):
     folder = archive(tmp_path / "z", "a.zip", {"reward_1.csv": "a\n1\n", "reward.csv": "a\n2\n", "x_reward.csv": "a\n3\n"})
     assert sorted(r.a for r in archives.zipped_csv(spark, folder, "reward", "reward").collect()) == ["1", "2"]

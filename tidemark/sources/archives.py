@@ -5,13 +5,14 @@ from __future__ import annotations
 import io
 import zipfile
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import NoFiles, split_fields
+from .files import NoFiles, by_position, split_fields
 
 LINES_SCHEMA = "path string, member string, line_no bigint, line string"
 _ARROW_LINES = pa.schema(
@@ -107,20 +108,37 @@ def zipped_csv(
     name_filter: Column | None = None,
     spread: int | None = None,
 ) -> DataFrame:
-    """Rows of the selected members, split at plain commas, ragged rows dropped.
+    """Rows of the selected members, split at plain commas; rows ragged against their own member's header are dropped.
 
-    Columns go by position under one header: the given one, or the header of the
-    first member by name. ``spread`` deals the lines out over that many tasks before
-    parsing, for a feed where a few archives hold most of the rows.
+    Columns go by position under the header of the first member by name where a member's
+    header fits it (``files.by_position``), else by name; a column that a member lacks is
+    empty text. Under a given ``header`` all go by position, and a member of another width
+    raises. ``spread`` deals the lines out over that many tasks before parsing, for a feed
+    where a few archives hold most of the rows.
     """
     lines = zip_lines(spark, folder, prefix, keyword, name_filter=name_filter)
-    if header is None:
-        heads = zip_lines(spark, folder, prefix, keyword, name_filter=name_filter, heads_only=True)
-        first = heads.where("line_no = 1").agg(F.min_by("line", F.struct("path", "member")).alias("line")).first()
-        if first.line is None:
-            raise NoFiles(f"no member of {folder} fits {prefix!r} and {keyword!r}")
-        header = first.line
+    heads = zip_lines(spark, folder, prefix, keyword, name_filter=name_filter, heads_only=True).where("line_no = 1")
+    found = heads.groupBy("line").agg(F.min(F.struct("path", "member")).alias("at")).orderBy("at").collect()
+    if not found and header is None:
+        raise NoFiles(f"no member of {folder} fits {prefix!r} and {keyword!r}")
+    first = (found[0].line if header is None else header).split(",")
+    # members by the layout of their header; a feed has few of them
+    odd = [r.line for r in found if (len(r.line.split(",")) != len(first) if header is not None else not by_position(first, r.line.split(",")))]
+    if odd and header is not None:
+        raise ValueError(f"the header given has {len(first)} columns, a member of {folder} another number: {odd[0]!r}")
     rows = lines.where("line_no > 1").select("path", "member", "line")
+    if odd:
+        kinds = heads.where(F.col("line").isin(odd)).select("path", "member", F.col("line").alias("__head"))
+        rows = rows.join(kinds, ["path", "member"], "left")
     if spread:
         rows = rows.repartition(spread)
-    return split_fields(rows, header)
+    if not odd:
+        return split_fields(rows, ",".join(first))
+    parts = [split_fields(rows.where("__head IS NULL").drop("__head"), ",".join(first))]
+    for head in odd:
+        own = [name.lower() for name in head.split(",")]
+        if len(set(own)) < len(own):
+            raise ValueError(f"a member of {folder} repeats a column and differs from the others: {head!r}")
+        parts.append(split_fields(rows.where(F.col("__head") == head).drop("__head"), head))
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).na.fill("")
+    return united.select(*(c for c in united.columns if c not in ("path", "member")), "path", "member")

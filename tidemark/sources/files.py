@@ -135,6 +135,26 @@ def split_fields(lines: DataFrame, header: str, line: str = "line") -> DataFrame
     )
 
 
+def by_position(first: Sequence[str], other: Sequence[str]) -> bool:
+    """Whether columns go under the ``first`` header by position: as many, and names of both stand in the same places."""
+    a, b = [n.lower() for n in first], [n.lower() for n in other]
+    return len(a) == len(b) and (a == b or all(x not in a or x == y for x, y in zip(b, a)))
+
+
+def unite_headers(frames: Sequence[DataFrame]) -> DataFrame:
+    """Frames read by their own headers: by position under the first one's names where they fit, else by name.
+
+    A column that a frame lacks is empty text there.
+    """
+    out = frames[0]
+    names = out.columns
+    for frame in frames[1:]:
+        if by_position(names, frame.columns):
+            frame = frame.toDF(*names)
+        out = out.unionByName(frame, allowMissingColumns=True)
+    return out if all(by_position(names, f.columns) for f in frames) else out.na.fill("")
+
+
 # --- charsets ----------------------------------------------------------------
 
 # Byte-order marks, longest first, and the charset each one names.
@@ -163,18 +183,25 @@ def detect_charsets(
     first block). The mark decides; else valid UTF-8 is UTF-8, and anything else is
     single-byte text.
     """
+    return _charsets_and_headers(spark, path, selected).select("path", "charset")
+
+
+def _charsets_and_headers(spark: SparkSession, path: str | Sequence[str], selected: Column | None) -> DataFrame:
+    """``path, charset, header``; the header is the file's first line in hexadecimal, as the bytes are."""
     paths = path if isinstance(path, str) else list(path)
     head = F.hex(F.substring(F.col("value").cast("binary"), 1, 4))
     lines = spark.read.text(paths).where(F.lit(True) if selected is None else selected).select(
         F.col("_metadata.file_path").alias("path"),
         F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("row"),
         head.alias("head"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.hex(F.col("value").cast("binary"))).alias("line"),
         F.is_valid_utf8("value").alias("utf8"),
         F.decode(F.col("value").cast("binary"), "ISO-8859-1").rlike("[\u0080-\u009f]").alias("punctuated"),
     )
     marked = {mark: F.min(F.when(F.startswith("head", F.lit(mark)), F.col("row"))) for mark, _ in BYTE_ORDER_MARKS}
     files = lines.groupBy("path").agg(
         F.min("row").alias("first_row"),
+        F.min_by("line", "row").alias("header"),
         F.bool_and("utf8").alias("utf8"),
         F.bool_or("punctuated").alias("punctuated"),
         *(row.alias(mark) for mark, row in marked.items()),
@@ -184,7 +211,7 @@ def detect_charsets(
     )
     for mark, name in reversed(BYTE_ORDER_MARKS):
         charset = F.when(F.col(mark) == F.col("first_row"), F.lit(name)).otherwise(charset)
-    return files.select("path", charset.alias("charset"))
+    return files.select("path", charset.alias("charset"), "header")
 
 
 def utf16_csv(spark: SparkSession, path: str | Sequence[str], **options: object) -> DataFrame:
@@ -200,18 +227,20 @@ def detected_csv(
     selected: Column | None = None,
     **options: object,
 ) -> DataFrame:
-    """CSV files of mixed charsets, each decoded by its own; columns by position.
+    """CSV files of mixed charsets, each decoded by its own and measured by its own header.
 
-    There is one scan per charset, not per file. Only names and charsets come to the
-    driver, one row a file: what Spark's own file index keeps there as well.
+    Headers as wide as that of the first file by name go by position under its names,
+    others by name (``unite_headers``). There is one scan per charset and header, not per
+    file. Only names, charsets and headers come to the driver, one row a file.
     """
     scans = []
-    for charset, members in _grouped(detect_charsets(spark, path, selected), "charset"):
+    listing = _charsets_and_headers(spark, path, selected).withColumn("kind", F.struct("charset", "header"))
+    for (charset, _), members in sorted(_grouped(listing, "kind"), key=lambda group: group[1][0]):
         wide = {"multiLine": True} if charset.startswith(("UTF-16", "UTF-32")) else {}
         scans.append(reader(spark, members, encoding=charset, **{**options, **wide}))
     if not scans:
         raise NoFiles(f"no files under {path}")
-    return reduce(DataFrame.union, scans)
+    return unite_headers(scans)
 
 
 def _grouped(listing: DataFrame, key: str) -> list[tuple[str, list[str]]]:
