@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, decontaminate, embeddings, language, lines, minhash, packing, pii, repeats, toxicity
+from . import alignment, chat, decontaminate, embeddings, language, lines, minhash, packing, pii, repair, repeats, toxicity
 
+TOKENIZERS = "/opt/tokenizers"  # public vocabulary files; they are read where the driver runs
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -162,6 +163,104 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = alignment.align(docs, f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return found.select(*(c for c in found.columns if c != "groups"), digest.alias("groups_sha256"))
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with planted faults, by the checksum of conversation and turn; what is dropped is marked ``gone``."""
+    named = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    fault = F.crc32(named) % 20
+    text = F.coalesce("text", F.lit(" "))
+    return rows.select(
+        "conv_id", "turn",
+        F.when(fault == 4, F.lit("user")).otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(fault == 1, F.lit("")).when(fault == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (fault == 0).alias("gone"),
+        F.explode(F.when(fault == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"),
+    )
+
+
+@query
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repair.repair(_damaged(_table(spark, sf_dir, "conversations")), F.col("gone"))
+    return found.drop("roles")
+
+
+def _repair_sql() -> str:
+    """The same by dynamic programming: the best repair that ends in each of the pattern's four states, row by row."""
+    spaces = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+    def least(*options: str) -> str:
+        return f"list_sort([{', '.join(options)}], 'ASC', 'NULLS LAST')[1]"
+
+    def edit(state: str, cost: str, initial: str, line: str) -> str:
+        return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{initial}', 'r': {state}.r || {line}}} END"
+
+    def inserted(state: str, role: str) -> str:
+        return edit(state, "2", "I", f"chr(10) || '{role}:'")
+
+    def stays(state: str, initial: str, role: str) -> str:
+        kept = edit(state, "extra", "K", "chr(10) || role || ':' || text")
+        changed = edit(state, "2 + extra", "R", f"chr(10) || '{role}:' || text")
+        return f"CASE WHEN goes THEN NULL WHEN initial = '{initial}' THEN {kept} ELSE {changed} END"
+
+    to_user = least("s0", "s1", "t3")
+    system = f"CASE WHEN NOT goes AND initial = 's' THEN {edit('s0', 'extra', 'K', 'chr(10) || role || chr(58) || text')} END"
+
+    def with_inserts(columns: str, source: str) -> str:
+        user = least("s2", inserted("s0", "user"), inserted("s1", "user"), inserted("s3", "user"))
+        return f"SELECT *, {least('s3', inserted('t2', 'assistant'))} AS t3 FROM (SELECT {columns}, s0, s1, s2, s3, {user} AS t2 FROM {source})"
+
+    deleted = {s: edit(s, "3", "D", "''") for s in ("s0", "s1", "t2", "t3")}
+    return f"""
+WITH RECURSIVE summed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS named FROM conversations),
+checked AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(named, ''), lambda ch: ascii(ch)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+      lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 20 AS fault FROM summed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM checked WHERE fault <> 0),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k,
+    coalesce(nullif(left(role, 1), ''), ' ') AS initial, rtrim(text, {spaces}) AS body FROM damaged),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 AS again FROM ordered),
+rows AS (
+  SELECT *, body = '' AS blank, body <> '' AND again AS duplicate, body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS truncated,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY k) AS before FROM seen),
+facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM rows GROUP BY conv_id),
+steps AS (SELECT conv_id, k, role, text, initial, blank OR duplicate AS goes, CASE WHEN truncated THEN 1 ELSE 0 END AS extra FROM rows),
+walk AS (
+  SELECT conv_id, n, 0::BIGINT AS k, {{'c': 0::BIGINT, 'a': '', 'r': ''}} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR) AS s1,
+    NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR) AS s2, NULL::STRUCT(c BIGINT, a VARCHAR, r VARCHAR) AS s3 FROM facts
+  UNION ALL
+  SELECT conv_id, n, k, {deleted['s0']}, {least(deleted['s1'], system)}, {least(deleted['t2'], stays('best', 'u', 'user'))},
+    {least(deleted['t3'], stays('t2', 'a', 'assistant'))}
+  FROM (SELECT *, {to_user} AS best FROM (
+    {with_inserts('conv_id, n, k, role, text, initial, goes, extra', '(SELECT w.conv_id, w.n, s.k, s.role, s.text, s.initial, s.goes, s.extra, w.s0, w.s1, w.s2, w.s3 FROM walk w JOIN steps s ON s.conv_id IS NOT DISTINCT FROM w.conv_id AND s.k = w.k + 1)')}))),
+ends AS (SELECT conv_id, {least('s0', 't3')} AS best FROM ({with_inserts('conv_id', '(SELECT * FROM walk WHERE k = n)')}))
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
+ORACLES["op13_repair"] = _repair_sql()
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
