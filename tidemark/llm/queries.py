@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import alignment, chat, decontaminate, embeddings, language, lines, minhash, packing, pii, repair, repeats, toxicity
+from . import alignment, chat, decontaminate, embeddings, language, lines, minhash, packing, pii, repair, repeats, shards, toxicity
 
 TOKENIZERS = "/opt/tokenizers"  # public vocabulary files; they are read where the driver runs
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -163,6 +163,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shards.assign_shards(_table(spark, sf_dir, "documents"), shards=16)
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 @query
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
