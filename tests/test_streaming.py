@@ -1,17 +1,20 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import folding
 from tidemark.functions.payload import all_string_schema
 from tidemark.jobs import land_queue, load_queue
 from tidemark.operators.ledger import ledger_entries, read_ledger, unread_paths
 from tidemark.retry import retry
 from tidemark.sinks.files import write_files
-from tidemark.streaming.load import LOAD_BATCH, copy_into
+from tidemark.maintenance import compact_table, expire_versions
+from tidemark.sinks.tables import replace_partitions
+from tidemark.streaming.load import LOAD_BATCH, copy_into, set_aside
 from tidemark.streaming.messages import accepted, drain_messages, rejected
 from workload.streams import EVENT_SCHEMA, MESSAGE_SCHEMA, crash_after_first_write
 
@@ -106,12 +109,142 @@ def test_columns_are_inferred_from_new_files_only(spark, places, schema_name):
     ]
 
 
-def test_csv_files_with_shifted_headers_fail(spark, places, schema_name):
-    df = spark.createDataFrame([(1, 2)], "a int, b int").coalesce(1)
-    write_files(df, places["source"], "csv")
-    write_files(df.select("b", "a"), places["source"], "csv")
-    with pytest.raises(Exception, match="(?i)header"):
-        load(spark, f"{schema_name}.t", places, file_format="csv")
+def write_text(spark, folder, *files):
+    for lines in files:
+        spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.mode("append").text(folder)
+
+
+def test_csv_files_are_read_under_their_own_headers(spark, places, schema_name):
+    name = f"{schema_name}.t"
+    write_text(spark, places["source"], ["a,b", "1,2", '"x,y",'], ["B,A", "3,4", "", "B,A"], ["a,c c,", '5,"q""r",7'])
+    assert load(spark, name, places, file_format="csv").rows == 5
+    got = spark.table(name)
+    assert {c.lower() for c in got.columns} == {"a", "b", "c c", "_c2", "_metadata", LOAD_BATCH}
+    rows = {tuple(r) for r in got.select("a", "b", "c c", "_c2").collect()}
+    assert rows == {("1", "2", None, None), ("4", "3", None, None), ("5", None, 'q"r', "7"), ("A", "B", None, None), ("x,y", None, None, None)}
+
+
+def test_csv_with_declared_columns_rescues_and_sets_aside(spark, places, schema_name):
+    name, schema = f"{schema_name}.t", T.StructType.fromDDL("id bigint, v double")
+    write_text(spark, places["source"], ["id,v,more", "1,0.5,x", "2,oops,y", "3,1.5", ",,"], ["v,id", "2.5,4", "1,2,3", "9e3,5"])
+    result = load(spark, name, places, file_format="csv", schema=schema)
+    assert (result.rows, result.set_aside) == (5, 2)
+    assert sorted((r.id or 0, r.v, r._rescued) for r in spark.table(name).collect()) == [
+        (0, None, None), (1, 0.5, '{"more":"x"}'), (3, 1.5, None), (4, 2.5, None), (5, 9000.0, None),
+    ]
+    assert sorted(r.line for r in set_aside(spark, name).collect()) == ["1,2,3", "2,oops,y"]
+
+
+def test_csv_with_line_breaks_and_two_headers(spark, places, schema_name):
+    name = f"{schema_name}.t"
+    write_text(spark, places["source"], ['a,b\n1,"x\ny"'], ['b,a\n"p\n\nq",2'])
+    assert load(spark, name, places, file_format="csv", multi_line=True).rows == 2
+    assert sorted((r.a, r.b) for r in spark.table(name).collect()) == [("1", "x\ny"), ("2", "p\n\nq")]
+
+
+def test_broken_lines_are_set_aside_with_and_without_columns(spark, places, schema_name):
+    lines = ['{"event_id": 1}', '{"event_id": 2', '{"event_id": 3, "value": 0.5}', '{"event_id": "four"}']
+    write_text(spark, places["source"], lines)
+    declared, inferred = f"{schema_name}.declared", f"{schema_name}.inferred"
+    result = load(spark, declared, places, schema=EVENT_SCHEMA)
+    assert (result.rows, result.set_aside) == (2, 2)
+    assert sorted(r.event_id for r in spark.table(declared).collect()) == [1, 3]
+    assert sorted((r.line, r.reason) for r in set_aside(spark, declared).collect()) == [(lines[3], "broken line"), (lines[1], "broken line")]
+    copy_into(spark, inferred, places["table"] + "2", places["source"], places["checkpoint"] + "2")
+    assert sorted(r.event_id for r in spark.table(inferred).collect()) == ["1", "3", "four"]
+    assert [r.line for r in set_aside(spark, inferred).collect()] == [lines[1]]
+    # a replay replaces what it set aside
+    load(spark, declared, {**places, "checkpoint": places["checkpoint"] + "3"}, schema=EVENT_SCHEMA)
+    assert set_aside(spark, declared).count() == 4
+
+
+def test_bad_files_do_not_block_the_good_ones(spark, places, schema_name):
+    name = f"{schema_name}.t"
+    write_files(numbers(spark, 0, 8).repartition(4), places["source"], "parquet")
+    write_text(spark, places["source"], ["no parquet"])
+    result = load(spark, name, places, file_format="parquet")
+    assert (result.files, result.rows, result.bad_files) == (5, 8, 1)
+    (bad,) = set_aside(spark, name).collect()
+    assert bad.line is None and "footer" in bad.reason and bad.path.endswith(".txt")
+    write_files(numbers(spark, 8, 9).select(F.struct("event_id").alias("event_id")).coalesce(1), places["source"], "parquet")
+    write_files(numbers(spark, 9, 12), places["source"], "parquet")
+    assert load(spark, name, places, file_format="parquet").bad_files == 1
+    assert sorted(r.event_id for r in spark.table(name).collect()) == [*range(8), 9, 10, 11]
+
+
+def test_a_fault_of_the_store_is_no_files_fault(spark, places, schema_name, monkeypatch):
+    name = f"{schema_name}.t"
+    write_files(numbers(spark, 0, 3), places["source"])
+
+    def down(*args):
+        raise OSError("store is down")
+
+    monkeypatch.setattr("tidemark.streaming.load._json_rows", down)
+    with pytest.raises(Exception, match="store is down"):
+        load(spark, name, places, schema=EVENT_SCHEMA)
+    monkeypatch.undo()
+    assert load(spark, name, places, schema=EVENT_SCHEMA).rows == 3
+    assert set_aside(spark, name).count() == 0
+
+
+def many_loads(spark, name, places, n, first=0):
+    for k in range(first, first + n):
+        write_files(numbers(spark, k, k + 1).coalesce(1), places["source"], "parquet")
+        load(spark, name, places, file_format="parquet", schema=EVENT_SCHEMA)
+
+
+def labels(spark, name):
+    return {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+
+
+def test_folding_and_replays(spark, places, schema_name):
+    name = f"{schema_name}.t"
+    many_loads(spark, name, places, 6)
+    last = max(labels(spark, name))
+    added, removed, size = compact_table(spark, name, "")
+    assert (added, removed) == (1, 5) and size > 0
+    assert compact_table(spark, name, "") == (0, 0, 0)
+    assert last in labels(spark, name) and len(labels(spark, name)) == 2
+    # the last batch is loaded again, as after a crash before its checkpoint
+    copy = spark.table(name).where(F.concat(F.lit(f"{LOAD_BATCH}="), F.col(LOAD_BATCH)) == last)
+    replace_partitions(spark, name, spark.createDataFrame(copy.collect(), copy.schema))
+    many_loads(spark, name, places, 3, first=6)
+    assert compact_table(spark, name, "")[1] == 4  # the fold is small itself, so it grows
+    assert sorted(r.event_id for r in spark.table(name).collect()) == list(range(9))
+    gone = expire_versions(spark, name, places["table"] + ".none", as_of=datetime.now(timezone.utc) + timedelta(hours=200))
+    assert gone.count() >= 8
+    assert sorted(r.event_id for r in spark.table(name).collect()) == list(range(9))
+    evolve = spark.sql("SELECT 99L AS event_id, named_struct('a', 1) AS deep, 'x-00000000' AS _load_batch")
+    replace_partitions(spark, name, evolve)
+    wider = spark.sql("SELECT 100L AS event_id, named_struct('a', 1, 'b', 2) AS deep, 'x-00000001' AS _load_batch")
+    replace_partitions(spark, name, wider)  # the catalog entry is made anew: folded folders must not come back
+    assert sorted(r.event_id for r in spark.table(name).collect()) == [*range(9), 99, 100]
+
+
+def test_a_fold_that_broke_off_is_finished(spark, places, schema_name, monkeypatch):
+    name = f"{schema_name}.t"
+    many_loads(spark, name, places, 4)
+
+    def crash(*args):
+        raise RuntimeError("crash before the swap")
+
+    monkeypatch.setattr(folding, "_swap", crash)
+    with pytest.raises(RuntimeError, match="before the swap"):
+        compact_table(spark, name, "")
+    assert spark.table(name).count() == 4
+    monkeypatch.undo()
+    before = labels(spark, name)
+    many_loads(spark, name, places, 1, first=4)
+    assert sorted(r.event_id for r in spark.table(name).collect()) == list(range(5))
+    assert len(labels(spark, name)) == 3 and not before <= labels(spark, name)
+
+
+def test_plan_of_folds():
+    small = [folding.Small(f"s-{k:02d}", 1, size) for k, size in enumerate([40, 40, 40, 10, 90, 5])]
+    assert [[p.size for p in b] for b in folding.plan_folds(small, 100)] == [[40, 40], [40, 10], [90, 5]]
+    assert folding.plan_folds([folding.Small("a", 1, 40)], 100) == []
+    assert folding.plan_folds([folding.Small("a", 9, 140)], 100) != []
+    assert folding.plan_folds([], 100) == []
 
 
 def test_schema_grows_between_runs(spark, places, schema_name):

@@ -194,6 +194,24 @@ def test_widening_is_the_same_from_either_side():
         merged_schema(T.StructType.fromDDL("a struct<b:struct<c:int>>"), T.StructType.fromDDL("a struct<b:int>"))
 
 
+def test_longs_beside_fractions_keep_their_digits(spark, tmp_path, schema_name):
+    big = 9_007_199_254_740_993
+    cases = {
+        "small": ("SELECT 7L AS v", "SELECT 0.5D AS v", ["7.0", "0.5"], "double"),
+        "long_first": (f"SELECT {big}L AS v", "SELECT 0.5D AS v", [str(big), "0.5"], "string"),
+        "fraction_first": ("SELECT 0.5D AS v", f"SELECT -{big}L AS v", ["0.5", f"-{big}"], "string"),
+        "nested": (f"SELECT named_struct('a', array({big}L, 1L)) AS v", "SELECT named_struct('a', array(0.5D)) AS v", [f"[{big}, 1]", "[0.5]"], "struct<a:array<string>>"),
+    }
+    for case, (one, other, values, kind) in cases.items():
+        name, first = f"{schema_name}.{case}", spark.sql(one)
+        tables.create_table_if_absent(spark, name, first.schema, str(tmp_path / case))
+        tables.append_evolving(spark, name, first)
+        tables.append_evolving(spark, name, spark.sql(other))
+        got = spark.table(name)
+        shown = got.select((F.col("v")["a"] if case == "nested" else F.col("v")).cast("string").alias("v"))
+        assert sorted(r.v for r in shown.collect()) == sorted(values) and dict(got.dtypes)["v"] == kind, case
+
+
 def test_append_never_narrows(spark, tmp_path, schema_name):
     name = f"{schema_name}.t"
     tables.create_table_if_absent(spark, name, T.StructType.fromDDL("v bigint, s struct<`content-type`: string>"), str(tmp_path / "it's"))

@@ -10,6 +10,7 @@ from math import ceil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .folding import data_files, fold_batches, is_loaded, replaced_folders
 from .shared import filesystem, path_exists, settled
 from .sinks.tables import (
     FIRST_LOCATION,
@@ -30,6 +31,7 @@ log = logging.getLogger(__name__)
 
 RETENTION_HOURS = 168
 COMPACTED_FILES = "compacted_files"
+FOLDS_EXPIRED = "folds_expired"
 FILE_BYTES = 512 * 1024 * 1024
 REPORT_SCHEMA = (
     "table string, status string, files_added bigint, files_removed bigint, "
@@ -37,16 +39,6 @@ REPORT_SCHEMA = (
 )
 
 
-def data_files(spark: SparkSession, folder: str | list[str]) -> DataFrame:
-    """Parquet files below a folder: ``path, length, modificationTime`` (contents not read)."""
-    return (
-        spark.read.format("binaryFile")
-        .options(recursiveFileLookup=True, pathGlobFilter="*.parquet")
-        .load(folder)
-        .select("path", "length", "modificationTime")
-    )
-
-
 def _size(spark: SparkSession, folder: str) -> tuple[int, int]:
     row = data_files(spark, folder).agg(
         F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")
@@ -62,7 +54,10 @@ def compact_table(spark: SparkSession, name: str, root: str, file_bytes: int = F
     rebalanced by size, so a hot partition is shared between tasks. The old files stay
     until ``expire_versions``. Nothing is rewritten when there is already no more than
     one file per target size (or per partition), or no more than the last compaction left.
+    In a table that loads write, only small settled batches are folded (``folding``).
     """
+    if is_loaded(spark, name):
+        return fold_batches(spark, name, file_bytes)
     location = table_location(spark, name)
     files, size = _size(spark, location)
     tasks = max(1, ceil(size / file_bytes))
@@ -90,12 +85,15 @@ def obsolete_versions(
 
     A version is replaced when the next complete one is begun, however old it is itself;
     an abandoned write newer than all others counts by its own last change. The table's
-    first location, which is no version folder, counts from its note. Other tables'
+    first location, which is no version folder, counts from its note, folders of folded
+    batches from when they were folded. Other tables'
     versions and unknown folders are never listed.
     """
     limit = (as_of or datetime.now(timezone.utc)) - timedelta(hours=hours)
     first, replaced = table_note(spark, name, FIRST_LOCATION), table_note(spark, name, FIRST_REPLACED)
     gone = [first] if first and datetime.fromisoformat(replaced) < limit and path_exists(spark, first) else []
+    done = table_note(spark, name, FOLDS_EXPIRED)
+    gone += replaced_folders(spark, name, limit, datetime.fromisoformat(done) if done else None)
     if not path_exists(spark, root):
         return gone
     fs, jroot = filesystem(spark, root)
@@ -132,6 +130,9 @@ def expire_versions(
         for folder in folders:
             fs, jpath = filesystem(spark, folder)
             fs.delete(jpath, True)
+        if is_loaded(spark, name):  # folds before this time need not be looked at again
+            limit = (as_of or datetime.now(timezone.utc)) - timedelta(hours=hours)
+            set_table_note(spark, name, FOLDS_EXPIRED, limit.isoformat())
     return listing
 
 

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,9 @@ from pyspark.sql import types as T
 
 from ..sources.files import scan_json
 from .files import write_files
-from .widening import fitted, merged_schema
+from .widening import fitted, inexact_places, merged_schema
 
+LOAD_BATCH = "_load_batch"  # the partition column of tables that loads write, one value a micro-batch
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 VERSION_PREFIX = "version-"
 NOTE = "tidemark."
@@ -94,15 +96,17 @@ def set_table_note(spark: SparkSession, name: str, key: str, value: str) -> None
     spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ('{NOTE}{key}' = {_literal(value)})")
 
 
-def evolve_schema(spark: SparkSession, name: str, incoming: T.StructType) -> list[str]:
-    """Make the table hold what is coming; returns the names of new columns.
+def evolve_schema(spark: SparkSession, name: str, rows: DataFrame) -> list[str]:
+    """Make the table hold the rows that are coming; returns the names of new columns.
 
     New columns are added, and new fields inside structures declared: older rows read null
     there, and no data is touched. Where a type must widen (whole numbers, then fractions),
-    the rows go to a new version of the table in the wider type. Nothing is ever narrowed.
+    the rows go to a new version of the table in the wider type. Longs that would lose digits
+    beside fractions become text with them. Nothing is ever narrowed.
     """
-    known = spark.table(quoted(name)).schema
-    wanted = merged_schema(known, incoming)
+    table = spark.table(quoted(name))
+    known = table.schema
+    wanted = merged_schema(known, rows.schema, inexact=inexact_places(table, rows))
     names = {f.name.lower() for f in known.fields}
     new = [f for f in wanted.fields if f.name.lower() not in names]
     keys = partition_columns(spark, name)
@@ -145,7 +149,7 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def append_evolving(spark: SparkSession, name: str, df: DataFrame) -> list[str]:
     """Append by column name, first adding the columns the table lacks."""
-    added = evolve_schema(spark, name, df.schema)
+    added = evolve_schema(spark, name, df)
     align(df, spark.table(quoted(name)).schema).write.insertInto(quoted(name))
     return added
 
@@ -160,7 +164,7 @@ def replace_partitions(spark: SparkSession, name: str, df: DataFrame, gather: bo
     keys = partition_columns(spark, name)
     if not keys:
         raise ValueError(f"{name} has no partitions to replace")
-    evolve_schema(spark, name, df.schema)
+    evolve_schema(spark, name, df)
     aligned = align(df, spark.table(quoted(name)).schema)
     if gather:
         aligned = aligned.hint("rebalance", *keys)
@@ -221,12 +225,14 @@ def publish_version(
     kept on it. A location that is no version folder is noted when it is replaced, so that
     it can expire like one.
     """
-    notes = {}
+    notes, listed = {}, None
     if spark.catalog.tableExists(quoted(name)):
         notes = table_notes(spark, name)
         before = table_location(spark, name).rstrip("/")
         if not version_time(before.rsplit("/", 1)[-1], name) and not f"{location.rstrip('/')}/".startswith(f"{before}/"):
             notes |= {FIRST_LOCATION: before, FIRST_REPLACED: datetime.now(timezone.utc).isoformat()}
+        same_place = before == location.rstrip("/")
+        listed = [r.partition for r in spark.sql(f"SHOW PARTITIONS {quoted(name)}").collect()] if partition_by and same_place else None
         old = spark.table(quoted(name)).schema
         same = [(f.name, f.dataType) for f in old] == [(f.name, f.dataType) for f in schema]
         if same and not partition_by and not partition_columns(spark, name):
@@ -236,12 +242,37 @@ def publish_version(
             return
         spark.sql(f"DROP TABLE {quoted(name)}")
     create_table_if_absent(spark, name, schema, location, partition_by)
-    if partition_by:
+    if listed is not None:  # folders that folding took out of the table must not come back
+        add_partitions(spark, name, listed)
+    elif partition_by:
         spark.sql(f"ALTER TABLE {quoted(name)} RECOVER PARTITIONS")
     _note_all(spark, name, notes)
     spark.catalog.refreshTable(quoted(name))
 
 
+_SPECS = 500  # partitions in one statement
+
+
+def partition_spec(listed: str) -> str:
+    """``k=v/l=w``, as partitions are listed, as SQL has it."""
+    parts = (part.split("=", 1) for part in listed.split("/"))
+    return ", ".join(f"`{k}`={_literal(unquote(v))}" for k, v in parts)
+
+
+def add_partitions(spark: SparkSession, name: str, listed: Sequence[str]) -> None:
+    """Make folders below the table's location partitions of it; those that are stay."""
+    for i in range(0, len(listed), _SPECS):
+        specs = " ".join(f"PARTITION ({partition_spec(p)})" for p in listed[i : i + _SPECS])
+        spark.sql(f"ALTER TABLE {quoted(name)} ADD IF NOT EXISTS {specs}")
+
+
+def drop_partitions(spark: SparkSession, name: str, listed: Sequence[str]) -> None:
+    """Take partitions out of the table; their files stay."""
+    for i in range(0, len(listed), _SPECS):
+        specs = ", ".join(f"PARTITION ({partition_spec(p)})" for p in listed[i : i + _SPECS])
+        spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS {specs}")
+
+
 def _note_all(spark: SparkSession, name: str, notes: dict[str, str]) -> None:
     for key, value in notes.items():
         set_table_note(spark, name, key, value)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..folding import finish_folds, not_folded
 from ..functions.payload import ENVELOPE_COLUMNS, flatten_body, is_valid_json, normalize_json
 from ..operators.ledger import append_paths, ledger_entries, read_ledger, unread_paths
 from ..sinks.files import FLUSH_ROWS
@@ -122,7 +123,8 @@ def load_unread(
     """Flatten every unread landing folder into the bronze table, then mark them read.
 
     All folders are one scan and one write. A folder is one partition of the table and
-    is replaced when loaded again, so a crash before the mark leaves no duplicates.
+    is replaced when loaded again, so a crash before the mark leaves no duplicates; one that
+    compaction has folded meanwhile is in the table and only marked.
     The list of folders (metadata) comes to the driver.
     """
     entries = ledger_entries(read_ledger(spark, ledger_path), queue, env)
@@ -131,9 +133,13 @@ def load_unread(
         return []
     # the folder's own name is the last but two part of .../<batch>/status=accepted/<file>
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -3)
-    landed = accepted(spark, paths).withColumn(LOAD_BATCH, folder)
-    rows = flatten_body(landed, body_schema, envelope=[*envelope, LOAD_BATCH])
-    create_table_if_absent(spark, table, rows.schema, location, [LOAD_BATCH])
-    replace_partitions(spark, table, rows)
+    finish_folds(spark, table)
+    labels = spark.createDataFrame([(p, p.rstrip("/").rpartition("/")[2]) for p in paths], f"path string, {LOAD_BATCH} string")
+    waiting = sorted(row.path for row in not_folded(spark, table, labels, LOAD_BATCH).select("path").collect())
+    if waiting:
+        landed = accepted(spark, waiting).withColumn(LOAD_BATCH, folder)
+        rows = flatten_body(landed, body_schema, envelope=[*envelope, LOAD_BATCH])
+        create_table_if_absent(spark, table, rows.schema, location, [LOAD_BATCH])
+        replace_partitions(spark, table, rows)
     append_paths(spark, ledger_path, queue, env, paths, True, at)
     return paths

@@ -9,7 +9,8 @@ from tidemark.functions.payload import is_valid_json
 from tidemark.shared import filesystem, new_folder
 from tidemark.sinks.files import write_files
 from tidemark.sources.files import report_rows
-from tidemark.streaming.load import copy_into
+from tidemark.maintenance import compact_table
+from tidemark.streaming.load import copy_into, set_aside
 from tidemark.streaming.messages import accepted, drain_messages, rejected
 
 from .registry import query
@@ -59,6 +60,111 @@ def copy_into_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return two
 
 
+@query(
+    """
+    SELECT k, form, CASE WHEN form = 0 THEN (9007199254740992 + 2 * k + 1)::VARCHAR ELSE k || '.5' END AS v
+    FROM (SELECT event_id AS k FROM events), (SELECT unnest([0, 1]) AS form)
+    """
+)
+def copy_into_exact_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers that no double can hold beside fractions: every digit stays, in one batch or in two."""
+    rows = events_of(spark, sf_dir).select(F.col("event_id").alias("k"), F.explode(F.array(F.lit(0), F.lit(1))).alias("form"))
+    long = F.lit(9007199254740992) + 2 * F.col("k") + 1
+    number = F.when(F.col("form") == 0, long.cast("string")).otherwise(F.concat(F.col("k").cast("string"), F.lit(".5")))
+    lines = rows.select("form", F.format_string('{"k":%d,"form":%d,"v":%s}', "k", "form", number).alias("value"))
+    source, results = new_folder(spark, "landing"), []
+    names = [f"{fresh_schema()}.numbers" for _ in range(2)]
+    two, one = ((name, new_folder(spark, "numbers"), source, new_folder(spark, "checkpoint")) for name in names)
+    for form in (0, 1):
+        lines.where(F.col("form") == form).select("value").write.mode("append").text(source)
+        copy_into(spark, *two)
+    copy_into(spark, *one)
+    for name in names:
+        results.append(spark.table(name).select("k", F.col("form").cast("int").alias("form"), "v"))
+    if results[0].exceptAll(results[1]).limit(1).count():
+        raise AssertionError("the batches decided the result")
+    return results[0]
+
+
+@query(
+    """
+    SELECT event_id::VARCHAR AS event_id, CASE WHEN event_id % 4 < 3 THEN user_id::VARCHAR END AS user_id, event_type,
+      CASE WHEN event_id % 4 = 2 THEN 'x' || event_id END AS note FROM events
+    """
+)
+def copy_into_csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files of two widths and two orders, some in one batch: each is read under its own header."""
+    name = f"{fresh_schema()}.events"
+    source, target, checkpoint = (new_folder(spark, part) for part in ("landing", "events", "checkpoint"))
+    events = events_of(spark, sf_dir).withColumn("note", F.concat(F.lit("x"), F.col("event_id").cast("string")))
+    layouts = (["event_id", "user_id", "event_type"], ["event_type", "user_id", "event_id"], ["event_id", "user_id", "event_type", "note"], ["event_type", "event_id"])
+    for batch in (layouts[:3], layouts[3:]):
+        for columns in batch:
+            part = events.where(F.col("event_id") % 4 == layouts.index(columns)).select(*columns)
+            write_files(part, source, "csv")
+        copy_into(spark, name, target, source, checkpoint, "csv")
+    return spark.table(name).select("event_id", "user_id", "event_type", "note")
+
+
+@query(
+    """
+    SELECT event_id % 6 <> 0 AS ok, CASE WHEN event_id % 6 <> 0 THEN event_id END AS event_id,
+      CASE event_id % 6 WHEN 0 THEN '{"event_id":' || event_id || ',"event_type":"' END AS line FROM events
+    """
+)
+def copy_into_broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines that were cut off are set aside as received; no row of nulls takes their place."""
+
+    def build(folder: str) -> None:
+        event = F.col("event_id").cast("string")
+        cut = F.concat(F.lit('{"event_id":'), event, F.lit(',"event_type":"'))
+        whole = F.concat(cut, F.col("event_type"), F.lit('"}'))
+        events_of(spark, sf_dir).select(F.when(F.col("event_id") % 6 == 0, cut).otherwise(whole).alias("value")).write.text(folder)
+
+    name = f"{fresh_schema()}.events"
+    source = staged(spark, sf_dir, "events-cut", build)
+    copy_into(spark, name, new_folder(spark, "events"), source, new_folder(spark, "checkpoint"), "json", EVENT_SCHEMA)
+    good = spark.table(name).select(F.lit(True).alias("ok"), "event_id", F.lit(None).cast("string").alias("line"))
+    return good.union(set_aside(spark, name).select(F.lit(False), F.lit(None).cast("long"), "line"))
+
+
+@query(
+    """
+    SELECT event_id, event_type AS kind, 2 AS bad_files FROM events
+    """
+)
+def copy_into_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file that is no Parquet and one whose column is a structure are set aside; good files before, beside and after them load."""
+    name = f"{fresh_schema()}.events"
+    source, target, checkpoint = (new_folder(spark, part) for part in ("landing", "events", "checkpoint"))
+    events = events_of(spark, sf_dir).select("event_id", F.col("event_type").alias("kind"))
+    bad = 0
+    for part in range(3):
+        write_files(events.where(F.col("event_id") % 3 == part), source, "parquet")
+        if part == 1:
+            events.limit(5).select("event_id", F.struct("kind").alias("kind")).coalesce(1).write.mode("append").parquet(source)
+        if part == 2:
+            events.select(F.col("kind").alias("value")).coalesce(1).write.mode("append").option("mapreduce.output.basename", "broken").text(source)
+        bad += copy_into(spark, name, target, source, checkpoint, "parquet").bad_files
+    if set_aside(spark, name).where("line IS NULL AND reason IS NOT NULL").count() != bad:
+        raise AssertionError("a bad file is not listed")
+    return spark.table(name).select("event_id", "kind", F.lit(bad).alias("bad_files"))
+
+
+@query("SELECT event_id, user_id, event_type, value, TRUE AS fewer, TRUE AS settled FROM events")
+def compact_loaded_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve loads, then folding: fewer files, nothing to do the second time, and the rows as before."""
+    name = f"{fresh_schema()}.events"
+    source, target, checkpoint = (new_folder(spark, part) for part in ("landing", "events", "checkpoint"))
+    events = events_of(spark, sf_dir)
+    for part in range(12):
+        write_files(events.where(F.col("event_id") % 12 == part), source, "parquet")
+        copy_into(spark, name, target, source, checkpoint, "parquet", EVENT_SCHEMA)
+    added, removed, _ = compact_table(spark, name, "")
+    again = compact_table(spark, name, "")
+    return spark.table(name).select(*EVENT_COLUMNS, F.lit(added < removed).alias("fewer"), F.lit(again == (0, 0, 0)).alias("settled"))
+
+
 @query(
     """
     SELECT event_id, user_id AS id, CASE WHEN event_id % 2 = 1 THEN event_type END AS kind,

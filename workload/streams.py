@@ -127,20 +127,11 @@ def crash_after_first_write(spark: SparkSession, name: str, target: str, source:
     """Run the load once with a crash between the table write and the checkpoint commit."""
     from pyspark.errors import StreamingQueryException
 
-    from tidemark.sinks.tables import create_table_if_absent, replace_partitions
-    from tidemark.streaming.load import LOAD_BATCH, batch_label, new_files, read_batch
-
-    def load_then_crash(batch: DataFrame, batch_id: int) -> None:
-        paths = [row.path for row in batch.collect()]
-        rows = read_batch(spark, paths, source, "json", EVENT_SCHEMA)
-        rows = rows.withColumn(LOAD_BATCH, F.lit(batch_label(batch, batch_id)))
-        create_table_if_absent(spark, name, rows.schema, target, [LOAD_BATCH])
-        replace_partitions(spark, name, rows)
-        raise RuntimeError("crash between write and commit")
-
-    stream = new_files(spark, source, 1_000).writeStream.foreachBatch(load_then_crash)
+    def crash(label: str) -> None:
+        raise RuntimeError(f"crash between write and commit of {label}")
+
     try:
-        stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+        load_files(spark, name, target, source, checkpoint, "json", EVENT_SCHEMA, 1_000, on_loaded=crash)
     except StreamingQueryException:
         return
     raise AssertionError("the crash did not happen")
