@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import csv
+import io
 import os
+import random
 import zipfile
 from datetime import date, datetime
 
@@ -54,6 +57,50 @@ def test_quoted_csv(spark, tmp_path):
     assert out.count() == 2 and out.select("d").count() == 2
 
 
+def test_files_of_two_widths_in_one_scan_raise(spark, tmp_path):
+    put(tmp_path / "w", "1.csv", "a,b\n1,2\n")
+    folder = put(tmp_path / "w", "2.csv", "a,b,c\n3,4,5\n")
+    for reader in (files.naive_csv, files.quoted_csv):
+        with pytest.raises(Exception, match="(?i)header"):
+            reader(spark, folder).collect()
+    assert sorted(map(tuple, files.report_rows(spark, folder).collect())) == [("1", "2", ""), ("3", "4", "5")]
+
+
+@pytest.mark.parametrize("split", [64, 1000, 1 << 20])
+def test_reports_with_line_breaks_over_many_splits(spark, tmp_path, split):
+    rng = random.Random(split)
+    wanted = []
+    for k in range(3):
+        rows = [[str(i), "".join(rng.choices(["a", "é", "\n", '"', ",", "\n\n", "x" * 30], k=rng.randint(0, 8))), "end"] for i in range(k * 100, k * 100 + 100)]
+        rows[7][1] = "long \n" * 200  # one field over many splits
+        header = ["a b", "text", "c"] if k < 2 else ["text", "a b", "c"]
+        out = io.StringIO()
+        writer = csv.writer(out, quoting=csv.QUOTE_ALL if k else csv.QUOTE_MINIMAL, lineterminator="\n")
+        writer.writerow(header)
+        writer.writerows(rows if k < 2 else [[r[1], r[0], r[2]] for r in rows])
+        folder = put(tmp_path / "big", f"{k}.csv", out.getvalue() + "ragged,row\n")
+        wanted += [tuple(r) for r in rows]
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        got = files.report_rows(spark, folder)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 333)  # other splits from now on
+        assert sorted(map(tuple, got.select("a_b", "text", "c").collect())) == sorted(wanted)
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
+def test_reports_with_odd_ends(spark, tmp_path):
+    put(tmp_path / "o", "1.csv", '\ufeffa,b\r\n1,"x\r\ny"\r\n\r\n2,\r\n')
+    folder = put(tmp_path / "o", "2.csv", 'a,b\n3,"never closed\nat all')
+    put(tmp_path / "o", "3.csv", "")
+    got = sorted(map(tuple, files.report_rows(spark, folder).collect()))
+    assert got[:2] == [("1", "x\ny"), ("2", "")] and got[2][0] == "3" and "at all" in got[2][1]
+    with pytest.raises(files.NoFiles):
+        files.report_rows(spark, put(tmp_path / "none", "x.csv", ""))
+
+
 def test_naive_csv_keeps_quotes_and_drops_ragged(spark, tmp_path):
     folder = put(tmp_path / "n", "r.csv", 'a,b\n"x",1\n"p,q",2\n3\n,\n')
     out = files.naive_csv(spark, folder)

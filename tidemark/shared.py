@@ -53,6 +53,15 @@ def settled(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def pinned_session(spark: SparkSession, **conf: object) -> SparkSession:
+    """A session like this one whose settings later changes, and the number of executors, do not reach."""
+    own = spark.newSession()
+    for key, value in {**spark.conf.getAll, **conf}.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, str(value))
+    return own
+
+
 @contextmanager
 def settled_batch(spark: SparkSession, df: DataFrame, label: str) -> Iterator[DataFrame]:
     """A settled result for the length of a block; its copy is deleted afterwards."""

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import csv
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 from functools import reduce
 
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.names import harmonize_columns, underscore_spaces
 from ..functions.times import PATTERNS
+from .records import fixed_splits, quoted_records, splits
 
 FILE_NAME = "_metadata.file_name"
 FILE_DATE = "_file_generation_date"
@@ -119,7 +121,8 @@ def naive_csv(spark: SparkSession, path: str | Sequence[str], **options: object)
 def _whole_rows(spark: SparkSession, path: str | Sequence[str], **options: object) -> DataFrame:
     # With column pruning the parser would not count the fields it skips, and a
     # ragged row would survive a narrow select or a count().
-    df = scan_csv(spark, path, mode="DROPMALFORMED", columnPruning=False, **options)
+    # One scan has one header: files of another one raise (``report_rows`` and ``detected_csv`` take them).
+    df = scan_csv(spark, path, mode="DROPMALFORMED", columnPruning=False, enforceSchema=False, **options)
     return df.na.fill("")
 
 
@@ -296,7 +299,54 @@ def report_rows(
 
     Each file is read by its own header: columns in another order stay with their names,
     rows are ragged only against the header of their own file, and a column that a file
-    lacks is empty text there like any other empty field.
+    lacks is empty text there like any other empty field. Fields may hold line breaks, and
+    a large file is shared between tasks (``records``); reader options of one's own, or
+    ``multi_line=False`` where no field holds a break, give a scan for each header instead.
     """
+    if multi_line and not options:
+        return underscore_spaces(quoted_reports(spark, [path] if isinstance(path, str) else list(path)))
     reading = {"escape": '"', "mode": "DROPMALFORMED", "columnPruning": False, **options}
     return underscore_spaces(csv_by_header(spark, path, multi_line=multi_line, **reading).na.fill(""))
+
+
+def quoted_reports(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """CSV files with line breaks inside fields, each under its own header, united by name; ragged rows dropped.
+
+    The distinct headers come to the driver, and there is one parse for each of their widths.
+    """
+    spark = fixed_splits(spark)
+    known = splits(spark, paths)
+    heads = known.where("start = 0").select("path", "header")
+    headers = [r.header for r in heads.groupBy("header").agg(F.min("path").alias("path")).orderBy("path").collect()]
+    if not headers:
+        raise NoFiles(f"no lines under {paths}")
+    if any(h.count('"') % 2 for h in headers):
+        raise ValueError("a header has a line break in it")
+    named = {h: header_names(h) for h in headers}
+    names: dict[str, str] = {}
+    for own in named.values():
+        for n in own:
+            names.setdefault(n.lower(), n)
+    layouts = [(h, len(own), [{n.lower(): i for i, n in enumerate(own)}.get(low) for low in names]) for h, own in named.items()]
+    layout = spark.createDataFrame(layouts, "header string, width int, places array<int>")
+    rows = quoted_records(spark, paths, known).where("NOT first AND text <> ''").join(heads.join(layout, "header"), "path")
+    fields = None
+    for width in sorted({len(own) for own in named.values()}):
+        columns = ", ".join(f"c{i} string" for i in range(width))
+        parsed = F.from_csv("text", f"{columns}, __ragged string", {"escape": '"', "columnNameOfCorruptRecord": "__ragged", "maxCharsPerColumn": "-1"})
+        whole = F.element_at(F.transform(F.array(parsed), _unless_ragged(width)), 1)
+        fields = F.when(F.col("width") == width, whole) if fields is None else fields.when(F.col("width") == width, whole)
+    kept = rows.withColumn("fields", fields).where(F.col("fields").isNotNull())
+    return kept.select(*(F.coalesce(F.get("fields", F.get("places", F.lit(i))), F.lit("")).alias(n) for i, n in enumerate(names.values())))
+
+
+def _unless_ragged(width: int) -> Callable[[Column], Column]:
+    """Fields of a parsed line as an array; null where it has another number of them."""
+    return lambda r: F.when(r["__ragged"].isNull(), F.array(*(r[f"c{i}"] for i in range(width))))
+
+
+def header_names(line: str) -> list[str]:
+    """Column names of a header line; empty ones and repeated ones get their place as a number."""
+    names = next(csv.reader([line]))
+    lower = [n.lower() for n in names]
+    return [n if n and lower.count(n.lower()) == 1 else f"{n or '_c'}{i}" for i, n in enumerate(names)]

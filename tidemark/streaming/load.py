@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -16,7 +15,7 @@ from pyspark.sql import types as T
 from ..folding import finish_folds
 from ..sinks.tables import LOAD_BATCH, align, create_table_if_absent, quoted, replace_partitions
 from ..sinks.widening import leaves, merged_schema, places_where
-from ..sources.files import PROVENANCE, PROVENANCE_TYPE, with_provenance
+from ..sources.files import PROVENANCE, PROVENANCE_TYPE, header_names, with_provenance
 
 FILES_PER_BATCH = 10_000
 # Beyond any file's age: a file restored or copied with its old time is loaded, too. The
@@ -121,20 +120,13 @@ def _replaced(kind: T.DataType, old: T.DataType, new: T.DataType, only: set[str]
 # --- CSV ---------------------------------------------------------------------
 
 
-def header_names(line: str) -> list[str]:
-    """Column names of a header line; empty ones and repeated ones get their place as a number."""
-    names = next(csv.reader([line.removeprefix("﻿")]))
-    lower = [n.lower() for n in names]
-    return [n if n and lower.count(n.lower()) == 1 else f"{n or '_c'}{i}" for i, n in enumerate(names)]
-
-
 def _csv_lines(spark: SparkSession, paths: list[str], source: str) -> tuple[DataFrame, DataFrame]:
     """The lines of CSV files with ``row`` in order, and each file's header: ``path, first, header``."""
     lines = with_provenance(spark.read.option("basePath", source).text(paths).where(F.trim("value") != "")).select(
         F.col("value").alias("line"), PROVENANCE, F.monotonically_increasing_id().alias("row")
     )
     place = F.col(PROVENANCE)
-    heads = lines.where(place["file_block_start"] == 0).groupBy(place["file_path"].alias("path")).agg(F.min("row").alias("first"), F.min_by("line", "row").alias("header"))
+    heads = lines.where(place["file_block_start"] == 0).groupBy(place["file_path"].alias("path")).agg(F.min("row").alias("first"), F.regexp_replace(F.min_by("line", "row"), "^\ufeff", "").alias("header"))
     return lines, heads
 
 

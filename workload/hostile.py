@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.payload import is_valid_json
-from tidemark.shared import filesystem, new_folder
+from tidemark.shared import filesystem, new_folder, pinned_session
 from tidemark.sinks.files import write_files
 from tidemark.sources.files import report_rows
 from tidemark.maintenance import compact_table
@@ -14,7 +14,7 @@ from tidemark.streaming.load import copy_into, set_aside
 from tidemark.streaming.messages import accepted, drain_messages, rejected
 
 from .registry import query
-from .staging import fresh_schema, staged
+from .staging import fresh_schema, staged, write_lines
 from .streams import EVENT_COLUMNS, EVENT_SCHEMA, MESSAGE_SCHEMA, events_of
 
 
@@ -198,6 +198,20 @@ def reports_other_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_rows(spark, staged(spark, sf_dir, "reports-order", build)).select("Event_Id", "User_Id", "Kind")
 
 
+@query("SELECT event_id::VARCHAR AS event_id, 'a' || chr(10) || chr(10) || event_type || ',\"' || user_id || chr(10) AS note FROM events")
+def quoted_csv_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports whose fields hold line breaks, commas and quotes, each file cut into many splits."""
+
+    def build(folder: str) -> None:
+        note = F.concat(F.lit('"a\n\n'), F.col("event_type"), F.lit(',""'), F.col("user_id").cast("string"), F.lit('\n"'))
+        lines = events_of(spark, sf_dir).select(F.concat_ws(",", F.col("event_id").cast("string"), note).alias("line"))
+        write_lines(lines.coalesce(2), F.col("line"), "event id,note", folder)
+
+    folder = staged(spark, sf_dir, "reports-breaks", build)
+    small = pinned_session(spark, **{"spark.sql.files.maxPartitionBytes": 64 << 10})
+    return report_rows(small, folder).select("event_id", "note")
+
+
 @query(
     """
     SELECT event_id, form, form IN (0, 3, 4) AS ok FROM events, (SELECT unnest(range(6)) AS form)
