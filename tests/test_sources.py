@@ -236,12 +236,24 @@ def test_zip_keyword_in_prefix(spark, tmp_path):
 def test_zip_long_member_in_batches(spark, tmp_path):
     n = 45_001
     folder = archive(tmp_path / "z", "a.zip", {"m.csv": "a,b\n" + "".join(f"{i},x\n" for i in range(n))})
-    lines = archives.zip_lines(spark, folder, "m", "-")
+    lines = archives.zip_lines(spark, archives.zip_members(spark, folder, "m", "-"))
     assert lines.agg(F.count("*"), F.max("line_no"), F.countDistinct("line_no")).first() == (n + 1, n + 1, n + 1)
     rows = archives.zipped_csv(spark, folder, "m", "-", spread=4)
     assert rows.agg(F.sum(F.col("a").cast("long"))).first()[0] == n * (n - 1) // 2
 
 
+def test_members_of_one_archive_go_to_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(archives, "TASK_BYTES", 100)
+    body = {f"m{k}.csv": "a,b\n" + "".join(f"{k},{random.Random(i).random()}\n" for i in range(50)) for k in range(6)}
+    folder = archive(tmp_path / "z", "a.zip", {**body, "empty.csv": "", "mempty.csv": ""})
+    members = archives.zip_members(spark, folder, "m", "-")
+    assert sorted(r.member for r in members.collect()) == sorted([*body, "mempty.csv"])
+    lines = archives.zip_lines(spark, members)
+    tasks = lines.select(F.spark_partition_id().alias("task"), "member").distinct().collect()
+    assert len({r.task for r in tasks}) > 2 and len(tasks) == 6  # each member in one task, once
+    assert archives.zipped_csv(spark, folder, "m", "-").count() == 300
+
+
 def test_member_rule_matches_reader(spark):
     cases = [("m_x.csv", "m", "x", False), ("m_y.csv", "m", "x", True), ("mX.csv", "mX", "x", False), ("ax.csv", "ax", "x", True)]
     df = spark.createDataFrame(cases, "m string, p string, k string, wanted boolean")

@@ -1,24 +1,42 @@
-"""CSV members inside ZIP archives."""
+"""CSV members inside ZIP archives.
+
+An archive's table of contents says where each member begins, so members are read one by one, each
+once and by the task it is dealt to: an archive of many members gives work to many tasks, and no
+task holds more than a member's stream. Workers open the archives themselves, in any store that
+pyarrow's file systems know (local and shared folders, HDFS, S3, GCS, ABFS).
+"""
 
 from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
-from functools import reduce
-from itertools import islice
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import NoFiles, by_position, split_fields
+from ..shared import settled
+from .files import NoFiles, by_position
 
-LINES_SCHEMA = "path string, member string, line_no bigint, line string"
+LINES_SCHEMA = "path string, member string, line_no bigint, line string, layout int"
 _ARROW_LINES = pa.schema(
-    [("path", pa.string()), ("member", pa.string()), ("line_no", pa.int64()), ("line", pa.string())]
+    [("path", pa.string()), ("member", pa.string()), ("line_no", pa.int64()), ("line", pa.string()), ("layout", pa.int32())]
 )
 _BATCH_LINES = 20_000
+TASK_BYTES = 32 << 20  # packed bytes of members that one task is dealt
+#: Names that Spark's and pyarrow's file systems do not share.
+_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasbs": "abfss"}
+
+
+def open_archive(path: str) -> zipfile.ZipFile:
+    """An archive in a shared store, read by seeking."""
+    scheme, found, rest = path.partition(":")
+    if not found or scheme == "file":
+        return zipfile.ZipFile(pa.fs.LocalFileSystem().open_input_file("/" + (rest if found else path).lstrip("/")))
+    store, place = pa.fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
+    return zipfile.ZipFile(store.open_input_file(place))
 
 
 def member_selected(
@@ -36,67 +54,70 @@ def member_selected(
     )
 
 
-def zip_lines(
-    spark: SparkSession,
-    folder: str,
-    prefix: str,
-    keyword: str,
-    extension: str = ".csv",
-    name_filter: Column | None = None,
-    heads_only: bool = False,
+def zip_members(
+    spark: SparkSession, folder: str, prefix: str, keyword: str, extension: str = ".csv", name_filter: Column | None = None
 ) -> DataFrame:
-    """One row per text line of every selected member: ``path, member, line_no, line``.
+    """``path, member, packed`` of every selected member; only tables of contents are read.
 
-    Each archive is unpacked by the task that holds it and streamed out in Arrow
-    batches, so a task's memory is the packed archive plus one batch. ``name_filter``
-    may use ``path``, ``modificationTime`` and ``length``; it runs before the bytes
-    reach Python. ``heads_only`` stops after each member's first line.
+    ``name_filter`` may use ``path``, ``modificationTime`` and ``length``; other archives stay unopened.
     """
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder)
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(folder).select("path", "modificationTime", "length")
     if name_filter is not None:
         archives = archives.where(name_filter)
 
-    def wanted(member: str) -> bool:
-        return (
-            member.startswith(prefix)
-            and member.endswith(extension)
-            and (keyword in member.lower()) == (keyword in prefix)
-        )
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                with open_archive(path) as archive:
+                    found = [(path, m.filename, m.compress_size) for m in archive.infolist()]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], ["path", "member", "packed"])
+
+    listed = archives.select("path").mapInArrow(contents, "path string, member string, packed bigint")
+    return settled(spark, listed.where(member_selected("member", prefix, keyword, extension)), "members")
+
+
+def zip_lines(spark: SparkSession, members: DataFrame, heads_only: bool = False, headers: Sequence[str] = ()) -> DataFrame:
+    """One row per text line of the members listed: ``path, member, line_no, line, layout``.
+
+    ``layout`` is the place of the member's own first line in ``headers`` (-1 where it is not
+    there), so a header travels with its lines. ``heads_only`` stops after the first line.
+    """
+    places = {h: i for i, h in enumerate(headers)}
+    size = members.agg(F.coalesce(F.sum("packed"), F.lit(0)), F.count("*")).first()
+    tasks = max(1, min(size[1], -(-size[0] // TASK_BYTES)))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                with zipfile.ZipFile(io.BytesIO(content.as_buffer())) as archive:
-                    for member in filter(wanted, archive.namelist()):
-                        with archive.open(member) as packed:
-                            found = _line_batches(path.as_py(), member, packed, 1 if heads_only else _BATCH_LINES)
-                            yield from islice(found, 1 if heads_only else None)
+            for path, member in zip(*(batch.column(k).to_pylist() for k in range(2))):
+                with open_archive(path) as archive, archive.open(member) as packed:
+                    for found in _line_batches(path, member, packed, 1 if heads_only else _BATCH_LINES, places):
+                        yield found
+                        if heads_only:
+                            break
 
-    return archives.select("path", "content").mapInArrow(unpack, LINES_SCHEMA)
+    return members.select("path", "member").repartition(tasks).mapInArrow(unpack, LINES_SCHEMA)
 
 
-def _line_batches(path: str, member: str, packed, size: int) -> Iterator[pa.RecordBatch]:
+def _line_batches(path: str, member: str, packed, size: int, places: dict[str, int]) -> Iterator[pa.RecordBatch]:
     lines: list[str] = []
-    done = 0
+    done, layout = 0, None
     for raw in io.TextIOWrapper(packed, encoding="utf-8"):
         lines.extend(raw.splitlines())
+        if layout is None and lines:
+            layout = places.get(lines[0], -1)
         if len(lines) >= size:
-            yield _line_batch(path, member, done, lines)
+            yield _line_batch(path, member, done, lines, layout)
             done += len(lines)
             lines = []
     if lines:
-        yield _line_batch(path, member, done, lines)
+        yield _line_batch(path, member, done, lines, layout)
 
 
-def _line_batch(path: str, member: str, done: int, lines: list[str]) -> pa.RecordBatch:
+def _line_batch(path: str, member: str, done: int, lines: list[str], layout: int) -> pa.RecordBatch:
     n = len(lines)
-    columns = [
-        pa.array([path] * n, pa.string()),
-        pa.array([member] * n, pa.string()),
-        pa.array(range(done + 1, done + n + 1), pa.int64()),
-        pa.array(lines, pa.string()),
-    ]
-    return pa.RecordBatch.from_arrays(columns, schema=_ARROW_LINES)
+    columns = [[path] * n, [member] * n, range(done + 1, done + n + 1), lines, [layout] * n]
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _ARROW_LINES)], schema=_ARROW_LINES)
 
 
 def zipped_csv(
@@ -114,31 +135,36 @@ def zipped_csv(
     header fits it (``files.by_position``), else by name; a column that a member lacks is
     empty text. Under a given ``header`` all go by position, and a member of another width
     raises. ``spread`` deals the lines out over that many tasks before parsing, for a feed
-    where a few archives hold most of the rows.
+    where a few members hold most of the rows. Distinct headers come to the driver.
     """
-    lines = zip_lines(spark, folder, prefix, keyword, name_filter=name_filter)
-    heads = zip_lines(spark, folder, prefix, keyword, name_filter=name_filter, heads_only=True).where("line_no = 1")
-    found = heads.groupBy("line").agg(F.min(F.struct("path", "member")).alias("at")).orderBy("at").collect()
+    members = zip_members(spark, folder, prefix, keyword, name_filter=name_filter)
+    heads = zip_lines(spark, members, heads_only=True).where("line_no = 1")
+    found = [r.line for r in heads.groupBy("line").agg(F.min(F.struct("path", "member")).alias("at")).orderBy("at").collect()]
     if not found and header is None:
         raise NoFiles(f"no member of {folder} fits {prefix!r} and {keyword!r}")
-    first = (found[0].line if header is None else header).split(",")
-    # members by the layout of their header; a feed has few of them
-    odd = [r.line for r in found if (len(r.line.split(",")) != len(first) if header is not None else not by_position(first, r.line.split(",")))]
-    if odd and header is not None:
-        raise ValueError(f"the header given has {len(first)} columns, a member of {folder} another number: {odd[0]!r}")
-    rows = lines.where("line_no > 1").select("path", "member", "line")
-    if odd:
-        kinds = heads.where(F.col("line").isin(odd)).select("path", "member", F.col("line").alias("__head"))
-        rows = rows.join(kinds, ["path", "member"], "left")
+    own = {h: [n.replace(" ", "_") for n in h.split(",")] for h in found}
+    first = [n.replace(" ", "_") for n in header.split(",")] if header is not None else own[found[0]]
+    names = list(first)
+    places: list[list[int | None]] = []
+    for h in found:
+        cells = own[h]
+        if header is not None and len(cells) != len(first):
+            raise ValueError(f"the header given has {len(first)} columns, a member of {folder} another number: {h!r}")
+        if header is not None or by_position(first, cells):
+            places.append(list(range(len(first))))
+            continue
+        low = [n.lower() for n in cells]
+        if len(set(low)) < len(low):
+            raise ValueError(f"a member of {folder} repeats a column and differs from the others: {h!r}")
+        names += [n for n in cells if n.lower() not in {x.lower() for x in names}]
+        places.append([low.index(n.lower()) if n.lower() in low else None for n in names])
+    rows = zip_lines(spark, members, headers=found).where("line_no > 1").select("path", "member", "line", "layout")
     if spread:
         rows = rows.repartition(spread)
-    if not odd:
-        return split_fields(rows, ",".join(first))
-    parts = [split_fields(rows.where("__head IS NULL").drop("__head"), ",".join(first))]
-    for head in odd:
-        own = [name.lower() for name in head.split(",")]
-        if len(set(own)) < len(own):
-            raise ValueError(f"a member of {folder} repeats a column and differs from the others: {head!r}")
-        parts.append(split_fields(rows.where(F.col("__head") == head).drop("__head"), head))
-    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).na.fill("")
-    return united.select(*(c for c in united.columns if c not in ("path", "member")), "path", "member")
+    fields = F.split("line", ",", -1)
+    # literals: one number for each header and column
+    at = F.lit([[-1 if p is None else p for p in (*ps, *[None] * (len(names) - len(ps)))] for ps in places] or [[-1]])
+    width = F.lit([len(own[h]) for h in found] or [0])
+    kept = rows.withColumn("fields", fields).where(F.size("fields") == F.get(width, F.col("layout"))).withColumn("at", F.get(at, F.col("layout")))
+    cells = [F.coalesce(F.get("fields", F.get("at", F.lit(i))), F.lit("")).alias(n) for i, n in enumerate(names)]
+    return kept.select(*cells, "path", "member")
