@@ -16,8 +16,9 @@ by 128 bits of hash, in joins instead of a shard. Each shard is sorted by extern
 (``suffixes``); neighbours in that order that share ``WINDOW`` bytes are one group, and all
 but its first window are repeats.
 
-Defined results: null and empty texts, and texts under ``WINDOW`` bytes, lose nothing; rows
-of one id are one document, and ranges found in one of them hold for each; rows without id
+Defined results: null and empty texts, and texts under ``WINDOW`` bytes, lose nothing; equal rows
+are one document; of several texts of one id the one with the least hash has that id's place, the
+others are documents of their own that come after all ids below 2^62; rows without id
 lose nothing and repeat nothing; other columns are kept, ones named like a result are
 replaced; an empty table gives no rows.
 """
@@ -366,11 +367,23 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return found.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).alias("ranges"))
 
 
+def _with_own_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` plus ``_id``: the id, or for a further text of one id a number of its own above other ids."""
+    text = F.xxhash64("text")
+    several = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("_of")).agg(F.min(text).alias("_first"), F.max(text).alias("_last"))
+    several = store(several.where("_first <> _last"), "ids").df
+    doc = F.col("doc_id").cast("long")
+    own = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(doc, "text"), 2)
+    joined = docs.join(several, doc == F.col("_of"), "left")
+    return joined.select(*docs.columns, F.when(text != F.col("_first"), own).otherwise(doc).alias("_id"))
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` plus ``kept`` (the remaining bytes), ``n_removed`` and ``n_spans`` (maximal removed runs)."""
-    docs = docs.drop("kept", "n_removed", "n_spans", "ranges", "_id")
-    ranges = removed_ranges(docs, window).select(F.col("doc_id").alias("_id"), "ranges")
-    rows = docs.join(ranges, F.col("doc_id").cast("long") == F.col("_id"), "left").drop("_id")
+    docs = docs.drop("kept", "n_removed", "n_spans", "ranges", "_id", "_of")
+    named = _with_own_ids(docs)
+    ranges = removed_ranges(named.select(F.col("_id").alias("doc_id"), "text"), window).select(F.col("doc_id").alias("_of"), "ranges")
+    rows = named.join(ranges, F.col("_id") == F.col("_of"), "left").drop("_id", "_of")
     schema = docs.select("*").schema.add("kept", "binary").add("n_removed", "long").add("n_spans", "long")
     at = docs.columns.index("text")
 
