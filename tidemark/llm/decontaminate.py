@@ -11,15 +11,20 @@ contaminated.
 The index of the benchmark is broadcast in shards of at most ``SHARD_BYTES`` of item text;
 a benchmark of more text is handled by one pass for each shard, so no broadcast grows.
 
-Defined results: null and empty texts have no matches; null or empty items are skipped, and
-so are items of under ``LEAST_ITEM`` bytes, which are no evidence; equal items each match;
-a text of any length is searched whole; an empty benchmark contaminates nothing. Other
-columns are kept, one named ``leaks`` is replaced.
+Postings are looked at ``MOST_POSTINGS`` at a time: text and items are cut into stretches that
+overlap by more than a window, and every match lies whole in one of them. So memory stays the
+same for texts and items that repeat one q-gram over and over.
+
+Defined results: null and empty texts have no matches; null or empty items are skipped; items
+of under ``WORD_BOUND_BELOW`` bytes must stand between word bounds, and those of fewer than ``Q``
+bytes must be there letter by letter; equal items each match; a text of any length is searched
+whole; an empty benchmark contaminates nothing. Other columns are kept, one named ``leaks`` is
+replaced.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from functools import reduce
 
 import numpy as np
@@ -33,7 +38,9 @@ Q = 8
 WINDOW = 80
 STEP = 20
 EDIT_SHARE = 0.075  # edits allowed in a window, as a share of its length
-LEAST_ITEM = 40
+WORD_BOUND_BELOW = 40  # bytes of an item under which it could be a part of a word
+MOST_POSTINGS = 1 << 18
+REACH = WINDOW + int(EDIT_SHARE * WINDOW) + Q  # bytes of text that a match may take, and some
 SHARD_BYTES = 8 << 20
 FILTER_BITS = 22
 _HASH = np.uint64(0x9E3779B97F4A7C15)
@@ -77,11 +84,16 @@ class BenchmarkIndex:
     window_length: np.ndarray
     window_edits: np.ndarray
     item_first_window: np.ndarray
+    window_spot: np.ndarray  # where each window begins in all items
+    begin: np.ndarray  # of each item in all items
     codes: np.ndarray  # distinct q-grams, sorted
     first: np.ndarray  # of each code's postings
     item: np.ndarray  # postings
     at: np.ndarray
+    spot: np.ndarray  # code and place in all items of each posting, as one sorted number
+    size: int  # of all items
     filter: np.ndarray
+    tiny: list[tuple[int, bytes]]  # items too short for a q-gram
 
     @property
     def longest(self) -> int:
@@ -91,16 +103,22 @@ class BenchmarkIndex:
     def band(self) -> int:
         return int(self.window_edits.max()) + 1
 
+    def parts(self) -> tuple:
+        """All of it as plain values, which workers can read without this class."""
+        return tuple(getattr(self, f.name) for f in fields(self))
+
 
 def build_index(items: list[tuple[int, str]]) -> BenchmarkIndex | None:
-    ids, texts = [], []
+    ids, texts, tiny = [], [], []
     for item_id, text in items:
         raw = np.frombuffer((text or "").encode(), np.uint8)
         body = folded(raw, np.array([0, len(raw)]))[0].tobytes().strip() if len(raw) else b""
-        if len(body) >= LEAST_ITEM:
+        if len(body) >= Q:
             ids.append(item_id)
             texts.append(body)
-    if not ids:
+        elif body:
+            tiny.append((item_id, body))
+    if not ids and not tiny:
         return None
     windows, codes, item, at, first_window = [], [], [], [], [0]
     for i, body in enumerate(texts):
@@ -108,20 +126,33 @@ def build_index(items: list[tuple[int, str]]) -> BenchmarkIndex | None:
         starts = list(range(0, len(body) - length + 1, STEP))
         if starts[-1] != len(body) - length:
             starts.append(len(body) - length)
-        windows += [(i, s, length, int(EDIT_SHARE * length)) for s in starts]
+        # so many edits that the lemma still asks for one q-gram at least
+        # equal windows of an item find the same stretches, so one of them is enough
+        starts = sorted({body[s : s + length]: s for s in reversed(starts)}.values())
+        windows += [(i, s, length, min(int(EDIT_SHARE * length), (length - Q) // Q)) for s in starts]
         first_window.append(len(windows))
         g = grams(np.frombuffer(body, np.uint8))
-        codes.append(g)
-        item.append(np.full(len(g), i))
-        at.append(np.arange(len(g)))
-    code, item, at = np.concatenate(codes), np.concatenate(item), np.concatenate(at)
+        used = np.zeros(len(g) + 1, np.int64)
+        np.add.at(used, starts, 1)
+        np.add.at(used, np.minimum(np.array(starts) + length - Q + 1, len(g)), -1)
+        used = np.flatnonzero(np.cumsum(used)[:-1] > 0)
+        codes.append(g[used])
+        item.append(np.full(len(used), i))
+        at.append(used)
+    code = np.concatenate([*codes, np.zeros(0, np.uint64)])
+    item, at = (np.concatenate([*x, np.zeros(0, np.int64)]).astype(np.int64) for x in (item, at))
     order = np.argsort(code, kind="stable")
     distinct, first = np.unique(code[order], return_index=True)
     seen = np.zeros(1 << FILTER_BITS, bool)
     seen[(distinct * _HASH) >> np.uint64(64 - FILTER_BITS)] = True
-    w = np.array(windows)
-    return BenchmarkIndex(
-        np.array(ids), texts, w[:, 0], w[:, 1], w[:, 2], w[:, 3], np.array(first_window), distinct, np.append(first, len(order)), item[order], at[order], seen
+    w = np.array(windows, np.int64).reshape(-1, 4)
+    begin = np.cumsum([0] + [len(t) for t in texts])
+    size = int(begin[-1])
+    first = np.append(first, len(order))
+    spot = np.repeat(np.arange(len(distinct)), np.diff(first)) * (size + 1) + begin[item[order]] + at[order]
+    return BenchmarkIndex(
+        np.array(ids, np.int64), texts, w[:, 0], w[:, 1], w[:, 2], w[:, 3], np.array(first_window), begin[w[:, 0]] + w[:, 1],
+        begin, distinct, first, item[order], at[order], spot, size, seen, tiny,
     )
 
 
@@ -135,7 +166,7 @@ def _candidates(index: BenchmarkIndex, data: np.ndarray, offsets: np.ndarray) ->
     """Rows (text, window, lowest diagonal of a band) whose shared q-grams reach the lemma's bound."""
     none = np.zeros((0, 3), np.int64)
     code = grams(data)
-    if not len(code):
+    if not len(code) or not len(index.codes):
         return none
     at = np.flatnonzero(index.filter[(code * _HASH) >> np.uint64(64 - FILTER_BITS)])
     text = np.searchsorted(offsets, at, "right") - 1
@@ -144,10 +175,29 @@ def _candidates(index: BenchmarkIndex, data: np.ndarray, offsets: np.ndarray) ->
     place = np.minimum(np.searchsorted(index.codes, code[at]), len(index.codes) - 1)
     hit = index.codes[place] == code[at]
     at, text, place = at[hit], text[hit], place[hit]
-    if not len(at):
-        return none
-    counts = index.first[place + 1] - index.first[place]
-    post = _ranges(index.first[place], counts)
+    so_far = np.cumsum(index.first[place + 1] - index.first[place])
+    found, low = [none], 0
+    while low < len(at):
+        done = so_far[low - 1] if low else 0
+        high = max(int(np.searchsorted(so_far, done + MOST_POSTINGS, "right")), int(np.searchsorted(at, at[low] + 2 * REACH)))
+        found += _of_stretch(index, offsets, at[low:high], text[low:high], place[low:high], 0, index.size + 1)
+        if high >= len(at):
+            break
+        low = int(np.searchsorted(at, at[high] - REACH))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _of_stretch(index: BenchmarkIndex, offsets: np.ndarray, at: np.ndarray, text: np.ndarray, place: np.ndarray, begin: int, end: int) -> list[np.ndarray]:
+    """Candidates from hits in a stretch of text with the items' bytes from ``begin`` to ``end``."""
+    first = np.searchsorted(index.spot, place * (index.size + 1) + begin)
+    counts = np.searchsorted(index.spot, place * (index.size + 1) + end) - first
+    if counts.sum() > MOST_POSTINGS and end - begin > 4 * WINDOW:
+        middle = (begin + end) // 2
+        halves = ((begin, middle + WINDOW), (middle, end))
+        return [c for half in halves for c in _of_stretch(index, offsets, at, text, place, *half)]
+    post = _ranges(first, counts)
+    if not len(post):
+        return []
     at, text = np.repeat(at, counts), np.repeat(text, counts)
     item, pos = index.item[post], index.at[post]
     # each hit counts in the two bands that its diagonal lies in; a band with too few hits
@@ -161,14 +211,18 @@ def _candidates(index: BenchmarkIndex, data: np.ndarray, offsets: np.ndarray) ->
     enough = _counts(key) >= item_least[item]
     key, item, pos = key[enough], item[enough], pos[enough]
     if not len(key):
-        return none
+        return []
     # and in each window that covers it; a q-gram of the item counts once
-    n = index.item_first_window[item + 1] - index.item_first_window[item]
-    window = _ranges(index.item_first_window[item], n)
-    key, pos = np.repeat(key, n), np.repeat(pos, n)
+    from_window, spot = index.item_first_window[item], index.begin[item] + pos
+    lowest = np.maximum(np.searchsorted(index.window_spot, spot + Q - index.window_length[from_window]), from_window)
+    covering = np.maximum(np.searchsorted(index.window_spot, spot, "right") - lowest, 0)
+    window = _ranges(lowest, covering)
+    key, pos = np.repeat(key, covering), np.repeat(pos, covering)
     start = index.window_start[window]
     use = (pos >= start) & (pos + Q <= start + index.window_length[window])
     key, pos, window = key[use], pos[use], window[use]
+    if not len(key):
+        return []
     order = np.lexsort((pos, window, key))
     key, pos, window = key[order], pos[order], window[order]
     change = (key[1:] != key[:-1]) | (window[1:] != window[:-1])
@@ -178,7 +232,7 @@ def _candidates(index: BenchmarkIndex, data: np.ndarray, offsets: np.ndarray) ->
     kept = starts[size >= least[window[starts]]]
     pair, band = key[kept] // bands, key[kept] % bands
     # band b holds diagonals from (b - 1) * width to (b + 1) * width - 1, less what keeps them positive
-    return np.stack([pair // len(index.ids), window[kept], (band - 1) * index.band - index.longest], axis=1)
+    return [np.stack([pair // len(index.ids), window[kept], (band - 1) * index.band - index.longest], axis=1)]
 
 
 def _counts(keys: np.ndarray) -> np.ndarray:
@@ -234,6 +288,30 @@ def _align(index: BenchmarkIndex, data: np.ndarray, offsets: np.ndarray, found:
     return np.stack([text[ok], index.window_item[window[ok]], best_start[ok], best_end[ok], best[ok]], axis=1)
 
 
+def _word_letter(byte: int) -> bool:
+    return byte >= 128 or chr(byte).isalnum()
+
+
+def _stands_alone(body: bytes, data: np.ndarray, low: int, high: int, a: int, b: int) -> bool:
+    """Whether no word goes on at either end of a match from a to b in the text from low to high."""
+    before = a > low and _word_letter(body[0]) and _word_letter(int(data[a - 1]))
+    after = b < high and _word_letter(body[-1]) and _word_letter(int(data[b]))
+    return not before and not after
+
+
+def _tiny_leaks(index: BenchmarkIndex, data: np.ndarray, offsets: np.ndarray):
+    """Rows (text, item id, start, end) of items too short for a q-gram."""
+    whole = data.tobytes() if index.tiny else b""
+    for item_id, body in index.tiny:
+        at = whole.find(body)
+        while at >= 0:
+            text = int(np.searchsorted(offsets, at, "right")) - 1
+            low, high, end = int(offsets[text]), int(offsets[text + 1]), at + len(body)
+            if end <= high and _stands_alone(body, data, low, high, at, end):
+                yield text, item_id, at, end
+            at = whole.find(body, at + 1)
+
+
 def find_leaks_in(index: BenchmarkIndex, data: np.ndarray, offsets: np.ndarray) -> dict[int, list[dict]]:
     """Leaks of each text of a block; windows of one item that overlap are one leak."""
     folds, starts, origin = folded(data, offsets)
@@ -242,8 +320,13 @@ def find_leaks_in(index: BenchmarkIndex, data: np.ndarray, offsets: np.ndarray)
     for part in range(0, len(candidates), 4096):
         for text, item, a, b, edits in _align(index, folds, starts, candidates[part : part + 4096]):
             a, b = max(a, starts[text]), min(b, starts[text + 1])
+            body = index.texts[item]
+            if len(body) < WORD_BOUND_BELOW and not _stands_alone(body, folds, int(starts[text]), int(starts[text + 1]), int(a), int(b)):
+                continue
             leak = {"item_id": int(index.ids[item]), "start": int(origin[a] - offsets[text]), "end": int(origin[b - 1] + 1 - offsets[text]), "edits": int(edits)}
             leaks.setdefault(int(text), []).append(leak)
+    for text, item_id, a, b in _tiny_leaks(index, folds, starts):
+        leaks.setdefault(text, []).append({"item_id": int(item_id), "start": int(origin[a] - offsets[text]), "end": int(origin[b - 1] + 1 - offsets[text]), "edits": 0})
     for text, rows in leaks.items():
         rows.sort(key=lambda r: (r["item_id"], r["start"], r["end"]))
         merged = rows[:1]
@@ -268,7 +351,7 @@ def _shards(benchmark: DataFrame, shard_bytes: int) -> list[list[tuple[int, str]
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
         index = build_index(sorted((r["item_id"], r["text"]) for r in part.collect()))
         if index:
-            shards.append(spark.sparkContext.broadcast(index))
+            shards.append(spark.sparkContext.broadcast(index.parts()))
     return shards
 
 
@@ -281,10 +364,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shard_bytes: int = SHARD_B
         schema = frame.select("*").schema
 
         def run(batches):
+            index = BenchmarkIndex(*shared.value)
             for batch in batches:
                 for first, data, offsets in text_blocks(batch.column(at)):
                     n = len(offsets) - 1
-                    found = find_leaks_in(shared.value, data, offsets)
+                    found = find_leaks_in(index, data, offsets)
                     rows = batch.slice(first, n)
                     column = rows.column(rows.num_columns - 1)
                     if found:
