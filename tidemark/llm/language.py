@@ -130,7 +130,9 @@ def _sample(training: DataFrame, bound: int) -> list[tuple[str, np.ndarray, np.n
     order = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(whole))
     edges = {lang: int(min(1.0, share / n) * whole) for lang, n in counts.items()}
     edge = F.create_map(*[F.lit(x) for pair in edges.items() for x in pair])[F.col("lang")]
-    chosen = training.withColumn("_order", order).where(F.col("_order") < edge).select("text", "lang", "_order")
+    # rows of one id share their hash: of these the least text counts, so no id fills the sample
+    near = training.withColumn("_order", order).where(F.col("_order") < edge)
+    chosen = near.groupBy("doc_id", "lang", "_order").agg(F.min("text").alias("text")).select("text", "lang", "_order")
 
     def features(batches):
         for batch, block in _texts(batches, 0):
@@ -145,9 +147,10 @@ def _sample(training: DataFrame, bound: int) -> list[tuple[str, np.ndarray, np.n
                 ["lang", "order", "used", "counts"],
             )
 
-    rows = chosen.mapInArrow(features, "lang string, order long, used binary, counts binary").collect()
+    found = chosen.mapInArrow(features, "lang string, order long, used binary, counts binary")
+    rows = found.orderBy("order", "lang", "used").limit(bound).collect()  # so many at most reach the driver
     rows.sort(key=lambda r: (r["order"], r["lang"], bytes(r["used"])))
-    return [(r["lang"], np.frombuffer(r["used"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in rows[:bound]]
+    return [(r["lang"], np.frombuffer(r["used"], np.int32), np.frombuffer(r["counts"], np.int32)) for r in rows]
 
 
 def follow_the_leader(
@@ -223,10 +226,12 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     docs = docs.drop("lang_pred", "score")
     schema = docs.select("*").schema.add("lang_pred", "string").add("score", "double")
     at = docs.columns.index("text")
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: features by languages
+    # of fixed size: features by languages; as plain values, so that workers need not know the class
+    parts = None if model is None else (model.languages, model.idf, model.weights, model.bias, model.temperature)
+    shipped = docs.sparkSession.sparkContext.broadcast(parts)
 
     def predict(batches):
-        model = shipped.value
+        model = None if shipped.value is None else LanguageModel(*shipped.value)
         for batch, block in _texts(batches, at):
             found, scores = [], []
             for features in _feature_counts(block):
