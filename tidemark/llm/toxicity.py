@@ -101,7 +101,9 @@ def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> tuple[DataFrame |
     order = [F.xxhash64("doc_id"), "doc_id"]
     picked = [marked.where(F.col("toxic") == y).orderBy(*order).limit(bound // 2) for y in (0, 1)]
     # bounded by the parameter, so broadcasting it is safe and the texts need no shuffle
-    chosen = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(picked[0].union(picked[1])), "doc_id")
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(picked[0].union(picked[1])), "doc_id")
+    # a label counts once, with the least text of its id
+    chosen = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
     def features(batches):
         for batch in batches:
@@ -194,11 +196,12 @@ def score(docs: DataFrame, model: ToxicityModel | None, sentences: bool = False)
     if sentences:
         schema = schema.add("offending", T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("score", "double")))
     at = docs.columns.index("text")
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+    # of fixed size; as plain values, so that workers need not know the class
+    shipped = docs.sparkSession.sparkContext.broadcast(None if model is None else (model.weights, model.bias))
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def predict(batches):
-        model = shipped.value
+        model = None if shipped.value is None else ToxicityModel(*shipped.value)
         for batch in batches:
             for first, offsets, block in _blocks(batch.column(at)):
                 n = len(offsets) - 1
