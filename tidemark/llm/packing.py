@@ -8,7 +8,8 @@ residual that holds it. Bins are ordered by residual and carry their sources and
 as bitmaps; from the tightest bin on, successors are tried until one is compatible.
 
 The number of bins lost by sharding is under one part in some hundreds (the open bins of a
-shard), and no shard grows with the data.
+shard), and no shard grows with the data: one of more than ``HOT_SHARD`` rows, which only equal
+rows can make, is cut again.
 
 Defined results: null and empty texts are one piece of no units, packed like others; a null
 source or cluster conflicts with nothing; equal sizes go by id, then by what else the row
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 CAPACITY = 8192
 SHARD_ROWS = 2048
+HOT_SHARD = 4 * SHARD_ROWS  # rows of a shard from which on it is cut
 
 _PACKED = "doc_id long, piece long, start long, size long, bin_id long, bin_offset long"
 
@@ -77,7 +79,11 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, size: Column | None = None,
         "doc_id", whole.alias("piece"), (F.col("units") % capacity).alias("size"), "source", "cluster"
     )
     shards = max(1, -(-docs.count() // SHARD_ROWS))
-    dealt = rests.withColumn("shard", F.pmod(F.xxhash64("doc_id", "size", "source", "cluster", F.lit(17)), F.lit(shards)))
+    named = rests.withColumn("shard", F.pmod(F.xxhash64("doc_id", "size", "source", "cluster", F.lit(17)), F.lit(shards)))
+    # equal rows have one hash: a shard that they make large is cut further, by where its rows stand
+    cuts = named.groupBy("shard").count().where(F.col("count") > HOT_SHARD).select("shard", F.ceil(F.col("count") / SHARD_ROWS).alias("_parts"))
+    part = F.coalesce(F.pmod(F.xxhash64("_row"), F.col("_parts")), F.lit(0))
+    dealt = named.withColumn("_row", F.monotonically_increasing_id()).join(cuts, "shard", "left").withColumn("shard", F.col("shard") + shards * part)
 
     def fill(key, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["size", "doc_id", "piece", "source", "cluster"], ascending=[False, True, True, True, True], kind="stable")
