@@ -94,6 +94,13 @@ class Projections:
         self.cuts, self.tables = cuts, tables
         self.width = WINDOW * math.sqrt(2 - 2 * similar)
 
+    @classmethod
+    def of_parts(cls, parts: dict) -> Projections:
+        """One from another's attributes."""
+        own = cls.__new__(cls)
+        vars(own).update(parts)
+        return own
+
     def of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cells and positions of vectors, each vectors by tables."""
         above = (x @ self.cut > 0).reshape(len(x), self.tables, self.cuts)
@@ -150,14 +157,15 @@ def _links(reps: DataFrame, n: int, size: int, similar: float) -> DataFrame:
     """``rep, linked, root`` once per block and linked representative (vectors of one length)."""
     spark = reps.sparkSession
     cuts, tables = plan_tables(n, similar)
-    shipped = spark.sparkContext.broadcast(Projections(size, cuts, tables, similar))  # vector length by tables
+    # vector length by tables; as plain values, so that workers need not know the class
+    shipped = spark.sparkContext.broadcast(vars(Projections(size, cuts, tables, similar)))
 
     def place(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = batch.column(2).flatten().to_numpy().reshape(batch.num_rows, size)
-            cells, _ = shipped.value.of(x)
+            cells, _ = Projections.of_parts(shipped.value).of(x)
             rows = np.repeat(np.arange(batch.num_rows), tables)
             taken = batch.take(pa.array(rows))
             yield pa.RecordBatch.from_arrays(
@@ -181,7 +189,7 @@ def _links(reps: DataFrame, n: int, size: int, similar: float) -> DataFrame:
         order = np.argsort(ids, kind="stable")
         ids, copies, x, mine = ids[order], copies[order], x[order], batch.column("mine").to_numpy()[order]
         left, right = np.flatnonzero(mine == low), np.flatnonzero(mine == high)
-        i, j = _block_links(x, ids, left, right, table, shipped.value, similar)
+        i, j = _block_links(x, ids, left, right, table, Projections.of_parts(shipped.value), similar)
         if low == high:  # each pair was met from both sides
             i, j = i[i < j], j[i < j]
         linked = np.bincount(i, copies[j], len(ids)) + np.bincount(j, copies[i], len(ids))
