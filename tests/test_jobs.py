@@ -17,6 +17,7 @@ from tidemark.config import (
     render_path,
     short_name,
 )
+from tidemark import jobs
 from tidemark.jobs import run_bronze, run_landing, run_maintenance
 from tidemark.plans.feeds import READERS, Extract
 from tidemark.shared import shared_folder
@@ -33,6 +34,20 @@ def test_names_and_paths():
     assert bronze_schema("crm", "sales") == "crm_sales" and bronze_schema("crm", "crm_x") == "crm_x"
 
 
+def test_catalog_engine_and_address_are_used():
+    raw = {"catalog": "lake", "metadata": {}, "schemas": {"sales": {"dbo.orders": {}}}, "outputs": "/x", "db_name": "shop", "engine": "postgresql"}
+    job = LandingJob.from_json(raw)
+    assert job.bronze_name(job.tables[0]) == "lake.sales.orders"
+    connection = jobs.job_connection(job, "h", 5432, "u", "p", fetch_rows=7)
+    assert connection.options() == {"url": "jdbc:postgresql://h:5432/shop", "user": "u", "password": "p", "fetchsize": "7"}
+    plain = LandingJob.from_json({**raw, "catalog": "spark_catalog", "engine": None})
+    assert plain.bronze_name(plain.tables[0]) == "sales.orders"
+    assert jobs.job_connection(plain, "h", 1, "u", "p").url.startswith("jdbc:mysql://h:1/shop")
+    assert jobs.job_connection(plain, "h", 1, "u", "p", sqlserver_names=["shop"]).url.startswith("jdbc:sqlserver://h:1")
+    bronze = BronzeJob.from_json({"input_path": "/i", "schemas": {"sales": {"orders": {}}}, "location": "/l", "checkpoints": "/c", "catalog": "lake"})
+    assert bronze.bronze_name(bronze.tables[0]) == "lake.sales.orders"
+
+
 def test_landing_config():
     text = json.dumps(
         {
@@ -44,7 +59,7 @@ def test_landing_config():
     t, u = job.tables
     assert t.has_mark and t.write_mode is WriteMode.APPEND and t.incremental_where == "ts >"
     assert not u.has_mark and u.write_mode is WriteMode.OVERWRITE
-    assert job.bronze_name(t) == "crm_s.t" and job.engine is None and job.incremental
+    assert job.bronze_name(t) == "c.crm_s.t" and job.engine is None and job.incremental
     with pytest.raises(ConfigError, match="outputs"):
         LandingJob.from_json({"catalog": "c", "metadata": {}, "schemas": {}})
 

@@ -23,6 +23,9 @@ def render_path(template: str, **parts: str) -> str:
         raise ConfigError(f"path template needs {missing}") from None
 
 
+SESSION_CATALOG = "spark_catalog"  # its tables need no catalog in their names
+
+
 def short_name(table: str) -> str:
     """Last dotted part of a table's name."""
     return table.rsplit(".", 1)[-1]
@@ -100,7 +103,8 @@ class _Named:
     def bronze_name(self, spec: TableSpec) -> str:
         prefixed = self.prefix_schema and self.data_source
         schema = bronze_schema(self.data_source, spec.schema) if prefixed else spec.schema
-        return f"{schema}.{short_name(spec.table)}"
+        name = f"{schema}.{short_name(spec.table)}"
+        return name if self.catalog in ("", SESSION_CATALOG) else f"{self.catalog}.{name}"
 
 
 @dataclass(frozen=True)
@@ -140,7 +144,7 @@ class BronzeJob(_Named):
     tables: tuple[TableSpec, ...]
     location: str
     checkpoints: str
-    catalog: str = "spark_catalog"
+    catalog: str = SESSION_CATALOG
     source_type: str = ""
     data_source: str = ""
     db_name: str = ""

@@ -39,6 +39,7 @@ def with_fixed_audit(
     df: DataFrame, data_source: str, source_type: str, cost_center: str, system_owner: str
 ) -> DataFrame:
     """The four standard audit literals plus the row count."""
+    # Names of the four.
     return with_audit(
         df,
         {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from .retry import retry
 from .shared import new_folder, settled_batch
 from .sinks.files import WriteMode, write_files
 from .sinks.tables import quoted, replace_table, set_table_note, staged_publish, table_note
-from .sources.databases import Connection
+from .sources.databases import Connection, jdbc_url, resolve_engine
 from .sources.files import NoFiles, scan_csv, with_provenance
 from .streaming.load import FILES_PER_BATCH, READ_OPTIONS, copy_into
 from .streaming.messages import IngestResult, drain_messages, load_unread
@@ -50,6 +51,14 @@ def table_mark(spark: SparkSession, job: LandingJob, spec: TableSpec, as_of: dat
     return mark
 
 
+def job_connection(
+    job: LandingJob, host: str, port: str | int, user: str, password: str, sqlserver_names: Iterable[str] = (), **more: object
+) -> Connection:
+    """The database of a landing job: engine and address as the job has them, else by the database's name."""
+    engine = resolve_engine(job.db_name, job.engine, sqlserver_names)
+    return Connection(jdbc_url(engine, host, port, job.db_name), user, password, **more)
+
+
 def land_table(
     spark: SparkSession, job: LandingJob, spec: TableSpec, as_of: datetime, connection: Connection | None = None
 ) -> bool:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.times import PATTERNS
 
+# Columns of the ledger.
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("queue", T.StringType()),

@@ -46,10 +46,12 @@ def settled(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write a result once and read it back, so that later passes see one snapshot.
 
     A database or an unversioned folder read twice may answer differently each
-    time; the written copy also survives the loss of executors.
+    time; the written copy also survives the loss of executors. It goes with the session.
     """
     folder = new_folder(spark, label)
     df.write.parquet(folder)
+    fs, path = filesystem(spark, folder)
+    fs.deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(folder)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..shared import filesystem
 from ..sources.files import scan_json
 from .files import write_files
 from .widening import fitted, inexact_places, merged_schema
@@ -307,7 +308,11 @@ def staged_publish(
 ) -> str:
     """Write the batch to its own staging folder as JSON, then replace the table from it.
 
-    The staging folder is per table and per run, so tables cannot mix.
+    The staging folder is per table and per run, so tables cannot mix; it goes when the
+    table is published, and stays for a look where that failed.
     """
     write_files(df, staging, "json", "overwrite")
-    return replace_table(spark, name, scan_json(spark, staging, df.schema), root)
+    location = replace_table(spark, name, scan_json(spark, staging, df.schema), root)
+    fs, path = filesystem(spark, staging)
+    fs.delete(path, True)
+    return location
