@@ -213,7 +213,7 @@ def test_mark_is_kept_with_the_table(spark, tmp_path, schema_name):
 
     name, root = f"{schema_name}.t", str(tmp_path / "t")
     job = LandingJob.from_json(
-        {"catalog": "c", "metadata": META, "outputs": "o", "schemas": {schema_name: {"t": {"mark_column": "ts"}}}}
+        {"catalog": "spark_catalog", "metadata": META, "outputs": "o", "schemas": {schema_name: {"t": {"mark_column": "ts"}}}}
     )
 
     def mark():

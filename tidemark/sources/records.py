@@ -111,11 +111,19 @@ def quoted_records(spark: SparkSession, paths: Sequence[str], known: DataFrame)
     counted = F.coalesce("odd", F.raise_error(F.lit("a split of the second pass was not counted in the first")).cast("boolean"))
     pieces = begun.select("path", "start", "line", counted.alias("odd")).mapInArrow(_put_together, _PIECES)
     whole = pieces.where(F.col("kind") == WHOLE).select("path", "first", "text")
-    cut = pieces.where(F.col("kind") != WHOLE)
-    order = Window.partitionBy("path").orderBy("start", "kind")
-    begins = F.last(F.when(F.col("kind") == TAIL, F.col("start")), ignorenulls=True).over(order)
-    joined = cut.withColumn("begins", begins).groupBy("path", "begins").agg(
-        F.max("first").alias("first"), F.array_sort(F.collect_list(F.struct("start", "kind", "text"))).alias("parts")
-    )
-    text = F.array_join(F.transform("parts", lambda part: part["text"]), "\n")
-    return whole.unionByName(joined.select("path", "first", text.alias("text")))
+    cut = pieces.where(F.col("kind") != WHOLE)  # two a split at most
+    return whole.unionByName(cut.groupBy("path").applyInArrow(_joined, "path string, first boolean, text string"))
+
+
+def _joined(cut: pa.Table) -> pa.Table:
+    """The records of one file that lie in several splits: each begins with a split's last piece."""
+    rows = sorted(zip(*(cut.column(c).to_pylist() for c in ("start", "kind", "first", "text"))))
+    records: list[list] = []
+    for _, kind, first, text in rows:
+        if kind == TAIL or not records:
+            records.append([first, [text]])
+        else:
+            records[-1][1].append(text)
+    paths = [cut.column("path")[0].as_py()] * len(records)
+    texts = ["\n".join(parts) for _, parts in records]
+    return pa.table({"path": pa.array(paths, pa.string()), "first": pa.array([f for f, _ in records], pa.bool_()), "text": pa.array(texts, pa.string())})
