@@ -17,7 +17,8 @@ of both lines is cut and probed in the same way, so both keys must agree.
 
 Defined results: null texts stay null and empty ones empty; the first occurrence of every
 line stays, so no document set loses a line altogether; rows with one id are taken as one
-document, whose equal lines all count as later ones except the first; documents without id
+document, whose equal lines further down all count as later ones; lines at one line number of
+rows with one id (repeated rows, say) have one place, so they stay or go together; documents without id
 keep every line; other columns are kept as they are, ``n_chars`` follows the text.
 """
 
