@@ -5,7 +5,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from plans import plan_text
+from plans import plan_text, scan_metric
 from pyspark.sql import functions as F
 
 from tidemark.operators import filters, joins, ledger, marks, rows, windows
@@ -249,3 +249,52 @@ def test_ledger_appends(spark, tmp_path):
     book = ledger.read_ledger(spark, folder)
     assert book.count() == 3 and {r.at for r in ledger.entry_times(book).collect()} == {AT}
     assert [r.path for r in ledger.unread_paths(ledger.ledger_entries(book, "q", "prd")).collect()] == ["b"]
+
+
+def test_ledger_opens_one_queue_only(spark, tmp_path):
+    folder = str(tmp_path / "ledger")
+    for queue, env in (("q", "prd"), ("q", "dev"), ("007", "prd"), ("a b/%[1]", "prd")):
+        ledger.append_paths(spark, folder, queue, env, [f"{queue}-{env}"], False, AT)
+    for queue in ("q", "007", "a b/%[1]"):
+        mine = ledger.ledger_entries(ledger.read_ledger(spark, folder), queue, "prd")
+        assert [r.path for r in mine.collect()] == [f"{queue}-prd"]
+        assert scan_metric(mine, "numFiles") == 1
+
+
+@pytest.mark.parametrize("queue", ["q", "a b/%[1]"])
+def test_ledger_stays_small_over_runs(spark, tmp_path, queue):
+    folder = str(tmp_path / "ledger")
+    ledger.append_paths(spark, folder, "other", "prd", ["kept"], False, AT)
+    for run in range(12):
+        ledger.append_paths(spark, folder, queue, "prd", [f"p{run}", f"r{run}"], False, AT)
+        ledger.append_paths(spark, folder, queue, "prd", [f"r{run}"], True, AT)
+        ledger.fold_ledger(spark, folder, queue, "prd", files=6)
+        assert len(ledger._data_files(spark, folder)) <= 1 + 6
+    entries = ledger.ledger_entries(ledger.read_ledger(spark, folder), queue, "prd")
+    assert entries.count() == 36  # 24 saved, 12 read: the facts themselves are unchanged
+    assert {r.path for r in ledger.unread_paths(entries).collect()} == {f"p{run}" for run in range(12)}
+    other = ledger.ledger_entries(ledger.read_ledger(spark, folder), "other", "prd")
+    assert [r.path for r in ledger.unread_paths(other).collect()] == ["kept"]
+    assert not list((tmp_path / "ledger" / "_writing").iterdir())
+
+
+def test_broken_fold_changes_no_answer(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "ledger")
+    for run in range(4):
+        ledger.append_paths(spark, folder, "q", "prd", [f"p{run}"], run == 3, AT)
+    real = ledger.filesystem
+
+    class NoDelete:
+        def delete(self, *_):
+            raise OSError("crash before the first delete")
+
+    # the snapshot is in place, its sources could not go: facts stand twice
+    monkeypatch.setattr(ledger, "filesystem", lambda s, p: (NoDelete(), real(s, p)[1]) if p == folder else real(s, p))
+    with pytest.raises(OSError, match="crash"):
+        ledger.fold_ledger(spark, folder, "q", "prd", files=2)
+    monkeypatch.undo()
+    unread = lambda: {r.path for r in ledger.unread_paths(ledger.ledger_entries(ledger.read_ledger(spark, folder), "q", "prd")).collect()}
+    assert len(ledger._data_files(spark, folder)) == 5 and unread() == {"p0", "p1", "p2"}
+    assert ledger.fold_ledger(spark, folder, "q", "prd", files=2) == 5
+    assert len(ledger._data_files(spark, folder)) == 1 and unread() == {"p0", "p1", "p2"}
+    assert ledger.fold_ledger(spark, folder, "q", "prd", files=2) == 0

@@ -13,7 +13,7 @@ from .config import BronzeJob, LandingJob, MaintenanceJob, TableSpec, render_pat
 from .functions.audit import with_audit
 from .functions.names import assert_legal_names, clean_column_names
 from .maintenance import maintain
-from .operators.ledger import append_paths
+from .operators.ledger import append_paths, fold_ledger
 from .operators.marks import last_mark
 from .plans.feeds import READERS, Extract, audit_literals
 from .retry import retry
@@ -138,19 +138,31 @@ def land_queue(
     **options: object,
 ) -> IngestResult:
     """Drain the waiting message files; each landed folder goes into the ledger before
-    its batch counts as taken. A folder noted twice after a failure is still one path."""
+    its batch counts as taken. A folder noted twice after a failure is still one path.
+    The queue's ledger is folded afterwards, where it has grown many files."""
 
     def note(folder: str) -> None:
         retry(lambda: append_paths(spark, ledger_path, queue, env, [folder], False, at), tries)
 
-    return drain_messages(spark, source, landing, checkpoint, schema, on_landed=note, **options)
+    drained = drain_messages(spark, source, landing, checkpoint, schema, on_landed=note, **options)
+    if drained.paths:
+        retry(lambda: fold_ledger(spark, ledger_path, queue, env), tries)
+    return drained
 
 
 def load_queue(
-    spark: SparkSession, ledger_path: str, queue: str, env: str, table: str, location: str, body: T.StructType, at: datetime
+    spark: SparkSession,
+    ledger_path: str,
+    queue: str,
+    env: str,
+    table: str,
+    location: str,
+    body: T.StructType,
+    at: datetime,
+    **options: object,
 ) -> list[str]:
     """Load what the ledger holds unread; returns the folders loaded."""
-    return load_unread(spark, ledger_path, queue, env, table, location, body, at)
+    return load_unread(spark, ledger_path, queue, env, table, location, body, at, **options)
 
 
 def run_maintenance(spark: SparkSession, job: MaintenanceJob) -> DataFrame:

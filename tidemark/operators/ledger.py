@@ -1,7 +1,15 @@
-"""The ledger of landed folders: saved when landed, marked read when loaded."""
+"""The ledger of landed folders: saved when landed, marked read when loaded.
+
+It lies in one folder per queue and environment (``queue=…/env=…``), so a queue's readers open
+only its own files. Runs append small files (deltas); ``fold_ledger`` turns them into a
+snapshot. Entries are facts that may stand there twice, so neither a repeated append nor a fold
+that breaks half-way changes an answer. Queue and environment must not be empty. A ledger
+without such folders is carried over by ``append_entries(new, read_ledger(spark, old))``.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from datetime import datetime
 
@@ -10,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import PATTERNS
+from ..shared import filesystem
 
 # Columns of the ledger.
 LEDGER_SCHEMA = T.StructType(
@@ -22,6 +31,11 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
+#: A queue's ledger is folded when it has more small files than this.
+FOLD_FILES = 32
+#: Files of this size are left alone by folds.
+FULL_BYTES = 64 * 1024 * 1024
+
 
 def ledger_entries(ledger: DataFrame, queue: str, env: str) -> DataFrame:
     """Distinct ``(path, readed)`` of one queue and environment."""
@@ -50,8 +64,63 @@ def entries_for(paths: DataFrame, queue: str, env: str, read: bool, at: datetime
 
 
 def append_entries(ledger_path: str, entries: DataFrame) -> None:
-    """Append entries in one write (so, one commit for a whole run)."""
-    entries.write.mode("append").parquet(ledger_path)
+    """Append entries, for any queues.
+
+    The files are written aside and then moved in. Jobs that append at the same time would
+    otherwise clear each other's unfinished output.
+    """
+    spark = entries.sparkSession
+    aside = f"{ledger_path.rstrip('/')}/_writing/{uuid.uuid4().hex}"
+    fs, folder = filesystem(spark, aside)
+    try:
+        entries.write.partitionBy("queue", "env").parquet(aside)
+        for written in (listed.getPath() for listed in _data_files(spark, aside)):
+            target = written.getParent().toString().replace(folder.toString(), ledger_path.rstrip("/"), 1)
+            fs.mkdirs(filesystem(spark, target)[1])
+            if not fs.rename(written, filesystem(spark, target)[1]):
+                raise OSError(f"{written.toString()} could not be moved to {target}")
+    finally:
+        fs.delete(folder, True)
+
+
+def _data_files(spark: SparkSession, folder: str) -> list:
+    """Listed data files below a folder; none where it is absent."""
+    fs, path = filesystem(spark, folder)
+    if not fs.exists(path):
+        return []
+    found, listing = [], fs.listFiles(path, True)
+    while listing.hasNext():
+        status = listing.next()
+        if status.getPath().getName().endswith(".parquet"):
+            found.append(status)
+    return found
+
+
+def fold_ledger(spark: SparkSession, ledger_path: str, queue: str, env: str, files: int = FOLD_FILES) -> int:
+    """Make a snapshot of one queue's small files once there are more than ``files``; returns how many it replaced.
+
+    The snapshot keeps each distinct ``(path, readed)`` with its last stamp. It is in place before
+    exactly the files it was made from are deleted. Files of ``FULL_BYTES`` are never
+    written again, so a fold costs what came since, and the number of files stays below ``files`` and one per
+    ``FULL_BYTES``. A reader that listed the ledger before a fold may miss a file and has to read again.
+    """
+    # Spark makes the names of partition folders, so it is asked for them; it gives them as addresses
+    book = read_ledger(spark, ledger_path).where((F.col("queue") == queue) & (F.col("env") == env))
+    addresses = book.select(F.regexp_replace("_metadata.file_path", "/[^/]+$", "").alias("folder")).distinct().collect()
+    uri, path_of = spark._jvm.java.net.URI, spark._jvm.org.apache.hadoop.fs.Path
+    here = [path_of(uri(row.folder)).toString() for row in addresses]
+    small = [s for folder in here for s in _data_files(spark, folder) if s.getLen() < FULL_BYTES]
+    if len(small) <= files:
+        return 0
+    paths = [s.getPath() for s in small]
+    facts = spark.read.schema(LEDGER_SCHEMA).option("basePath", ledger_path).parquet(*(p.toString() for p in paths))
+    snapshot = facts.groupBy("queue", "env", "path", "readed").agg(F.max("ts").alias("ts"))
+    parts = max(1, sum(s.getLen() for s in small) // (2 * FULL_BYTES))
+    append_entries(ledger_path, snapshot.repartition(parts, "path"))
+    fs, _ = filesystem(spark, ledger_path)
+    for path in paths:
+        fs.delete(path, False)
+    return len(paths)
 
 
 def append_paths(
@@ -65,6 +134,7 @@ def append_paths(
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """All queues; a filter on queue and environment chooses folders, not rows."""
     return spark.read.schema(LEDGER_SCHEMA).parquet(ledger_path)
 
 

@@ -351,3 +351,33 @@ def ledger_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.append_entries(folder, ledger.entries_for(orders, "orders", "prd", False, AT))
     ledger.append_entries(folder, ledger.entries_for(orders.where("o_orderstatus = 'F'"), "orders", "prd", True, AT))
     return ledger.unread_paths(ledger.ledger_entries(ledger.read_ledger(spark, folder), "orders", "prd"))
+
+
+@query(
+    """
+    SELECT env, path FROM (
+        SELECT 'landing/' || o_custkey AS path, CASE WHEN o_custkey % 5 = 0 THEN 'dev' ELSE 'prd' END AS env, o_orderstatus
+        FROM orders) l
+    GROUP BY env, path HAVING NOT bool_or(o_orderstatus = 'F')
+    """
+)
+def ledger_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many runs append to the ledger of two environments; folds keep its files few and its answer the same."""
+    folder, most = new_folder(spark, "ledger"), 3
+    orders = table(spark, sf_dir, "orders").select(
+        F.lit("orders").alias("queue"),
+        F.concat(F.lit("landing/"), F.col("o_custkey").cast("string")).alias("path"),
+        (F.col("o_orderstatus") == "F").alias("readed"),
+        F.when(F.col("o_custkey") % 5 == 0, "dev").otherwise("prd").alias("env"),
+        format_time("o_orderdate", "iso_minute").alias("ts"),
+        (F.col("o_orderkey") % 6).alias("run"),
+    )
+    for run in range(6):
+        ledger.append_entries(folder, orders.where(F.col("run") == run).drop("run").coalesce(2))
+        for env in ("dev", "prd"):
+            ledger.fold_ledger(spark, folder, "orders", env, most)
+    book = ledger.read_ledger(spark, folder)
+    if book.select("_metadata.file_path").distinct().count() > 2 * most:
+        raise AssertionError("folds left many files")
+    parts = [ledger.unread_paths(ledger.ledger_entries(book, "orders", env)).withColumn("env", F.lit(env)) for env in ("dev", "prd")]
+    return parts[0].unionByName(parts[1]).select("env", "path")
