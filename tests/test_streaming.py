@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import os
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -329,6 +331,21 @@ def test_reload_before_the_mark_leaves_no_duplicates(spark, places, schema_name,
     assert spark.table(name).count() == 1
 
 
+def test_folders_load_group_by_group(spark, places, schema_name, monkeypatch):
+    from tidemark.streaming import messages as module
+
+    name, body, groups = f"{schema_name}.u", all_string_schema(["nome"]), []
+    for n in range(3):
+        write_files(messages(spark, f'{{"nome": "n{n}"}}', first=n), places["source"])
+        land_queue(spark, places["source"], places["landing"], places["checkpoint"], places["ledger"], "u", "prd", MESSAGE_SCHEMA, AT)
+    load = module._load_folders
+    monkeypatch.setattr(module, "_load_folders", lambda s, paths, *a: (groups.append(len(paths)), load(s, paths, *a)))
+    args = (spark, places["ledger"], "u", "prd", name, places["table"], body, AT)
+    assert len(load_queue(*args, max_folders=2)) == 3 and groups == [2, 1]
+    assert sorted(r.nome for r in spark.table(name).collect()) == ["n0", "n1", "n2"]
+    assert load_queue(*args, max_folders=2) == []
+
+
 def test_ledger_failure_stops_before_the_commit(spark, places, monkeypatch):
     from tidemark import jobs
 
@@ -364,3 +381,83 @@ def test_retry():
 def test_declared_schema_is_all_text():
     schema = all_string_schema(["a", "b"])
     assert all(isinstance(f.dataType, T.StringType) and f.nullable for f in schema)
+
+
+# --- stopping and redelivery -----------------------------------------------------
+
+
+def test_watched_drain_stops_at_low_throughput(spark, places):
+    from tidemark.streaming import messages as module
+
+    more = lambda n: write_files(messages(spark, *['{"a": 1}'] * n).coalesce(1), places["source"])
+    more(8)
+    waves, landed = [8, 2], []
+
+    def another_wave(folder):
+        landed.append(folder)
+        if len(landed) == 1:
+            more(2)
+
+    result = module.drain_messages(
+        spark, places["source"], places["landing"], places["checkpoint"], MESSAGE_SCHEMA,
+        cycle="1 second", few=5, max_seconds=120, on_landed=another_wave,
+    )
+    assert (result.received, result.stopped, len(result.paths)) == (sum(waves), "low_throughput", 2)
+    assert landed == list(result.paths)
+    again = module.drain_messages(
+        spark, places["source"], places["landing"], places["checkpoint"], MESSAGE_SCHEMA, cycle="1 second", few=5, max_seconds=120
+    )
+    assert (again.received, again.stopped, again.paths) == (0, "zero_messages", ())
+
+
+def test_watched_drain_ends_when_its_time_is_up(spark, places):
+    write_files(messages(spark, *['{"a": 1}'] * 8), places["source"])
+    result = drain_messages(
+        spark, places["source"], places["landing"], places["checkpoint"], MESSAGE_SCHEMA,
+        cycle="1 hour", few=1, max_seconds=20,
+    )
+    assert (result.received, result.stopped) == (8, "time_limit")
+
+
+def test_watched_drain_raises_what_its_query_raises(spark, places):
+    write_files(messages(spark, '{"a": 1}'), places["source"])
+
+    def fail(folder):
+        raise RuntimeError("no ledger")
+
+    with pytest.raises(Exception, match="no ledger"):
+        drain_messages(
+            spark, places["source"], places["landing"], places["checkpoint"], MESSAGE_SCHEMA,
+            cycle="1 second", max_seconds=120, on_landed=fail,
+        )
+
+
+def test_redelivered_messages_land_once(spark, places):
+    def run():
+        return drain_messages(
+            spark, places["source"], places["landing"], places["checkpoint"], MESSAGE_SCHEMA, once_by="MessageId", within="1 day"
+        )
+
+    ids = lambda result: sorted(r.MessageId for r in accepted(spark, result.paths).collect())
+    first = messages(spark, '{"a": 1}', '{"a": 2}', "bad")
+    write_files(first.unionByName(first.where("MessageId = 'm0'")), places["source"])  # twice in one batch
+    drained = run()
+    assert (drained.received, drained.rejected, ids(drained)) == (3, 1, ["m0", "m1"])
+    write_files(messages(spark, '{"a": 2}', "bad", '{"a": 3}', first=1), places["source"])  # m1 and m2 again, in a later run
+    # the file is as old as files can be: nothing is late
+    for path in Path(places["source"]).glob("*.json"):
+        os.utime(path, (1, 1))
+    later = run()
+    assert (later.received, ids(later)) == (1, ["m3"])
+    assert run().paths == ()
+
+
+def test_messages_without_id_are_no_copies(spark, places):
+    plain = messages(spark, '{"a": 1}', '{"a": 1}', '{"a": 1}')
+    for empty in (None, ""):
+        write_files(plain.withColumn("MessageId", F.lit(empty).cast("string")), places["source"])
+    Path(places["source"], "broken.json").write_text('no envelope\nno envelope\n')
+    result = drain_messages(
+        spark, places["source"], places["landing"], places["checkpoint"], MESSAGE_SCHEMA, once_by="MessageId"
+    )
+    assert (result.received, result.saved, result.rejected) == (8, 6, 2)

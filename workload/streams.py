@@ -75,9 +75,9 @@ def copy_into_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*EVENT_COLUMNS)
 
 
-def waiting_messages(spark: SparkSession, sf_dir: str) -> str:
-    """Message files as a queue's receiver leaves them, some with bodies that are no JSON."""
-    messages = broken_bodies(spark, sf_dir).select(
+def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a queue, some with bodies that are no JSON."""
+    return broken_bodies(spark, sf_dir).select(
         F.col("event_id").cast("string").alias("MessageId"),
         F.concat(F.lit("handle-"), F.col("event_id").cast("string")).alias("ReceiptHandle"),
         "Body",
@@ -85,7 +85,11 @@ def waiting_messages(spark: SparkSession, sf_dir: str) -> str:
         F.to_json(F.create_map(F.lit("date"), F.col("event_type"))).alias("HTTPHeaders"),
         F.lit(0).cast("bigint").alias("RetryAttempts"),
     )
-    return staged(spark, sf_dir, "messages", lambda f: write_files(messages, f))
+
+
+def waiting_messages(spark: SparkSession, sf_dir: str) -> str:
+    """Message files as a queue's receiver leaves them."""
+    return staged(spark, sf_dir, "messages", lambda f: write_files(queue_messages(spark, sf_dir), f))
 
 
 @query("SELECT event_id, event_type FROM events WHERE event_id % 10 >= 4")
@@ -112,6 +116,47 @@ def ingest_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(drained.received, drained.saved, drained.rejected)], "received long, saved long, rejected long")
 
 
+@query("SELECT event_id, event_type FROM events WHERE event_id % 10 >= 4")
+def redelivered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queue delivers some messages twice at once and all again later: each lands once."""
+    source, landing, checkpoint = (new_folder(spark, part) for part in ("queue", "messages", "checkpoint"))
+    sent, paths = queue_messages(spark, sf_dir), []
+    number = F.col("MessageId").cast("bigint")
+    first = sent.where(number % 3 != 0)
+    for wave in (first.unionByName(first.where(number % 3 == 1)), sent):
+        write_files(wave, source)
+        paths += drain_messages(spark, source, landing, checkpoint, MESSAGE_SCHEMA, once_by="MessageId").paths
+    return accepted(spark, paths).select(
+        F.col("MessageId").cast("bigint").alias("event_id"), F.get_json_object("HTTPHeaders", "$.date").alias("event_type")
+    )
+
+
+@query(
+    """
+    SELECT count(*) AS received, count(*) FILTER (WHERE event_id % 10 >= 4) AS saved, 3 AS cycles,
+           'low_throughput' AS stopped FROM events
+    """
+)
+def watched_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages come in ever smaller waves; the drain ends with the first cycle that has few."""
+    source, landing, checkpoint = (new_folder(spark, part) for part in ("queue", "messages", "checkpoint"))
+    sent = queue_messages(spark, sf_dir)
+    tenth = F.col("MessageId").cast("bigint") % 10
+    waves = [sent.where(tenth < 5), sent.where(tenth.between(5, 8)), sent.where(tenth == 9)]
+    few = sent.count() // 4
+    write_files(waves.pop(0), source)
+
+    def next_wave(folder: str) -> None:
+        if waves:
+            write_files(waves.pop(0), source)
+
+    drained = drain_messages(
+        spark, source, landing, checkpoint, MESSAGE_SCHEMA, on_landed=next_wave, cycle="1 second", few=few, max_seconds=600
+    )
+    row = (drained.received, drained.saved, len(drained.paths), drained.stopped)
+    return spark.createDataFrame([row], "received long, saved long, cycles int, stopped string")
+
+
 @query("SELECT event_id, user_id, event_type, value FROM events")
 def stream_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first micro-batch fails after its write; the replay must not double it."""
