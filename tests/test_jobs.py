@@ -233,6 +233,66 @@ def test_mark_is_kept_with_the_table(spark, tmp_path, schema_name):
     assert mark() == datetime(2024, 1, 2)
 
 
+def test_text_mark_is_kept_by_the_loads(spark, tmp_path, schema_name, monkeypatch):
+    from tidemark.jobs import table_mark
+    from tidemark.sinks import kept_marks
+    from tidemark.sinks.files import write_files
+    from tidemark.sinks.tables import append_evolving, replace_partitions
+    from tidemark.streaming.load import LOAD_BATCH, copy_into
+
+    name, reads = f"{schema_name}.t", []
+    job = LandingJob.from_json(
+        {"catalog": "spark_catalog", "metadata": META, "outputs": "o", "schemas": {schema_name: {"t": {"mark_column": "ts"}}}}
+    )
+    measures = kept_marks._measures
+
+    def mark(as_of=datetime(2024, 6, 1)):
+        reads.clear()
+        with monkeypatch.context() as patch:
+            patch.setattr(kept_marks, "_measures", lambda *a: (reads.append(a), measures(*a))[1])
+            found = table_mark(spark, job, job.tables[0], as_of)
+        everything = [datetime.fromisoformat(r.ts) for r in spark.table(name).collect() if r.ts and r.ts[0] == "2"]
+        assert found == max((v for v in everything if v <= as_of), default=None)
+        return found, len(reads)
+
+    def load(*texts, columns="ts string"):
+        write_files(spark.createDataFrame([(t,) for t in texts], columns), str(tmp_path / "in"))
+        copy_into(spark, name, str(tmp_path / "t"), str(tmp_path / "in"), str(tmp_path / "c"))
+
+    load("2024-01-03", "no time", None)
+    assert mark() == (datetime(2024, 1, 3), 1)  # the first lookup reads
+    assert mark() == (datetime(2024, 1, 3), 0)
+    load("2024-01-05T06:00:00.5", "2024-01-02")
+    assert mark() == (datetime(2024, 1, 5, 6, 0, 0, 500_000), 0)
+    load("x", columns="other string")  # without the column
+    assert mark()[1] == 0
+    load("2124-01-01", "2124-03-01")  # ahead of its time: not the mark, and no reading either
+    assert mark() == (datetime(2024, 1, 5, 6, 0, 0, 500_000), 0)
+    assert mark(datetime(2124, 2, 1)) == (datetime(2124, 1, 1), 1)  # between two kept values
+    assert mark(datetime(2024, 1, 4)) == (datetime(2024, 1, 3), 1)
+    mark()
+    # other writers make what is kept void
+    append_evolving(spark, name, spark.createDataFrame([("2024-02-01", "by hand")], f"ts string, {LOAD_BATCH} string"))
+    assert mark() == (datetime(2024, 2, 1), 1)
+    replace_partitions(spark, name, spark.createDataFrame([("2024-01-09", "by hand")], f"ts string, {LOAD_BATCH} string"))
+    assert mark() == (datetime(2024, 1, 9), 1) and mark()[1] == 0
+
+
+def test_a_write_during_the_lookup_voids_its_mark(spark, tmp_path, schema_name, monkeypatch):
+    from tidemark.sinks import kept_marks
+    from tidemark.sinks.tables import append_evolving, create_table_if_absent
+
+    name, at = f"{schema_name}.t", datetime(2024, 6, 1)
+    rows = lambda *days: spark.createDataFrame([(f"2024-01-{d:02}",) for d in days], "ts string")
+    create_table_if_absent(spark, name, rows(1).schema, str(tmp_path / "t"))
+    append_evolving(spark, name, rows(1))
+    keep = kept_marks._keep
+    with monkeypatch.context() as patch:
+        patch.setattr(kept_marks, "_keep", lambda *a: (append_evolving(spark, name, rows(7)), keep(*a)))
+        assert kept_marks.text_mark(spark, name, "ts", None, at) == datetime(2024, 1, 1)
+    assert kept_marks.text_mark(spark, name, "ts", None, at) == datetime(2024, 1, 7)
+
+
 def test_warehouse_windows(spark, tmp_path):
     rows = [(n, datetime(2024, 1, 28 + n, 6)) for n in range(4)]
     spark.createDataFrame(rows, "n int, ts timestamp_ntz").write.parquet(str(tmp_path / "in"))

@@ -19,6 +19,7 @@ from .plans.feeds import READERS, Extract, audit_literals
 from .retry import retry
 from .shared import new_folder, settled_batch
 from .sinks.files import WriteMode, write_files
+from .sinks.kept_marks import text_mark
 from .sinks.tables import quoted, replace_table, set_table_note, staged_publish, table_note
 from .sources.databases import Connection, jdbc_url, resolve_engine
 from .sources.files import NoFiles, scan_csv, with_provenance
@@ -32,7 +33,7 @@ def table_mark(spark: SparkSession, job: LandingJob, spec: TableSpec, as_of: dat
     """Mark of the bronze table, or None where there is no table, no row or no mark column.
 
     A mark over a time column is kept with the table, and the next lookup starts from it.
-    Text columns are parsed, which no file statistics can help with.
+    One over text is kept by the loads themselves, so that only the first lookup reads the table.
     """
     name = job.bronze_name(spec)
     if not (job.incremental and spec.has_mark and spark.catalog.tableExists(quoted(name))):
@@ -41,9 +42,7 @@ def table_mark(spark: SparkSession, job: LandingJob, spec: TableSpec, as_of: dat
     pattern = spec.options.get("mark_pattern")
     table = spark.table(quoted(name))
     if table.schema[column].dataType == T.StringType():
-        if pattern is None:
-            table = table.withColumn(column, table[column].try_cast("timestamp_ntz"))
-        return last_mark(table, column, as_of, pattern)
+        return text_mark(spark, name, column, pattern, as_of)
     kept = table_note(spark, name, f"mark.{column}")
     mark = last_mark(table, column, as_of, pattern, datetime.fromisoformat(kept) if kept else None)
     if isinstance(mark, datetime) and mark.isoformat() != kept:

@@ -22,6 +22,7 @@ LOAD_BATCH = "_load_batch"  # the partition column of tables that loads write, o
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 VERSION_PREFIX = "version-"
 NOTE = "tidemark."
+WRITTEN = "written"  # changes with every write, once a mark is kept that depends on it
 FIRST_LOCATION, FIRST_REPLACED = "first_location", "first_replaced"
 VERSION_STAMP = "%Y%m%dT%H%M%S%f"
 
@@ -97,6 +98,21 @@ def set_table_note(spark: SparkSession, name: str, key: str, value: str) -> None
     spark.sql(f"ALTER TABLE {quoted(name)} SET TBLPROPERTIES ('{NOTE}{key}' = {_literal(value)})")
 
 
+def touch(spark: SparkSession, name: str) -> None:
+    """Say that the rows change, before and after a write. Marks kept with a table hold for one value only."""
+    if table_note(spark, name, WRITTEN):
+        set_table_note(spark, name, WRITTEN, uuid.uuid4().hex)
+
+
+@contextmanager
+def changing(spark: SparkSession, name: str) -> Iterator[None]:
+    touch(spark, name)
+    try:
+        yield
+    finally:
+        touch(spark, name)
+
+
 def evolve_schema(spark: SparkSession, name: str, rows: DataFrame) -> list[str]:
     """Make the table hold the rows that are coming; returns the names of new columns.
 
@@ -151,7 +167,8 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
 def append_evolving(spark: SparkSession, name: str, df: DataFrame) -> list[str]:
     """Append by column name, first adding the columns the table lacks."""
     added = evolve_schema(spark, name, df)
-    align(df, spark.table(quoted(name)).schema).write.insertInto(quoted(name))
+    with changing(spark, name):
+        align(df, spark.table(quoted(name)).schema).write.insertInto(quoted(name))
     return added
 
 
@@ -169,7 +186,7 @@ def replace_partitions(spark: SparkSession, name: str, df: DataFrame, gather: bo
     aligned = align(df, spark.table(quoted(name)).schema)
     if gather:
         aligned = aligned.hint("rebalance", *keys)
-    with overwriting_partitions(aligned.sparkSession):
+    with changing(spark, name), overwriting_partitions(aligned.sparkSession):
         aligned.write.mode("overwrite").insertInto(quoted(name))
     # a stream writes in a session of its own; the caller's may still list the old files
     spark.catalog.refreshTable(quoted(name))
@@ -228,6 +245,7 @@ def publish_version(
     """
     notes, listed = {}, None
     if spark.catalog.tableExists(quoted(name)):
+        touch(spark, name)
         notes = table_notes(spark, name)
         before = table_location(spark, name).rstrip("/")
         if not version_time(before.rsplit("/", 1)[-1], name) and not f"{location.rstrip('/')}/".startswith(f"{before}/"):
@@ -239,6 +257,7 @@ def publish_version(
         if same and not partition_by and not partition_columns(spark, name):
             spark.sql(f"ALTER TABLE {quoted(name)} SET LOCATION {_literal(location)}")
             _note_all(spark, name, notes)
+            touch(spark, name)
             spark.catalog.refreshTable(quoted(name))
             return
         spark.sql(f"DROP TABLE {quoted(name)}")
@@ -248,6 +267,7 @@ def publish_version(
     elif partition_by:
         spark.sql(f"ALTER TABLE {quoted(name)} RECOVER PARTITIONS")
     _note_all(spark, name, notes)
+    touch(spark, name)
     spark.catalog.refreshTable(quoted(name))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..folding import finish_folds
+from ..sinks.kept_marks import Carried
 from ..sinks.tables import LOAD_BATCH, align, create_table_if_absent, quoted, replace_partitions
 from ..sinks.widening import leaves, merged_schema, places_where
 from ..sources.files import PROVENANCE, PROVENANCE_TYPE, header_names, with_provenance
@@ -296,8 +297,9 @@ def copy_into(
         good = counted.where(F.col(BROKEN).isNull()).drop(BROKEN)
         rows = (shape(good) if shape else good).withColumn(LOAD_BATCH, F.lit(label))
         create_table_if_absent(spark, table, rows.schema, location, [LOAD_BATCH])
-        kept = Observation()
-        replace_partitions(spark, table, rows.observe(kept, F.count(F.lit(1)).alias("n")))
+        kept, marks = Observation(), Carried(spark, table)
+        replace_partitions(spark, table, rows.observe(kept, F.count(F.lit(1)).alias("n"), *marks.measures(rows)))
+        marks.keep(kept.get)
         return kept.get["n"], seen.get["broken"]
 
     def load(batch: DataFrame, batch_id: int) -> None:
