@@ -9,6 +9,8 @@ from datetime import date, datetime
 
 import pytest
 from plans import scan_metric
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.sources import archives, databases, documents, envelopes, files
@@ -366,3 +368,61 @@ def test_detection_opens_only_selected_files_and_hashes(spark, tmp_path):
     assert scan_metric(listing, "numFiles") == 2
     assert "SortAggregate" not in plan_text(listing)
     assert files.detected_csv(spark, folder, selected=wanted).count() == 2
+
+
+# --- replies -----------------------------------------------------------------
+
+
+def reply(csv_text, element="getReportResultCsvResponse"):
+    inner = csv_text.replace("&", "&amp;").replace("<", "&lt;")
+    return f'<?xml version="1.0"?>\n<e:Envelope xmlns:e="urn:e"><e:Body><r:{element} xmlns:r="urn:r"><return>{inner}</return></r:{element}></e:Body></e:Envelope>\n'
+
+
+def test_replies_are_read_like_reports(spark, tmp_path):
+    texts = {
+        "a": 'Agent Name,Note\n1,"x\n""y"", & <z>"\n\n2,plain\n3,too,many\n4,"open\n',
+        "b": "Note,Agent Name,More\r\nn,5,m\r\n",  # other order and width
+        "c": "",  # an empty value
+        "d": "Agent Name,Note",  # a header only
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.xml").write_text(reply(text), newline="")
+    got = files.reply_rows(spark, str(tmp_path))
+    assert got.columns == ["Agent_Name", "Note", "More"]
+    rows = sorted(tuple(r) for r in got.collect() if r.Agent_Name != "4")
+    assert rows == [("1", 'x\n"y", & <z>', ""), ("2", "plain", ""), ("5", "n", "m")]
+
+
+def test_a_reply_without_the_value_raises(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(reply("a,b\n1,2", "runReportResponse"))
+    with pytest.raises(Exception, match="response holds no result_csv"):
+        files.reply_rows(spark, str(tmp_path)).collect()
+
+
+def test_empty_replies_hold_no_lines(spark, tmp_path):
+    (tmp_path / "a.xml").write_text(reply(""))
+    with pytest.raises(files.NoFiles):
+        files.reply_rows(spark, str(tmp_path))
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.lists(st.text(alphabet='a",\n é', max_size=6), min_size=2, max_size=2), min_size=1, max_size=6))
+def test_records_of_a_payload_match_a_csv_reader(table):
+    from tidemark.sources.records import _records_of
+
+    out = io.StringIO()
+    csv.writer(out, quoting=csv.QUOTE_ALL, lineterminator="\n").writerows(table)
+    got = [next(csv.reader(io.StringIO(text, newline=""))) for text in _records_of(out.getvalue())]
+    assert got == table
+
+
+def test_long_payloads_leave_in_batches():
+    import pyarrow as pa
+
+    from tidemark.sources.records import _RECORDS_AT_ONCE, _payload_records
+
+    lines = "\n".join(f"{n},x" for n in range(_RECORDS_AT_ONCE + 5))
+    batch = pa.RecordBatch.from_pydict({"path": ["p", "q", "r"], "payload": [lines, None, "h\n1"]})
+    out = list(_payload_records(iter([batch])))
+    assert [b.num_rows for b in out] == [_RECORDS_AT_ONCE, 5, 2]
+    assert [sum(b.column("first").to_pylist()) for b in out] == [1, 0, 1]

@@ -27,6 +27,7 @@ from ..sources.files import (
     detected_csv,
     leading_date,
     naive_csv,
+    reply_rows,
     report_rows,
     scan_parquet,
     trailing_date,
@@ -103,8 +104,11 @@ def database(run: Extract) -> DataFrame:
 
 def reports(run: Extract) -> DataFrame:
     """Report CSVs, cut to the run's windows by the report's time column; a first run,
-    which has no mark, takes them whole."""
-    rows = report_rows(run.spark, run.source, multi_line=run.option("multi_line", True))
+    which has no mark, takes them whole. With ``replies`` they are still in their XML envelopes."""
+    if run.option("replies"):
+        rows = reply_rows(run.spark, run.source)
+    else:
+        rows = report_rows(run.spark, run.source, multi_line=run.option("multi_line", True))
     column = run.option("time_column")
     if column and (run.mark is not None or not run.job.incremental):
         rows = rows.withColumn("__moment", F.expr(f"try_cast(`{column}` AS timestamp_ntz)"))

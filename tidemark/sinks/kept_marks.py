@@ -72,8 +72,12 @@ def _measures(column: str, pattern: str | None, moment: datetime) -> list[Column
     return [c.cast("string").alias(f"{column}|{pattern or ''}|{n}") for n, c in enumerate(found)]
 
 
-def _kept(notes: dict[str, str]) -> dict[str, KeptMark]:
-    """Kept marks that hold for the rows as they are."""
+def kept(spark: SparkSession, name: str) -> dict[str, KeptMark]:
+    """Kept marks of a table that hold for its rows as they are, by the keys of their notes."""
+    return _holding(table_notes(spark, name))
+
+
+def _holding(notes: dict[str, str]) -> dict[str, KeptMark]:
     found = {}
     for key, note in notes.items():
         if key.startswith(CARRIED):
@@ -90,7 +94,7 @@ def _keep(spark: SparkSession, name: str, key: str, state: KeptMark, written: st
 def text_mark(spark: SparkSession, name: str, column: str, pattern: str | None, as_of: datetime) -> Moment:
     """Greatest time in a text column that is not after ``as_of``; reads the table only where nothing kept tells it."""
     key, notes = _key(column, pattern), table_notes(spark, name)
-    state = _kept(notes).get(key)
+    state = _holding(notes).get(key)
     state = state and state.around(as_of)
     if state is None:
         written = notes.get(WRITTEN)
@@ -108,7 +112,7 @@ class Carried:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name = spark, name
         there = spark.catalog.tableExists(quoted(name))
-        self.kept = _kept(table_notes(spark, name)) if there else {}
+        self.kept = kept(spark, name) if there else {}
         self.moment = spark.range(1).select(F.current_timestamp().cast("timestamp_ntz")).first()[0] if self.kept else None
 
     def measures(self, rows: DataFrame) -> list[Column]:

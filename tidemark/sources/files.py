@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 
 from ..functions.names import harmonize_columns, underscore_spaces
 from ..functions.times import PATTERNS
-from .records import fixed_splits, quoted_records, splits
+from ..shared import settled
+from .envelopes import xml_value
+from .records import fixed_splits, payload_records, quoted_records, splits
 
 FILE_NAME = "_metadata.file_name"
 FILE_DATE = "_file_generation_date"
@@ -317,10 +319,32 @@ def quoted_reports(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     spark = fixed_splits(spark)
     known = splits(spark, paths)
     heads = known.where("start = 0").select("path", "header")
+    rows = quoted_records(spark, paths, known).where("NOT first AND text <> ''")
+    return _under_own_headers(heads, rows, paths, header_breaks=False)
+
+
+def reply_rows(spark: SparkSession, path: str | Sequence[str], kind: str = "result_csv") -> DataFrame:
+    """Rows of landed replies: files that hold one XML envelope each, around a CSV text.
+
+    The texts are cut into records quote by quote in one pass, written out once, and read each
+    under its own header, like reports. A reply is one task and must fit a cell (2 GB); one
+    without the value raises, one with an empty value has no rows.
+    """
+    paths = [path] if isinstance(path, str) else list(path)
+    place = F.col("_metadata.file_path").alias("path")
+    replies = spark.read.text(paths, wholetext=True).select(place, xml_value("value", kind).alias("payload"))
+    records = settled(spark, payload_records(replies), "replies")
+    heads = records.where("first").select("path", F.regexp_replace("text", "^\ufeff", "").alias("header"))
+    return underscore_spaces(_under_own_headers(heads, records.where("NOT first AND text <> ''"), paths))
+
+
+def _under_own_headers(heads: DataFrame, records: DataFrame, paths: Sequence[str], header_breaks: bool = True) -> DataFrame:
+    """Records (``path, text``) parsed under their files' headers (``path, header``), united by name."""
+    spark = records.sparkSession
     headers = [r.header for r in heads.groupBy("header").agg(F.min("path").alias("path")).orderBy("path").collect()]
     if not headers:
         raise NoFiles(f"no lines under {paths}")
-    if any(h.count('"') % 2 for h in headers):
+    if not header_breaks and any(h.count('"') % 2 for h in headers):
         raise ValueError("a header has a line break in it")
     named = {h: header_names(h) for h in headers}
     names: dict[str, str] = {}
@@ -329,7 +353,7 @@ def quoted_reports(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
             names.setdefault(n.lower(), n)
     layouts = [(h, len(own), [{n.lower(): i for i, n in enumerate(own)}.get(low) for low in names]) for h, own in named.items()]
     layout = spark.createDataFrame(layouts, "header string, width int, places array<int>")
-    rows = quoted_records(spark, paths, known).where("NOT first AND text <> ''").join(heads.join(layout, "header"), "path")
+    rows = records.join(heads.join(layout, "header"), "path")
     fields = None
     for width in sorted({len(own) for own in named.values()}):
         columns = ", ".join(f"c{i} string" for i in range(width))

@@ -14,6 +14,7 @@ record whose quotes are not closed ends with its file. A header must stand on on
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -127,3 +128,46 @@ def _joined(cut: pa.Table) -> pa.Table:
     paths = [cut.column("path")[0].as_py()] * len(records)
     texts = ["\n".join(parts) for _, parts in records]
     return pa.table({"path": pa.array(paths, pa.string()), "first": pa.array([f for f, _ in records], pa.bool_()), "text": pa.array(texts, pa.string())})
+
+
+_RECORDS_AT_ONCE = 10_000
+_ARROW_RECORDS = pa.schema([("path", pa.string()), ("first", pa.bool_()), ("text", pa.string())])
+
+
+def payload_records(payloads: DataFrame) -> DataFrame:
+    """``path, first, text`` of every record of CSV texts (``path, payload``), breaks inside quotes kept.
+
+    A text is gone through once and its records leave in batches. Null and empty texts have none; a
+    last record whose quotes are not closed ends with its text.
+    """
+    return payloads.select("path", "payload").mapInArrow(_payload_records, "path string, first boolean, text string")
+
+
+def _payload_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            texts, first = [], True
+            for text in _records_of(payload or ""):
+                texts.append(text)
+                if len(texts) == _RECORDS_AT_ONCE:
+                    yield _record_batch(path, first, texts)
+                    texts, first = [], False
+            if texts:
+                yield _record_batch(path, first, texts)
+
+
+def _records_of(payload: str) -> Iterator[str]:
+    held, inside = [], False
+    for line in io.StringIO(payload, newline="\n"):
+        held.append(line)
+        inside ^= line.count('"') % 2 == 1
+        if not inside:
+            yield "".join(held).rstrip("\r\n")
+            held = []
+    if held:
+        yield "".join(held).rstrip("\r\n")
+
+
+def _record_batch(path: str, first: bool, texts: list[str]) -> pa.RecordBatch:
+    columns = [[path] * len(texts), [first and k == 0 for k in range(len(texts))], texts]
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _ARROW_RECORDS)], schema=_ARROW_RECORDS)

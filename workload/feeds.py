@@ -124,6 +124,33 @@ def feed_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.agg(F.count(F.lit(1)).alias("times_loaded"))
 
 
+@query(
+    """
+    SELECT event_id AS Event_Id, event_type || chr(10) || '"' || event_id || '" & <more>, ' || chr(10) AS Note
+    FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-19'
+    """
+)
+def feed_wrapped_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports that landed as replies: XML envelopes around CSV with line breaks and quotes inside fields."""
+    number = F.col("event_id").cast("string")
+    note = F.concat("event_type", F.lit('\n""'), number, F.lit('"" &amp; &lt;more>, \n'))
+    line = F.concat(number, F.lit(","), format_time("ts", "iso_micros"), F.lit(',"'), note, F.lit('"'))
+    replies = table(spark, sf_dir, "events").groupBy(F.expr("event_id div 500")).agg(F.array_join(F.collect_list(line), "\n").alias("lines"))
+    wrapped = replies.select(
+        F.concat(
+            F.lit('<e:Envelope xmlns:e="urn:e"><e:Body><r:getReportResultCsvResponse xmlns:r="urn:r"><return>Event Id,Started At,Note\n'),
+            "lines", F.lit("</return></r:getReportResultCsvResponse></e:Body></e:Envelope>"),
+        ).alias("value")
+    )
+    source = staged(spark, sf_dir, "events-replies", lambda f: wrapped.write.option("maxRecordsPerFile", 1).text(f))
+    about = {
+        "reader": "reports", "replies": True, "time_column": "Started_At", "mark_column": "Started_At", "file_format": "json",
+        "start_date": "2024-01-10T00:00:00", "end_date": "2024-01-19T00:00:00",
+    }
+    loaded = Feed(spark, source, about).run(incremental=False)
+    return loaded.select(F.col("Event_Id").cast("bigint").alias("Event_Id"), "Note")
+
+
 @query(
     """
     SELECT DISTINCT user_id, event_type, date_trunc('second', ts) AS created FROM events

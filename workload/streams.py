@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.payload import all_string_schema, flatten_body, is_valid_json
+from tidemark.functions.times import format_time
 from tidemark.jobs import land_queue, load_queue
 from tidemark.shared import new_folder
+from tidemark.sinks import kept_marks
 from tidemark.sinks.files import write_files
 from tidemark.streaming.load import copy_into as load_files
 from tidemark.streaming.messages import accepted, drain_messages
@@ -75,6 +77,21 @@ def copy_into_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*EVENT_COLUMNS)
 
 
+@query("SELECT max(date_trunc('second', ts)) AS mark, TRUE AS kept FROM events WHERE ts <= TIMESTAMP '2024-01-20 12:00:00'")
+def high_water_mark_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of text stamps; the mark is measured by the second one, not read from the table."""
+    name, as_of = f"{fresh_schema()}.events", datetime(2024, 1, 20, 12)
+    source, target, checkpoint = (new_folder(spark, part) for part in ("landing", "events", "checkpoint"))
+    events = table(spark, sf_dir, "events").where(F.col("ts") <= F.lit(as_of))
+    early = F.col("ts") < F.lit(datetime(2024, 1, 10))
+    for wave in (events.where(early), events.where(~early)):
+        write_files(wave.select(format_time("ts", "day_first").alias("created")), source)
+        load_files(spark, name, target, source, checkpoint, "json")
+        kept = [state.near for state in kept_marks.kept(spark, name).values()]
+        found = kept_marks.text_mark(spark, name, "created", "day_first", as_of)
+    return spark.createDataFrame([(found, kept == [found])], "mark timestamp_ntz, kept boolean")
+
+
 def queue_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of a queue, some with bodies that are no JSON."""
     return broken_bodies(spark, sf_dir).select(
