@@ -28,3 +28,17 @@ def scan_metric(df, metric: str) -> int:
         while children.hasNext():
             waiting.append(children.next())
     return total
+
+
+def parquet_writes(monkeypatch) -> list[tuple[str, int]]:
+    """Plan and number of tasks of every Parquet write from now on, each taken as the write begins."""
+    from pyspark.sql import DataFrameWriter
+
+    seen, write = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **options):
+        seen.append((plan_text(self._df), self._df.rdd.getNumPartitions()))
+        return write(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return seen

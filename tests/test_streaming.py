@@ -241,6 +241,41 @@ def test_a_fold_that_broke_off_is_finished(spark, places, schema_name, monkeypat
     assert len(labels(spark, name)) == 3 and not before <= labels(spark, name)
 
 
+def test_folds_are_written_as_they_are_read(spark, places, schema_name, monkeypatch):
+    from plans import parquet_writes
+
+    name = f"{schema_name}.t"
+    many_loads(spark, name, places, 7)
+    one = max(r["size"] for r in folding.partition_files(spark, name).collect())
+    before = {r.event_id: r["_metadata"] for r in spark.table(name).collect()}
+    keys = ("files.maxPartitionBytes", "files.openCostInBytes", "maxConcurrentOutputFileWriters", "unionOutputPartitioning")
+    settings = {f"spark.sql.{k}": spark.conf.get(f"spark.sql.{k}", None) for k in keys}
+    seen = parquet_writes(monkeypatch)
+    folding.fold_batches(spark, name, 3 * one + one // 2)
+    written = [(plan, tasks) for plan, tasks in seen if "Union" in plan]
+    # a task for each file; rows dealt out by fold were all held and sorted by the one task of a bin
+    assert [tasks for _, tasks in written] == [2] and "Exchange" not in written[0][0] and "Sort" not in written[0][0]
+    assert {r.event_id: r["_metadata"] for r in spark.table(name).collect()} == before and len(before) == 7
+    assert {r.files for r in folding.partition_files(spark, name).collect()} == {1}
+    assert settings == {k: spark.conf.get(k, None) for k in settings}
+
+
+def test_a_large_partition_is_folded_into_several_files(spark, places, schema_name, monkeypatch):
+    from plans import parquet_writes
+
+    name = f"{schema_name}.t"
+    many_loads(spark, name, places, 2)
+    label = min(labels(spark, name)).split("=")[1]
+    replace_partitions(spark, name, spark.range(10, 410, 1, 40).select(F.col("id").alias("event_id"), F.lit(label).alias(LOAD_BATCH)))
+    found = {r.label: r for r in folding.partition_files(spark, name).collect()}[label]
+    assert found.files == 40
+    seen = parquet_writes(monkeypatch)
+    assert folding.fold_batches(spark, name, found["size"] // 4 + 1)[1] >= 40
+    plan, tasks = next(w for w in seen if "Coalesce" in w[0] and "event_id" in w[0])
+    assert tasks == 4 and "Exchange" not in plan
+    assert spark.table(name).agg(F.count("*"), F.sum("event_id")).first() == (401, sum(range(10, 410)) + 1)
+
+
 def test_plan_of_folds():
     small = [folding.Small(f"s-{k:02d}", 1, size) for k, size in enumerate([40, 40, 40, 10, 90, 5])]
     assert [[p.size for p in b] for b in folding.plan_folds(small, 100)] == [[40, 40], [40, 10], [90, 5]]

@@ -17,11 +17,12 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import path_exists
+from .shared import holding, packed_scans, path_exists
 from .sinks.tables import (
     LOAD_BATCH,
     VERSION_STAMP,
@@ -34,7 +35,11 @@ from .sinks.tables import (
 )
 
 FOLD_PARTITIONS = 2_000  # partitions folded in one write; their names pass the driver
+FOLDS_AT_ONCE = 100  # bins in one job, each a scan of its own
 FOLD_PREFIX = "fold-"
+# Each task of a union writes one partition, so no sort has to bring its rows together; and the
+# tasks of its parts, one each, must not become one.
+UNSORTED_UNION = {"spark.sql.maxConcurrentOutputFileWriters": 2, "spark.sql.unionOutputPartitioning": "false"}
 FOLDS_SCHEMA = "fold string, label string, folder string, files bigint, bytes bigint, at timestamp"
 
 
@@ -129,24 +134,34 @@ def _fold(spark: SparkSession, name: str, bins: list[list[Small]], file_bytes: i
     location, now = table_location(spark, name).rstrip("/"), datetime.now(timezone.utc)
     stamp = f"{FOLD_PREFIX}{now.strftime(VERSION_STAMP)}-{uuid.uuid4().hex[:8]}"
     folds = [f"{stamp}-{i:05d}" for i in range(len(bins))]
-    rows = [
-        (fold, p.label, f"{location}/{LOAD_BATCH}={p.label}", p.files, p.size, now, _files_for(members, file_bytes))
-        for fold, members in zip(folds, bins) for p in members
-    ]
-    listed = spark.createDataFrame(rows, f"{FOLDS_SCHEMA}, shares int").coalesce(1)
-    plan = listed.select(F.col("label").alias(LOAD_BATCH), F.col("fold").alias("__fold"), "shares")
-    table = spark.table(quoted(name))
-    chosen = table.where(F.col(LOAD_BATCH).isin([p.label for b in bins for p in b])).join(F.broadcast(plan), LOAD_BATCH)
-    share = F.pmod(F.monotonically_increasing_id(), F.col("shares"))
-    dealt = chosen.withColumn("__share", share).repartition(sum(_files_for(b, file_bytes) for b in bins), "__fold", "__share")
-    columns = [F.col(f"`{c}`") for c in table.columns if c != LOAD_BATCH]
-    dealt.select(*columns, F.col("__fold").alias(LOAD_BATCH)).write.mode("append").partitionBy(LOAD_BATCH).parquet(location)
-    listed.drop("shares").write.mode("append").parquet(folds_folder(spark, name))
+    rows = [(fold, p.label, f"{location}/{LOAD_BATCH}={p.label}", p.files, p.size, now) for fold, members in zip(folds, bins) for p in members]
+    listed = spark.createDataFrame(rows, FOLDS_SCHEMA).coalesce(1)
+    _write_bins(spark, name, location, list(zip(folds, bins)), file_bytes)
+    listed.write.mode("append").parquet(folds_folder(spark, name))
     _swap(spark, name, folds, [p.label for b in bins for p in b])
     written = data_files(spark, [f"{location}/{LOAD_BATCH}={f}" for f in folds if path_exists(spark, f"{location}/{LOAD_BATCH}={f}")])
     return written.count()
 
 
+def _write_bins(spark: SparkSession, name: str, location: str, bins: list[tuple[str, list[Small]]], file_bytes: int) -> None:
+    """Write each bin under its fold's name: a task reads what makes up one file and writes it as it comes.
+
+    Rows are neither dealt out nor sorted, since even a small file may hold many long ones: a path
+    that all rows share is stored once.
+    """
+    table = spark.table(quoted(name))
+    columns = [F.col(f"`{c}`") for c in table.columns if c != LOAD_BATCH]
+
+    def one(fold: str, members: list[Small]) -> DataFrame:
+        rows = table.where(F.col(LOAD_BATCH).isin([p.label for p in members]))
+        return rows.select(*columns, F.lit(fold).alias(LOAD_BATCH)).coalesce(_files_for(members, file_bytes))
+
+    with holding(spark, **packed_scans(file_bytes), **UNSORTED_UNION):
+        for i in range(0, len(bins), FOLDS_AT_ONCE):
+            rows = reduce(DataFrame.union, (one(*b) for b in bins[i : i + FOLDS_AT_ONCE]))
+            rows.write.mode("append").partitionBy(LOAD_BATCH).parquet(location)
+
+
 def _swap(spark: SparkSession, name: str, folds: Sequence[str], labels: Sequence[str]) -> None:
     drop_partitions(spark, name, [f"{LOAD_BATCH}={label}" for label in labels])
     add_partitions(spark, name, [f"{LOAD_BATCH}={fold}" for fold in folds])

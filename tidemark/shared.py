@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+PIECES = 16  # pieces of a scan that make up a file to be written
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -64,6 +65,27 @@ def pinned_session(spark: SparkSession, **conf: object) -> SparkSession:
     return own
 
 
+@contextmanager
+def holding(spark: SparkSession, **conf: object) -> Iterator[None]:
+    """Settings of this very session for the length of a block: it alone may know a catalog that was named later."""
+    before = {key: spark.conf.get(key, None) for key in conf}
+    try:
+        for key, value in conf.items():
+            spark.conf.set(key, str(value))
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def packed_scans(file_bytes: int) -> dict[str, int]:
+    """Settings that share files out to tasks by their bytes alone, in pieces so small that a few make up ``file_bytes``.
+
+    The default counts 4 MB for each file; with ``coalesce`` the large ones would then come to one task.
+    """
+    return {"spark.sql.files.maxPartitionBytes": max(1, file_bytes // PIECES), "spark.sql.files.openCostInBytes": 1}
+
+
 @contextmanager
 def settled_batch(spark: SparkSession, df: DataFrame, label: str) -> Iterator[DataFrame]:
     """A settled result for the length of a block; its copy is deleted afterwards."""
