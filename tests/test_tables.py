@@ -134,6 +134,34 @@ def test_compact(spark, tmp_path, schema_name):
     assert maintenance.compact_table(spark, name, root) == (0, 0, 0)
 
 
+def test_compacting_tasks_write_what_they_read(spark, tmp_path, schema_name, monkeypatch):
+    from plans import parquet_writes
+
+    name, root = f"{schema_name}.c", str(tmp_path / "c")
+    small_files(spark, name, root)
+    size = maintenance._size(spark, tables.table_location(spark, name))[1]
+    seen = parquet_writes(monkeypatch)
+    assert maintenance.compact_table(spark, name, root, size // 4 + 1)[0] == 4
+    # a row dealt out may take many times what it takes in a file, so a task read far more than a file's bytes
+    assert [("Exchange" in plan, tasks) for plan, tasks in seen] == [(False, 4)]
+    rows = spark.table(name).groupBy("_metadata.file_path").agg(F.count("*").alias("n"), F.sum("id").alias("ids")).collect()
+    assert sum(r.n for r in rows) == 1000 and sum(r.ids for r in rows) == 499_500 and max(r.n for r in rows) <= 400
+
+
+def test_compacting_shares_large_files_out(spark, tmp_path, schema_name, monkeypatch):
+    name, root = f"{schema_name}.c", str(tmp_path / "c")
+    noise = F.sha2(F.col("id").cast("string"), 512).alias("v")
+    folder = tables.replace_table(spark, name, spark.range(0, 8000, 1, 4).select("id", noise), root)
+    spark.range(8000, 8060, 1, 60).select("id", noise).write.mode("append").parquet(folder)
+    spark.catalog.refreshTable(name)
+    files, size = maintenance._size(spark, folder)
+    assert files == 64
+    added = maintenance.compact_table(spark, name, root, size // 4 + 1)[0]
+    rows = [r.n for r in spark.table(name).groupBy("_metadata.file_path").agg(F.count("*").alias("n")).collect()]
+    # the four large files do not all go to the task that comes first
+    assert added == 4 and sum(rows) == 8060 and max(rows) <= 4060
+
+
 def test_compact_partitioned(spark, tmp_path, schema_name):
     name, root = f"{schema_name}.c", str(tmp_path / "c")
     small_files(spark, name, root, partition_by=["k"])

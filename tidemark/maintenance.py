@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .folding import data_files, fold_batches, is_loaded, replaced_folders
-from .shared import filesystem, path_exists, settled
+from .shared import filesystem, holding, packed_scans, path_exists, settled
 from .sinks.tables import (
     FIRST_LOCATION,
     FIRST_REPLACED,
@@ -50,8 +50,9 @@ def compact_table(spark: SparkSession, name: str, root: str, file_bytes: int = F
     """Rewrite a table into files of about ``file_bytes``; returns files added, files
     removed and bytes made obsolete.
 
-    Rows of a plain table are dealt out evenly; those of a partitioned table are
-    rebalanced by size, so a hot partition is shared between tasks. The old files stay
+    Files of a plain table are shared out evenly by their bytes, and a task writes what it reads:
+    no more than makes up a file, whatever its rows take when unpacked. Rows of a partitioned table
+    are rebalanced by size, so a hot partition is shared between tasks. The old files stay
     until ``expire_versions``. Nothing is rewritten when there is already no more than
     one file per target size (or per partition), or no more than the last compaction left.
     In a table that loads write, only small settled batches are folded (``folding``).
@@ -71,7 +72,8 @@ def compact_table(spark: SparkSession, name: str, root: str, file_bytes: int = F
         # gathers each table partition, but splits a hot one and joins tiny ones by size
         table.hint("rebalance", *keys).write.partitionBy(*keys).parquet(target)
     else:
-        table.repartition(tasks).write.parquet(target)
+        with holding(spark, **packed_scans(file_bytes)):
+            table.coalesce(tasks).write.parquet(target)
     publish_version(spark, name, table.schema, target, keys)
     added = _size(spark, target)[0]
     set_table_note(spark, name, COMPACTED_FILES, str(added))
