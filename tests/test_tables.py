@@ -207,6 +207,19 @@ def test_maintain_isolates_failures(spark, tmp_path, schema_name):
     assert list_tables(spark, excluded=[*others, schema_name]).count() == 0
 
 
+def test_maintain_deals_no_rows_out(spark, tmp_path, schema_name, monkeypatch):
+    from plans import parquet_writes
+
+    for table in ("a", "b"):
+        small_files(spark, f"{schema_name}.{table}", str(tmp_path / table))
+    others = [d.name for d in spark.catalog.listDatabases() if d.name != schema_name]
+    seen = parquet_writes(monkeypatch)
+    report = maintenance.maintain(spark, excluded=others).collect()
+    assert [(r.status, r.files_added) for r in report] == [("ok", 1)] * 2 and all(r.files_removed >= 100 for r in report)
+    assert [("Exchange" in plan, tasks) for plan, tasks in seen] == [(False, 1)] * 2
+    assert [spark.table(f"{schema_name}.{t}").agg(F.sum("id")).first()[0] for t in "ab"] == [499_500] * 2
+
+
 def test_widening_is_the_same_from_either_side():
     from tidemark.sinks.widening import merged_schema, wider_type
 
