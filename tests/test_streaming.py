@@ -276,6 +276,21 @@ def test_a_large_partition_is_folded_into_several_files(spark, places, schema_na
     assert spark.table(name).agg(F.count("*"), F.sum("event_id")).first() == (401, sum(range(10, 410)) + 1)
 
 
+def test_a_fold_shares_files_of_two_pieces_out(spark, places, schema_name):
+    name = f"{schema_name}.t"
+    many_loads(spark, name, places, 2)
+    label = min(labels(spark, name)).split("=")[1]
+    noise = F.sha2(F.col("id").cast("string"), 512).alias("v")
+    rows = spark.range(10, 33_010, 1, 33).select(F.col("id").alias("event_id"), noise, F.lit(label).alias(LOAD_BATCH))
+    replace_partitions(spark, name, rows)
+    found = {r.label: r for r in folding.partition_files(spark, name).collect()}[label]
+    assert found.files == 33  # a sixteenth of what is wanted is about half a file
+    folding.fold_batches(spark, name, found["size"] // 4 + 1)
+    files = spark.table(name).where(F.startswith(LOAD_BATCH, F.lit(folding.FOLD_PREFIX))).groupBy(F.input_file_name())
+    counts = [r.n for r in files.agg(F.count("*").alias("n")).collect()]
+    assert len(counts) == 4 and sum(counts) == 33_000 and max(counts) <= 10_000
+
+
 def test_plan_of_folds():
     small = [folding.Small(f"s-{k:02d}", 1, size) for k, size in enumerate([40, 40, 40, 10, 90, 5])]
     assert [[p.size for p in b] for b in folding.plan_folds(small, 100)] == [[40, 40], [40, 10], [90, 5]]

@@ -162,6 +162,19 @@ def test_compacting_shares_large_files_out(spark, tmp_path, schema_name, monkeyp
     assert added == 4 and sum(rows) == 8060 and max(rows) <= 4060
 
 
+def test_compacting_shares_files_of_two_pieces_out(spark, tmp_path, schema_name):
+    name, root = f"{schema_name}.c", str(tmp_path / "c")
+    noise = F.sha2(F.col("id").cast("string"), 512).alias("v")
+    folder = tables.replace_table(spark, name, spark.range(0, 33_000, 1, 33).select("id", noise), root)
+    files, size = maintenance._size(spark, folder)
+    assert files == 33  # a sixteenth of what is wanted is about half a file
+    added = maintenance.compact_table(spark, name, root, size // 4 + 1)[0]
+    rows = [r.n for r in spark.table(name).groupBy("_metadata.file_path").agg(F.count("*").alias("n")).collect()]
+    # two tasks of the four read all row groups, as the second halves come after all first ones
+    assert added == 4 and sum(rows) == 33_000 and max(rows) <= 10_000
+    assert spark.table(name).agg(F.sum("id")).first()[0] == sum(range(33_000))
+
+
 def test_compact_partitioned(spark, tmp_path, schema_name):
     name, root = f"{schema_name}.c", str(tmp_path / "c")
     small_files(spark, name, root, partition_by=["k"])

@@ -156,7 +156,9 @@ def _write_bins(spark: SparkSession, name: str, location: str, bins: list[tuple[
         rows = table.where(F.col(LOAD_BATCH).isin([p.label for p in members]))
         return rows.select(*columns, F.lit(fold).alias(LOAD_BATCH)).coalesce(_files_for(members, file_bytes))
 
-    with holding(spark, **packed_scans(file_bytes), **UNSORTED_UNION):
+    shared = [p for _, members in bins if _files_for(members, file_bytes) > 1 for p in members]
+    usual = sum(p.size * p.size // max(1, p.files) for p in shared) // sum(p.size for p in shared) if shared else 0
+    with holding(spark, **packed_scans(file_bytes, usual), **UNSORTED_UNION):
         for i in range(0, len(bins), FOLDS_AT_ONCE):
             rows = reduce(DataFrame.union, (one(*b) for b in bins[i : i + FOLDS_AT_ONCE]))
             rows.write.mode("append").partitionBy(LOAD_BATCH).parquet(location)

@@ -46,12 +46,18 @@ def _size(spark: SparkSession, folder: str) -> tuple[int, int]:
     return row.files, row.bytes
 
 
+def _usual_size(spark: SparkSession, folder: str) -> int:
+    """Size of the file that a byte of the folder is in, on average: many tiny files beside large ones hardly count."""
+    length = F.col("length").cast("double")
+    return int(data_files(spark, folder).agg(F.sum(length * length) / F.sum(length)).first()[0] or 0)
+
+
 def compact_table(spark: SparkSession, name: str, root: str, file_bytes: int = FILE_BYTES) -> tuple[int, int, int]:
     """Rewrite a table into files of about ``file_bytes``; returns files added, files
     removed and bytes made obsolete.
 
     Files of a plain table are shared out evenly by their bytes, and a task writes what it reads:
-    no more than makes up a file, whatever its rows take when unpacked. Rows of a partitioned table
+    about what makes up a file, give or take a row group, whatever its rows take when unpacked. Rows of a partitioned table
     are rebalanced by size, so a hot partition is shared between tasks. The old files stay
     until ``expire_versions``. Nothing is rewritten when there is already no more than
     one file per target size (or per partition), or no more than the last compaction left.
@@ -72,7 +78,8 @@ def compact_table(spark: SparkSession, name: str, root: str, file_bytes: int = F
         # gathers each table partition, but splits a hot one and joins tiny ones by size
         table.hint("rebalance", *keys).write.partitionBy(*keys).parquet(target)
     else:
-        with holding(spark, **packed_scans(file_bytes)):
+        usual = _usual_size(spark, location) if tasks > 1 else 0
+        with holding(spark, **packed_scans(file_bytes, usual)):
             table.coalesce(tasks).write.parquet(target)
     publish_version(spark, name, table.schema, target, keys)
     added = _size(spark, target)[0]

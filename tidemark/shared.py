@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 PIECES = 16  # pieces of a scan that make up a file to be written
+CUTS = 8  # pieces a file is cut into at least, where it is cut, or files that make up a piece
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -78,12 +79,22 @@ def holding(spark: SparkSession, **conf: object) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def packed_scans(file_bytes: int) -> dict[str, int]:
+def packed_scans(file_bytes: int, usual: int = 0) -> dict[str, int]:
     """Settings that share files out to tasks by their bytes alone, in pieces so small that a few make up ``file_bytes``.
 
     The default counts 4 MB for each file; with ``coalesce`` the large ones would then come to one task.
+    A row group is read with the piece that holds its middle, and what is left of each file is listed after
+    all whole pieces. So a file of ``usual`` bytes, where several tasks share them, is cut into many pieces
+    or not at all: in two, the first tasks would read all halves that hold a middle and the last ones none.
     """
-    return {"spark.sql.files.maxPartitionBytes": max(1, file_bytes // PIECES), "spark.sql.files.openCostInBytes": 1}
+    piece = file_bytes // PIECES
+    if usual > piece // CUTS:
+        piece = min(piece, usual // CUTS)
+    return {
+        "spark.sql.files.maxPartitionBytes": max(1, piece),
+        "spark.sql.files.openCostInBytes": 1,
+        "spark.sql.files.minPartitionNum": 1,  # pieces do not depend on the number of cores
+    }
 
 
 @contextmanager
